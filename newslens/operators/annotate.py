@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from newslens.functions import tagging, text
+from newslens.functions.fence import fenced
 from newslens.functions.tagging import Tagger
 from newslens.functions.wordlists import KEEP_WORDS, annotator_stop_words
 
@@ -27,7 +28,7 @@ def with_clean_text(df: DataFrame, text_col: str, tag_on: str = "lower") -> Data
 
 def with_tokens(df: DataFrame, tagger: Tagger) -> DataFrame:
     """Add ``_tokens``, the annotated token array of ``_clean``."""
-    return df.withColumn("_tokens", tagger.annotate(tagging.tokenize(F.col("_clean"))))
+    return fenced(df, _tokens=tagger.annotate(tagging.tokenize(F.col("_clean"))))
 
 
 def annotate(

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.operators.sampling import with_position
 
-N = F.count(F.lit(1))
+
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -15,7 +17,7 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 def class_scores(predictions: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
     """(class, precision, recall, f1, support, tp) for every class seen or predicted."""
-    cells = predictions.groupBy(y, pred).agg(N.alias("n"))
+    cells = predictions.groupBy(y, pred).agg(n_rows().alias("n"))
     zero = F.lit(0).cast("bigint")
     hit = F.when(F.col(y) == F.col(pred), F.col("n")).otherwise(zero)
     sides = F.explode(F.array(
@@ -88,7 +90,7 @@ def confusion_matrix(predictions: DataFrame, classes: list[int], y: str = "y", p
     """(y, pred, n) for all class pairs, zeros included."""
     spark = predictions.sparkSession
     rows = spark.createDataFrame([(c,) for c in classes], f"{y} int")
-    wide = predictions.groupBy(y).pivot(pred, classes).agg(N)
+    wide = predictions.groupBy(y).pivot(pred, classes).agg(n_rows())
     full = rows.join(wide, y, "left").na.fill(0)
     long = full.unpivot([y], [str(c) for c in classes], pred, "n")
     return long.select(y, F.col(pred).cast("int").alias(pred), "n")
@@ -105,7 +107,7 @@ def class_distribution(train: DataFrame, resampled: DataFrame, test: DataFrame,
     parts = {"train": train, "resampled": resampled, "test": test}
     tagged = None
     for name, part in parts.items():
-        rows = part.groupBy(label).agg(N.alias("n")).withColumn("part", F.lit(name))
+        rows = part.groupBy(label).agg(n_rows().alias("n")).withColumn("part", F.lit(name))
         tagged = rows if tagged is None else tagged.unionByName(rows)
     wide = tagged.groupBy(label).pivot("part", list(parts)).agg(F.sum("n"))
     dims = spark.createDataFrame([(c,) for c in classes], f"{label} int")
@@ -125,13 +127,13 @@ def batch_mean_accuracy(predictions: DataFrame, id_col: str, batch: int = 16, y:
     per_batch = placed.groupBy(F.floor(F.col("position") / batch).alias("batch")).agg(
         F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy")
     )
-    return per_batch.agg(F.avg("accuracy").alias("mean_batch_accuracy"), N.alias("batches"))
+    return per_batch.agg(F.avg("accuracy").alias("mean_batch_accuracy"), n_rows().alias("batches"))
 
 
 def training_summary(train: DataFrame, test: DataFrame, report: DataFrame) -> DataFrame:
     """True data sizes and the number of categories (report rows minus the three averages)."""
-    return report.agg((N - 3).alias("categories")).select(
-        train.agg(N).scalar().alias("train_size"), test.agg(N).scalar().alias("test_size"), "categories"
+    return report.agg((n_rows() - 3).alias("categories")).select(
+        train.agg(n_rows()).scalar().alias("train_size"), test.agg(n_rows()).scalar().alias("test_size"), "categories"
     )
 
 

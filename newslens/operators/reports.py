@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.functions import text
 
-N = F.count(F.lit(1))
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -26,14 +27,14 @@ def columns_with_nulls(df: DataFrame) -> DataFrame:
 
 def profile(df: DataFrame) -> DataFrame:
     """(column_name, non_null, total): the shape of a table."""
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns], N.alias("_total"))
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns], n_rows().alias("_total"))
     long = counts.unpivot(["_total"], list(df.columns), "column_name", "non_null")
     return long.select("column_name", "non_null", F.col("_total").alias("total"))
 
 
 def value_counts(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """Rows per key combination, nulls left out."""
-    return df.na.drop(subset=list(keys)).groupBy(*keys).agg(N.alias(name))
+    return df.na.drop(subset=list(keys)).groupBy(*keys).agg(n_rows().alias(name))
 
 
 def ranked_counts(df: DataFrame, key: str, top: int | None = None) -> DataFrame:
@@ -50,7 +51,7 @@ def with_share(grouped: DataFrame, name: str = "share", scale: float = 1.0, coun
 
 def category_shares(df: DataFrame, key: str = "category") -> DataFrame:
     """Counts per category and their share of all rows (rows without one included)."""
-    total = df.agg(N).scalar()
+    total = df.agg(n_rows()).scalar()
     return value_counts(df, key).withColumn("share", F.col("n") / total)
 
 
@@ -61,7 +62,7 @@ def mean_length(df: DataFrame, text_col: str = "text", key: str = "category") ->
 def counts_by_year(df: DataFrame, years: list[int], key: str = "category", date: str = "date") -> DataFrame:
     """One row per category and one zero-filled column per year."""
     dated = df.na.drop(subset=[key]).withColumn("_year", F.year(date))
-    return dated.groupBy(key).pivot("_year", years).agg(N).na.fill(0)
+    return dated.groupBy(key).pivot("_year", years).agg(n_rows()).na.fill(0)
 
 
 def counts_by_year_long(df: DataFrame, years: list[int], key: str = "category", date: str = "date") -> DataFrame:
@@ -90,7 +91,7 @@ def measure_over_time(df: DataFrame, measure: str, date: str = "date") -> DataFr
 def measure_relation(df: DataFrame, x: str, y: str, key: str = "category") -> DataFrame:
     """How two measures move together per category."""
     return df.na.drop(subset=[key]).groupBy(key).agg(
-        N.alias("n"), F.avg(x).alias("mean_x"), F.avg(y).alias("mean_y"),
+        n_rows().alias("n"), F.avg(x).alias("mean_x"), F.avg(y).alias("mean_y"),
         F.covar_pop(x, y).alias("covariance"), F.corr(x, y).alias("correlation"),
     )
 
@@ -103,7 +104,7 @@ def word_frequencies(df: DataFrame, text_col: str, top: int | None = None) -> Da
 
 def overview(df: DataFrame, key: str, length: Column, word_count: Column) -> DataFrame:
     return df.agg(
-        N.alias("articles"), F.countDistinct(key).alias("categories"),
+        n_rows().alias("articles"), F.countDistinct(key).alias("categories"),
         F.avg(length).alias("mean_length"), F.avg(word_count).alias("mean_words"),
     )
 

@@ -18,6 +18,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from newslens.functions.dictionary import Dictionary
+from newslens.functions.fence import fenced
 from newslens.functions.text import TERM
 from newslens.functions.wordlists import STOP_WORDS
 
@@ -71,7 +72,7 @@ def grams(tokens: Column, lo: int, hi: int) -> Column:
 def with_grams(df: DataFrame, text_col: str, settings: TermSettings, name: str = "_grams") -> DataFrame:
     tokens = analyzed_tokens(F.coalesce(F.col(text_col), F.lit("")), settings.stop_words)
     staged = df.withColumn("_terms", tokens)
-    return staged.withColumn(name, grams(F.col("_terms"), *settings.ngrams)).drop("_terms")
+    return fenced(staged, **{name: grams(F.col("_terms"), *settings.ngrams)}).drop("_terms")
 
 
 def term_statistics(df: DataFrame, text_col: str, settings: TermSettings = BASIC) -> DataFrame:
@@ -143,19 +144,14 @@ class Vocabulary:
         model = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_grams", outputCol=name)
         return model.transform(with_grams(df, text_col, self.settings)).drop("_grams")
 
-    def tfidf_entries(self, counts: Column, weighting: str = PLAIN) -> Column:
-        """array<struct<idx, weight>> of the L2-normalised TF-IDF row; row-local.
-
-        An article without vocabulary terms gives an empty array.
-        """
+    def _raw_entries(self, counts: Column, weighting: str) -> Column:
         sparse = F.unwrap_udt(counts)
-        weights = F.zip_with(
+        return F.zip_with(
             sparse["indices"], sparse["values"],
             lambda i, tf: F.struct(
                 i.alias("idx"), (self._frequency(tf, weighting) * F.get(self._idf(), i)).alias("weight")
             ),
         )
-        return weights
 
     def tfidf(self, df: DataFrame, text_col: str, name: str = "tfidf", weighting: str = PLAIN) -> DataFrame:
         """Add the sparse TF-IDF vector; computed JVM-side, wrapped in Arrow batches."""
@@ -170,11 +166,15 @@ class Vocabulary:
     def with_tfidf_entries(
         self, df: DataFrame, text_col: str, name: str = "entries", weighting: str = PLAIN
     ) -> DataFrame:
+        """Add array<struct<idx, weight>>, the L2-normalised TF-IDF row; row-local.
+
+        An article without vocabulary terms gives an empty array.
+        """
         counted = self.count(df, text_col, "_counts")
-        raw = counted.withColumn("_raw", self.tfidf_entries(F.col("_counts"), weighting)).drop("_counts")
+        raw = fenced(counted, _raw=self._raw_entries(F.col("_counts"), weighting)).drop("_counts")
         square = F.aggregate("_raw", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"])
         normed = raw.withColumn("_norm", F.sqrt(square))
-        return normed.withColumn(name, _divide_weights(F.col("_raw"), F.col("_norm"))).drop("_raw", "_norm")
+        return fenced(normed, **{name: _divide_weights(F.col("_raw"), F.col("_norm"))}).drop("_raw", "_norm")
 
     def _idf(self) -> Column:
         return F.from_json(F.lit(str([float(v) for v in self.idf])), "array<double>")
@@ -199,12 +199,11 @@ def _as_vector(parts: pd.DataFrame) -> pd.DataFrame:
 
 
 def _divide_weights(entries: Column, norm: Column) -> Column:
-    # the norm travels inside the array so that it is computed once per row
-    scaled = F.zip_with(
+    # the norm is repeated alongside so that the lambda does not recompute it
+    return F.zip_with(
         entries, F.array_repeat(norm, F.size(entries)),
         lambda e, z: F.struct(e["idx"].alias("idx"), (e["weight"] / z).alias("weight")),
     )
-    return scaled
 
 
 def count_entries(df: DataFrame, counts_col: str, *keep: str) -> DataFrame:
