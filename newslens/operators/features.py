@@ -3,25 +3,27 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 
 class SvdProjection:
-    """Uncentred truncated SVD: fitted on a distributed row matrix, applied per row.
+    """Uncentred truncated SVD by randomised subspace iteration (Halko et al., 2011).
 
-    ``components`` is features x k; with a capped vocabulary its size is bounded
-    by settings, not by the data. Signs of the columns are arbitrary.
+    Each iteration is one pass that multiplies the rows' Gram matrix with a thin
+    block of vectors, so the number of passes is fixed, whatever the number of
+    components. Block and ``components`` are features x k: bounded by the capped
+    vocabulary and the settings, not by the data. Column signs are arbitrary.
     """
 
     def __init__(self, components: np.ndarray, singular_values: np.ndarray):
@@ -29,12 +31,23 @@ class SvdProjection:
         self.singular_values = singular_values
 
     @classmethod
-    def fit(cls, df: DataFrame, vector_col: str, k: int) -> SvdProjection:
-        rows = MLUtils.convertVectorColumnsFromML(df.select(vector_col), vector_col)
-        rows.persist(StorageLevel.MEMORY_AND_DISK)  # the solver passes over the rows repeatedly
+    def fit(
+        cls, df: DataFrame, vector_col: str, k: int, iterations: int = 5, oversample: int = 10, seed: int = 42
+    ) -> SvdProjection:
+        rows = df.select(F.unwrap_udt(vector_col).alias("s")).select("s.indices", "s.values", "s.size")
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = RowMatrix(rows).computeSVD(k)
-            return cls(result.V.toArray(), result.s.toArray())
+            first = rows.select(F.coalesce("size", F.size("values")).alias("n")).first()
+            if first is None:
+                raise ValueError("no rows to fit on")
+            n = first["n"]
+            block = np.random.default_rng(seed).normal(size=(n, min(n, k + oversample)))
+            for _ in range(iterations):
+                block = _gram_product(rows, np.linalg.qr(block)[0])
+            basis = np.linalg.qr(block)[0]
+            values, vectors = np.linalg.eigh(basis.T @ _gram_product(rows, basis))
+            order = np.argsort(values)[::-1][:k]
+            return cls(basis @ vectors[:, order], np.sqrt(np.maximum(values[order], 0.0)))
         finally:
             rows.unpersist()
 
@@ -53,6 +66,45 @@ class SvdProjection:
         return df.withColumn(name, array_to_vector(project(F.unwrap_udt(vector_col))))
 
 
+def _gram_product(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+    """(A^T A) block for the rows of A: per task one partial product, summed by feature."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(block)
+
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        right = shared.value
+        total = np.zeros_like(right)
+        for batch in batches:
+            dense = batch.column("indices").is_null().to_numpy(zero_copy_only=False)
+            columns, starts = _list_parts(batch.column("indices"))
+            cells, bounds = _list_parts(batch.column("values"))
+            for i in range(batch.num_rows):
+                values = cells[bounds[i]:bounds[i + 1]]
+                at = slice(None) if dense[i] else columns[starts[i]:starts[i + 1]]
+                total[at] += np.outer(values, values @ right[at])
+        used = np.flatnonzero(total.any(axis=1)).astype("int32")
+        offsets = np.arange(0, (len(used) + 1) * total.shape[1], total.shape[1], dtype="int32")
+        parts = pa.ListArray.from_arrays(offsets, total[used].ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(used), parts], names=["idx", "part"])
+
+    # one partial product per task: no more tasks than the cluster runs at once
+    packed = rows.coalesce(spark.sparkContext.defaultParallelism)
+    parts = packed.mapInArrow(partial, "idx int, part array<double>")
+    sums = parts.groupBy("idx").agg(Summarizer.sum(array_to_vector("part")).alias("total"))
+    summed = sums.select("idx", vector_to_array("total").alias("total")).toArrow()
+    product = np.zeros_like(block)
+    if summed.num_rows:
+        totals = summed.column("total").combine_chunks().flatten().to_numpy()
+        product[summed.column("idx").to_numpy()] = totals.reshape(summed.num_rows, -1)
+    shared.unpersist()
+    return product
+
+
+def _list_parts(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The flat values of a list column and the offsets of its rows."""
+    return column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+
+
 def fit_scaler(df: DataFrame, input_col: str, output_col: str, center: bool = False) -> PipelineModel:
     """Standardise by the population deviation; constant columns keep scale 1.
 
@@ -89,9 +141,15 @@ def standardize_array(df: DataFrame, array_col: str, size: int, name: str = "sca
     return df.withColumn(name, F.zip_with(centred, scale, lambda x, s: x / s))
 
 
-def stack(df: DataFrame, parts: list[str], name: str = "features") -> DataFrame:
-    """Concatenate vector columns in the given order."""
-    return VectorAssembler(inputCols=parts, outputCol=name).transform(df)
+def stack(df: DataFrame, parts: Mapping[str, int], name: str = "features") -> DataFrame:
+    """Concatenate vector columns (name -> size) in the given order.
+
+    The sizes are declared, so nothing has to peek at a first row; the same
+    code serves batch and streaming frames.
+    """
+    for part, size in parts.items():
+        df = VectorSizeHint(inputCol=part, size=size, handleInvalid="optimistic").transform(df)
+    return VectorAssembler(inputCols=list(parts), outputCol=name).transform(df)
 
 
 def take_columns(df: DataFrame, vector_col: str, indices: list[int], name: str) -> DataFrame:

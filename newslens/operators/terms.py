@@ -153,29 +153,26 @@ class Vocabulary:
             ),
         )
 
-    def tfidf(self, df: DataFrame, text_col: str, name: str = "tfidf", weighting: str = PLAIN) -> DataFrame:
-        """Add the sparse TF-IDF vector; computed JVM-side, wrapped in Arrow batches."""
-        entries = self.with_tfidf_entries(df, text_col, "_entries", weighting)
-        wrapped = F.struct(
-            F.lit(0).cast("tinyint").alias("type"), F.lit(len(self)).alias("size"),
-            F.transform("_entries", lambda e: e["idx"]).alias("indices"),
-            F.transform("_entries", lambda e: e["weight"]).alias("values"),
-        )
-        return entries.withColumn(name, _as_vector(wrapped)).drop("_entries")
-
-    def with_tfidf_entries(
-        self, df: DataFrame, text_col: str, name: str = "entries", weighting: str = PLAIN
-    ) -> DataFrame:
-        """Add array<struct<idx, weight>>, the L2-normalised TF-IDF row; row-local.
+    def weigh(self, df: DataFrame, counts_col: str, name: str = "entries", weighting: str = PLAIN) -> DataFrame:
+        """Add array<struct<idx, weight>>, the L2-normalised TF-IDF row of a count vector; row-local.
 
         An article without vocabulary terms gives an empty array.
         """
-        counted = self.count(df, text_col, "_counts")
-        raw = fenced(counted, _raw=self._raw_entries(F.col("_counts"), weighting)).drop("_counts")
+        raw = fenced(df, _raw=self._raw_entries(F.col(counts_col), weighting))
         square = F.aggregate("_raw", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"])
         normed = raw.withColumn("_norm", F.sqrt(square))
         return fenced(normed, **{name: _divide_weights(F.col("_raw"), F.col("_norm"))}).drop("_raw", "_norm")
 
+    def tfidf(self, df: DataFrame, counts_col: str, name: str = "tfidf", weighting: str = PLAIN) -> DataFrame:
+        """Add the sparse TF-IDF vector of a count vector; computed JVM-side, wrapped in Arrow batches."""
+        entries = self.weigh(df, counts_col, "_entries", weighting)
+        wrapped = F.struct(
+            F.lit(0).cast("tinyint").alias("type"), F.lit(len(self)).alias("size"),
+            F.transform("_entries", lambda e: e["idx"]).alias("indices"),
+            F.transform("_entries", lambda e: e["weight"]).alias("values"),
+        )
+        return entries.withColumn(name, _as_vector(wrapped)).drop("_entries")
+
     def _idf(self) -> Column:
         return F.from_json(F.lit(str([float(v) for v in self.idf])), "array<double>")
 

@@ -5,8 +5,13 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.clustering import LDA, DistributedLDAModel, LDAModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
+from newslens.functions.fence import fenced
+
+BATCH_SHARE = 1 / 21
+
 
 def fit_topics(
     df: DataFrame,
@@ -14,16 +19,20 @@ def fit_topics(
     topics: int,
     *,
     offset: float = 25.0,
-    batch_size: int = 128,
+    batch_size: int | None = 128,
     epochs: int = 25,
     doc_prior: float = 0.1,
     topic_prior: float = 0.01,
     seed: int = 42,
     output_col: str = "topics",
 ) -> LDAModel:
-    """Online variational LDA; one Spark iteration is one mini-batch."""
-    n = df.count()
-    share = min(1.0, batch_size / max(n, 1))
+    """Online variational LDA; one Spark iteration is one mini-batch.
+
+    A fixed ``batch_size`` makes the number of iterations grow with the data;
+    ``None`` takes a constant share per iteration instead, which is the setting
+    for collections far larger than a few hundred thousand articles.
+    """
+    share = min(1.0, batch_size / max(df.count(), 1)) if batch_size else BATCH_SHARE
     return LDA(
         k=topics, featuresCol=counts_col, topicDistributionCol=output_col, optimizer="online",
         docConcentration=[doc_prior], topicConcentration=topic_prior, optimizeDocConcentration=False,
@@ -32,6 +41,16 @@ def fit_topics(
     ).fit(df)
 
 
+def topic_mix(model: LDAModel, df: DataFrame, counts_col: str, name: str = "topics") -> DataFrame:
+    """Add the topic distribution; a document without vocabulary terms gets a uniform one."""
+    k = model.getK()
+    model.setFeaturesCol(counts_col).setTopicDistributionCol("_mix")
+    mixed = fenced(model.transform(df), _parts=vector_to_array("_mix"))
+    known = F.exists("_parts", lambda p: p > 0)
+    uniform = F.array_repeat(F.lit(1.0 / k), k)
+    return mixed.withColumn(name, array_to_vector(F.when(known, F.col("_parts")).otherwise(uniform))).drop("_mix", "_parts")
+
+
 def topic_terms(model: LDAModel | DistributedLDAModel, vocabulary: DataFrame, top: int = 10) -> DataFrame:
     """(topic, rank, term, weight): the heaviest terms of each topic."""
     described = model.describeTopics(top).select(

@@ -172,8 +172,8 @@ def sentiment_text_serving(spark, folder):
 
 
 @query("x8_purposes", over_articles(f"""
-SELECT purpose, count(*) AS n, sum(CASE WHEN purpose <> 'sentiment' THEN t ELSE 0 END) AS topic_words,
-       sum(CASE WHEN purpose <> 'topic' THEN s ELSE 0 END) AS sentiment_words
+SELECT purpose, count(*) AS n, CAST(sum(CASE WHEN purpose <> 'sentiment' THEN t ELSE 0 END) AS BIGINT) AS topic_words,
+       CAST(sum(CASE WHEN purpose <> 'topic' THEN s ELSE 0 END) AS BIGINT) AS sentiment_words
 FROM (SELECT unnest(['topic', 'sentiment', 'both']) AS purpose, * FROM (
   SELECT f.doc_id, count(word) FILTER ({TOPIC_RULE}) AS t, count(word) FILTER ({BATCH_RULE}) AS s
   FROM full_text f LEFT JOIN ann USING (doc_id) GROUP BY f.doc_id)) GROUP BY purpose""", *ANN_CTES))

@@ -82,7 +82,7 @@ def table_profile(spark, folder):
 
 
 @query("s5_csv_sink", over_articles(
-    "SELECT category, count(*) AS n, sum(length(headline) + length(short_description)) AS characters "
+    "SELECT category, count(*) AS n, CAST(sum(length(headline) + length(short_description)) AS BIGINT) AS characters "
     "FROM articles GROUP BY category"
 ))
 def csv_sink(spark, folder):
@@ -405,7 +405,7 @@ def word_difference(spark, folder):
 
 
 @query("u3_merge_sources", """
-SELECT origin, count(*) AS n, sum(length(text)) AS characters FROM (
+SELECT origin, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS characters FROM (
   SELECT 'documents' AS origin, text FROM documents UNION ALL SELECT 'conversations', text FROM conversations
   UNION ALL SELECT 'benchmark', text FROM benchmark) GROUP BY origin""")
 def merge_sources(spark, folder):

@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
-MODULES = ["curation", "texts", "annotation", "reporting", "terms"]
+MODULES = [
+    "curation", "texts", "annotation", "reporting", "terms", "labels", "modelling", "evaluation", "serving",
+]
 
 
 @dataclass(frozen=True)

@@ -101,7 +101,7 @@ def term_counts(spark, folder):
 def _tfidf(spark, folder, settings, weighting):
     rows = texts(spark, folder)
     fitted = Vocabulary.fit(rows, "text", settings)
-    entries = fitted.with_tfidf_entries(rows, "text", "entries", weighting)
+    entries = fitted.weigh(fitted.count(rows, "text"), "counts", "entries", weighting)
     return ops.tfidf_long(entries, "entries", "doc_id").withColumn("weight", F.round("weight", 6))
 
 
@@ -186,7 +186,7 @@ def model_frame(spark, folder):
 
 def prepare(rows, fitted):
     """The model frame: text features, label numbers and term vectors."""
-    frame = fitted.with_tfidf_entries(fitted.count(rows, "text", "doc_term"), "text", "entries").withColumns({
+    frame = fitted.weigh(fitted.count(rows, "text", "doc_term"), "doc_term").withColumns({
         "year": F.year("date"), "month": F.month("date"), "text_length": F.length("text"),
         "word_count": text.count_words(F.col("text")), "unique_words": text.count_unique_words(F.col("text")),
     }).drop("text")
