@@ -123,6 +123,14 @@ _BOOST_DOWN = (
 ).split()
 BOOSTERS = {**{w: BOOST for w in _BOOST_UP}, **{w: -BOOST for w in _BOOST_DOWN}}
 
+BOOSTER_PHRASES = {"kind of": -BOOST, "sort of": -BOOST, "just enough": -BOOST}
+
+# Phrases whose valence replaces that of the words in them.
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0,
+    "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
+
 # Negating words of the sentiment rules (any word holding "n't" negates too).
 NEGATIONS = (
     "aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt "

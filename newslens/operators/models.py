@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from newslens.operators.features import random_fourier_features, scale_gamma
@@ -41,9 +41,9 @@ def _balanced(df: DataFrame, positive: Column) -> Callable[[int, int], DataFrame
     return build
 
 
-def _fit_each(classes: Sequence[int], fit: Callable[[int], object], parallelism: int) -> list:
+def _fit_each(spark: SparkSession, classes: Sequence[int], fit: Callable[[int], object], parallelism: int) -> list:
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(fit), classes))
+        return list(pool.map(inheritable_thread_target(spark)(fit), classes))
 
 
 def with_decision(df: DataFrame, scores: Column, classes: Sequence[int]) -> DataFrame:
@@ -89,7 +89,7 @@ class OneVsRestForest:
                 one = estimator.copy().setFeaturesCol(features).setLabelCol("_y")
                 return (one.setWeightCol("_w") if balanced else one).fit(binary)
 
-            return cls(classes, _fit_each(classes, fit_one, parallelism))
+            return cls(classes, _fit_each(train.sparkSession, classes, fit_one, parallelism))
         finally:
             train.unpersist()
 
@@ -165,7 +165,7 @@ class OneVsRestSvm:
                 platt = LogisticRegression(featuresCol="_m", labelCol="_y", maxIter=max_iter).fit(margins)
                 return model, (float(platt.coefficients[0]), float(platt.intercept))
 
-            fitted = _fit_each(classes, fit_one, parallelism)
+            fitted = _fit_each(train.sparkSession, classes, fit_one, parallelism)
             return cls(classes, setup, [m for m, _ in fitted], [s for _, s in fitted])
         finally:
             lifted.unpersist()
@@ -196,7 +196,7 @@ def _apply_kernel(df: DataFrame, features: str, setup: Mapping) -> DataFrame:
     raise ValueError("kernel must be 'linear', 'rbf' or 'poly'")
 
 
-def describe(stages: Mapping[str, object], spark) -> DataFrame:
+def describe(stages: Mapping[str, object], spark: SparkSession) -> DataFrame:
     """(stage, key, value) of every parameter of the given estimators or models."""
     rows = [
         (stage, param.name, str(value))

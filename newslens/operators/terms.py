@@ -10,17 +10,18 @@ construction, so applying it is row-local again.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from newslens.functions.dictionary import Dictionary
+from newslens.functions.dictionary import MAX_ENTRIES, Dictionary
 from newslens.functions.fence import fenced
 from newslens.functions.text import TERM
 from newslens.functions.wordlists import STOP_WORDS
+from newslens.session import materialize
 
 # A vocabulary is collected to the driver and shipped with tasks, so it is capped.
 MAX_VOCABULARY = 200_000
@@ -77,32 +78,75 @@ def with_grams(df: DataFrame, text_col: str, settings: TermSettings, name: str =
 
 def term_statistics(df: DataFrame, text_col: str, settings: TermSettings = BASIC) -> DataFrame:
     """(term, tf, df) over all terms, before any filter or cap."""
-    counted = with_grams(df.select(text_col), text_col, settings).select(
-        F.sort_array("_grams").alias("_sorted")
-    )
+    return _statistics(with_grams(df.select(text_col), text_col, settings).select("_grams"))
+
+
+def _statistics(counted: DataFrame) -> DataFrame:
+    """(term, tf, df) of an array column ``_grams``."""
+    ordered = counted.select(F.sort_array("_grams").alias("_sorted"))
     following = F.slice("_sorted", F.lit(2), F.greatest(F.size("_sorted"), F.lit(1)))
     marked = F.zip_with(
         "_sorted", following,
         lambda a, b: F.struct(a.alias("term"), (b.isNull() | (a != b)).cast("int").alias("last")),
     )
-    rows = counted.select(F.explode(marked).alias("t")).select("t.term", "t.last")
+    rows = ordered.select(F.explode(marked).alias("t")).select("t.term", "t.last")
     return rows.groupBy("term").agg(
         F.count(F.lit(1)).alias("tf"), F.sum("last").cast("bigint").alias("df")
     )
 
 
+def pruned_statistics(
+    df: DataFrame, text_col: str, settings: TermSettings, documents: Column
+) -> DataFrame:
+    """(term, tf, df) without the n-grams that cannot be among the kept terms.
+
+    An n-gram is no more frequent than its words. If ``max_features`` single
+    words within the document-frequency limits occur at least t times, an n-gram
+    needs t occurrences to be kept, so all of its words need t. Words below t
+    are masked before the n-grams are formed, which leaves out almost all of
+    them when the collection is large. Costs one more pass over the texts; falls
+    back to all n-grams when there are too few words or too many candidates.
+    """
+    lo, hi = settings.ngrams
+    singles = materialize(
+        term_statistics(df, text_col, replace(settings, ngrams=(1, 1))), "words"
+    )
+    kept = singles.where(_within(settings, documents)).orderBy(F.desc("tf"), "term")
+    last = kept.limit(settings.max_features).agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("t")).first()
+    frequent = [] if last["n"] < settings.max_features else [
+        r["term"] for r in singles.where(F.col("tf") >= last["t"]).select("term").limit(MAX_ENTRIES + 1).collect()
+    ]
+    if not frequent or len(frequent) > MAX_ENTRIES or lo > 1:
+        return term_statistics(df, text_col, settings)
+    known = Dictionary(dict.fromkeys(frequent, 1), "int")
+    tokens = analyzed_tokens(F.coalesce(F.col(text_col), F.lit("")), settings.stop_words)
+    masked = F.transform(tokens, lambda t: F.when(known.get(t).isNotNull(), t))
+    staged = fenced(df.select(text_col), _terms=masked)
+    longer = grams(F.col("_terms"), 2, hi)
+    # a masked word makes every n-gram over it null
+    rows = staged.select(F.filter(longer, lambda g: g.isNotNull()).alias("_grams"))
+    return singles.unionByName(_statistics(rows))
+
+
+def _within(settings: TermSettings, documents: Column) -> Column:
+    return (F.col("df") >= settings.min_df) & (F.col("df") <= settings.max_df * documents)
+
+
 def vocabulary_table(
-    df: DataFrame, text_col: str, settings: TermSettings = BASIC
+    df: DataFrame, text_col: str, settings: TermSettings = BASIC, prune: bool = False
 ) -> DataFrame:
     """(idx, term, tf, df, idf): the most frequent terms within the document-frequency limits.
 
     ``idx`` numbers the kept terms alphabetically; ties in frequency are cut
-    alphabetically; idf is ln((1+n)/(1+df)) + 1.
+    alphabetically; idf is ln((1+n)/(1+df)) + 1. ``prune`` gives the same table
+    with a second pass over the texts in place of shuffling every n-gram.
     """
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    kept = term_statistics(df, text_col, settings).where(
-        (F.col("df") >= settings.min_df) & (F.col("df") <= settings.max_df * documents)
-    )
+    if prune and settings.ngrams[1] > 1:
+        statistics = pruned_statistics(df, text_col, settings, documents)
+    else:
+        statistics = term_statistics(df, text_col, settings)
+    kept = statistics.where(_within(settings, documents))
     top = kept.orderBy(F.desc("tf"), "term").limit(settings.max_features)
     # at most max_features rows from here on
     numbered = top.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
@@ -121,8 +165,10 @@ class Vocabulary:
         self.idf = [r["idf"] for r in ordered]
 
     @classmethod
-    def fit(cls, df: DataFrame, text_col: str, settings: TermSettings = BASIC) -> Vocabulary:
-        return cls(vocabulary_table(df, text_col, settings).collect(), settings)
+    def fit(
+        cls, df: DataFrame, text_col: str, settings: TermSettings = BASIC, prune: bool = False
+    ) -> Vocabulary:
+        return cls(vocabulary_table(df, text_col, settings, prune).collect(), settings)
 
     @classmethod
     def from_table(cls, table: DataFrame, settings: TermSettings) -> Vocabulary:

@@ -6,7 +6,7 @@ from newslens.functions import tagging, text
 from newslens.functions.sentiment import SentimentScorer
 from newslens.functions.tagging import Tagger
 from newslens.functions.wordlists import (
-    BOOSTERS, KEEP_WORDS, NEGATIONS, POS_KEYS, annotator_stop_words, sentiment_lexicon, tag_lexicon,
+    BOOSTER_PHRASES, BOOSTERS, IDIOMS, KEEP_WORDS, NEGATIONS, POS_KEYS, annotator_stop_words, sentiment_lexicon, tag_lexicon,
 )
 from newslens.operators import annotate as ops
 from newslens.plans.articles import over_articles, text_articles
@@ -327,6 +327,12 @@ def sentiment_ctes(key: str, source: str, column: str) -> list[str]:
         "CASE WHEN low3 = 'never' AND (low2 IN ('so', 'this') OR low1 IN ('so', 'this')) THEN 1.25e0 "
         "WHEN low3 = 'without' AND (low2 = 'doubt' OR low1 = 'doubt') THEN 1e0 WHEN neg3 THEN -0.74e0 ELSE 1e0 END",
     ]
+    spots = ["low || ' ' || low_next || ' ' || low_next2", "low || ' ' || low_next", "low1 || ' ' || low",
+             "low2 || ' ' || low1 || ' ' || low", "low2 || ' ' || low1", "low3 || ' ' || low2 || ' ' || low1", "low3 || ' ' || low2"]
+    cases = " ".join(f"WHEN {quote(k)} THEN {v}e0" for k, v in IDIOMS.items())
+    idioms = ", ".join(f"CASE {spot} {cases} END" for spot in spots)
+    lifts = " ".join(f"WHEN {quote(k)} THEN {v}e0" for k, v in BOOSTER_PHRASES.items())
+    phrases = " + ".join(f"coalesce(CASE {spot} {lifts} END, 0e0)" for spot in (spots[5], spots[6], spots[4]))
     edge = r"\A[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+\z"
     return [
         values_sql("moods", "low, v", [(w, v) for w, v in sentiment_lexicon().items()]),
@@ -340,7 +346,7 @@ def sentiment_ctes(key: str, source: str, column: str) -> list[str]:
         "looked AS (SELECT words.*, CAST(v AS DOUBLE) AS v, CAST(b AS DOUBLE) AS b, "
         "low IN (SELECT w FROM negations) OR contains(low, 'n''t') AS neg "
         "FROM words LEFT JOIN moods USING (low) LEFT JOIN boosts USING (low))",
-        f"around AS (SELECT *, {lags}, lead(low) OVER w AS low_next, lead(v) OVER w AS v_next, "
+        f"around AS (SELECT *, {lags}, lead(low) OVER w AS low_next, lead(low, 2) OVER w AS low_next2, lead(v) OVER w AS v_next, "
         f"sum(CAST(caps AS INTEGER)) OVER (PARTITION BY {key}) BETWEEN 1 AND count(*) OVER (PARTITION BY {key}) - 1 AS mixed "
         f"FROM looked WINDOW w AS (PARTITION BY {key} ORDER BY pos))",
         "v0 AS (SELECT *, CASE WHEN low1 = 'no' OR low2 = 'no' OR (low3 = 'no' AND low1 IN ('or', 'nor')) THEN v * -0.74e0 "
@@ -349,9 +355,10 @@ def sentiment_ctes(key: str, source: str, column: str) -> list[str]:
         f"v1 AS (SELECT *, {step('sa', 1, 1.0, flips[0])} AS s1 FROM va)",
         f"v2 AS (SELECT *, {step('s1', 2, 0.95, flips[1])} AS s2 FROM v1)",
         f"v3 AS (SELECT *, {step('s2', 3, 0.9, flips[2])} AS s3 FROM v2)",
+        f"v4 AS (SELECT *, CASE WHEN low3 IS NOT NULL AND v3 IS NULL THEN coalesce({idioms}, s3) + {phrases} ELSE s3 END AS s4 FROM v3)",
         "valued AS (SELECT *, CASE WHEN v IS NULL OR b IS NOT NULL OR (low = 'kind' AND low_next = 'of') THEN 0e0 "
-        "ELSE s3 * CASE WHEN low1 = 'least' AND v1 IS NULL AND (low2 IS NULL OR low2 NOT IN ('at', 'very')) THEN -0.74e0 ELSE 1e0 END "
-        "END AS x FROM v3)",
+        "ELSE s4 * CASE WHEN low1 = 'least' AND v1 IS NULL AND (low2 IS NULL OR low2 NOT IN ('at', 'very')) THEN -0.74e0 ELSE 1e0 END "
+        "END AS x FROM v4)",
         f"buts AS (SELECT *, min(CASE WHEN low = 'but' THEN pos END) OVER (PARTITION BY {key}) AS but_at FROM valued)",
         f"weighed AS (SELECT {key}, pos, x * CASE WHEN pos < but_at THEN 0.5e0 WHEN pos > but_at THEN 1.5e0 ELSE 1e0 END AS x FROM buts)",
         f"""sums AS (SELECT {key}, sum(x ORDER BY pos) AS raw, coalesce(sum(x + 1 ORDER BY pos) FILTER (x > 0), 0) AS p,

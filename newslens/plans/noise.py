@@ -17,7 +17,8 @@ MOOD_NOISE = [
     (" the ", " good "), (" and ", " BAD "), (" of ", " not "), (" de ", " VERY "), (" der ", " great! "),
     (" to ", " no "), (" la ", " never "), (" in ", " so "), (" is ", " terrible?? "), (" that ", " but "),
     (" und ", " least "), (" for ", " hardly "), (" it ", " without "), (" die ", " doubt "), (" on ", " love, "),
-    (" le ", " kind "), (" des ", " of "), (" was ", " or "), (" que ", " isn't "), (" en ", " hate "),
+    (" le ", " kind "), (" des ", " of "), (" was ", " or "), (" que ", " isn't "), (" en ", " hate "), (" el ", " kind of "), (" los ", " yeah right love "), (" del ", " to die for great "),
+    (" y ", " broken heart good "), (" se ", " sort of great "),
 ]
 
 
