@@ -1,7 +1,7 @@
 """Tokens, tags, lemmas and phrase patterns, all computed inside the row.
 
 One article is one row, so nothing here shuffles: tokens become an array of
-``struct<word, tag, lemma>`` and every later step filters or zips that array.
+``struct<word, mark<tag, lemma>>`` and every later step filters or zips that array.
 Neighbours are reached by zipping an array with its own shift, never by indexing
 the array from inside a lambda, which would evaluate it once per element.
 """
@@ -18,8 +18,6 @@ from newslens.functions.wordlists import tag_lexicon
 # The possessive quantifier keeps Java's matcher iterative on long hyphen chains.
 TOKEN = r"[A-Za-z0-9]+(?:['-][A-Za-z0-9]+)*+|[.,!?]"
 PUNCTUATION = [".", ",", "!", "?"]
-# Adjective endings of the tag fallback.
-ADJECTIVE_ENDINGS = ["ous", "ful", "able", "ible", "ive", "less"]
 # Plural and third-person endings that lose two letters.
 ES_ENDINGS = ["sses", "xes", "ches", "shes", "zes"]
 DOUBLED = ["bb", "dd", "gg", "mm", "nn", "pp", "rr", "tt"]
@@ -44,26 +42,43 @@ def _drop(word: Column, n: int, extra: str = "") -> Column:
     return F.concat(stem, F.lit(extra)) if extra else stem
 
 
-def fallback_tag(word: Column) -> Column:
-    """Suffix rules for words the lexicon does not hold.
+def _if(test: Column, then: Column | str, otherwise: Column | str) -> Column:
+    # Inside lambdas expressions are interpreted, and there one long CASE walks its
+    # branch list for every branch; nested two-way choices do not.
+    return F.when(test, then).otherwise(otherwise)
 
-    Short words and words with other last letters leave before the suffix tests.
-    """
+
+def _noun_lemma(word: Column) -> Column:
     length = F.length(word)
-    last = F.substring(word, -1, 1)
-    return (
-        F.when((length == 1) & word.isin(PUNCTUATION), word)
-        .when(F.substring(word, 1, 1).between("0", "9"), "CD")
-        .when((length < 4) | ~last.isin("y", "g", "d", "s", "l", "e"), "NN")
-        .when(_ends(word, "ly") & (length > 4), "RB")
-        .when(_ends(word, "ing") & (length > 5), "VBG")
-        .when(_ends(word, "ed") & (length > 4), "VBD")
-        .when(_ends(word, *ADJECTIVE_ENDINGS) & (length > 5), "JJ")
-        .when((last == "s") & ~_ends(word, "ss"), "NNS")
-        .otherwise("NN")
+    return _if(
+        ~_ends(word, "s"), word,
+        _if(_ends(word, "ies") & (length > 4), _drop(word, 3, "y"),
+            _if(_ends(word, *ES_ENDINGS), _drop(word, 2),
+                _if((length < 4) | _ends(word, "ss", "us", "is"), word, _drop(word, 1)))),
     )
 
 
+def _verb_lemma(word: Column) -> Column:
+    length = F.length(word)
+    doubled_ing = F.substring(word, length - 4, F.lit(2)).isin(DOUBLED)
+    doubled_ed = F.substring(word, length - 3, F.lit(2)).isin(DOUBLED)
+    ing = _if((length > 6) & doubled_ing, _drop(word, 4), _if(length > 5, _drop(word, 3), word))
+    ed = _if((length > 5) & doubled_ed, _drop(word, 3), _if(length > 4, _drop(word, 2), word))
+    plain_s = _if(_ends(word, "ss") | (length < 4), word, _drop(word, 1))
+    return _if(
+        _ends(word, "ing"), ing,
+        _if(_ends(word, "ies", "ied") & (length > 4), _drop(word, 3, "y"),
+            _if(_ends(word, "ed"), ed,
+                _if(_ends(word, *ES_ENDINGS), _drop(word, 2), _if(_ends(word, "s"), plain_s, word)))),
+    )
+
+
+def _adjective_lemma(word: Column) -> Column:
+    length = F.length(word)
+    return _if(_ends(word, "iest") & (length > 5), _drop(word, 4, "y"),
+               _if(_ends(word, "ier") & (length > 4), _drop(word, 3, "y"), word))
+
+
 def lemma_class(tag: Column) -> Column:
     """First letter of the tag -> a(djective) / n(oun) / v(erb) / r (adverb)."""
     first = F.substring(tag, 1, 1)
@@ -72,44 +87,31 @@ def lemma_class(tag: Column) -> Column:
     )
 
 
-def fallback_lemma(word: Column, cls: Column) -> Column:
-    """Detachment rules for words the lexicon does not hold."""
+def fallback_mark(word: Column) -> Column:
+    """Suffix rules for words the lexicon does not hold: struct<tag, lemma>."""
     length = F.length(word)
-    last = F.substring(word, -1, 1)
-    doubled_ing = F.substring(word, length - 4, F.lit(2)).isin(DOUBLED)
-    doubled_ed = F.substring(word, length - 3, F.lit(2)).isin(DOUBLED)
-    noun = (
-        F.when(last != "s", word)
-        .when(_ends(word, "ies") & (length > 4), _drop(word, 3, "y"))
-        .when(_ends(word, *ES_ENDINGS), _drop(word, 2))
-        .when(_ends(word, "ss", "us", "is"), word)
-        .when(length > 3, _drop(word, 1))
-        .otherwise(word)
-    )
-    verb = (
-        F.when(~last.isin("s", "d", "g"), word)
-        .when(_ends(word, "ies", "ied") & (length > 4), _drop(word, 3, "y"))
-        .when(_ends(word, *ES_ENDINGS), _drop(word, 2))
-        .when(_ends(word, "ing") & (length > 6) & doubled_ing, _drop(word, 4))
-        .when(_ends(word, "ing") & (length > 5), _drop(word, 3))
-        .when(_ends(word, "ed") & (length > 5) & doubled_ed, _drop(word, 3))
-        .when(_ends(word, "ed") & (length > 4), _drop(word, 2))
-        .when(_ends(word, "ss"), word)
-        .when((last == "s") & (length > 3), _drop(word, 1))
-        .otherwise(word)
-    )
-    adjective = (
-        F.when(_ends(word, "iest") & (length > 5), _drop(word, 4, "y"))
-        .when(_ends(word, "ier") & (length > 4), _drop(word, 3, "y"))
-        .otherwise(word)
-    )
-    return (
-        F.when(cls == "n", noun).when(cls == "v", verb).when(cls == "a", adjective).otherwise(word)
-    )
+
+    def mark(tag: Column | str, lemma: Column) -> Column:
+        tag = F.lit(tag) if isinstance(tag, str) else tag
+        return F.struct(tag.alias("tag"), lemma.alias("lemma"))
+
+    noun, verb, unchanged = mark("NN", _noun_lemma(word)), _verb_lemma(word), mark("NN", word)
+    after_s = _if((length > 5) & _ends(word, "ous", "less"), mark("JJ", word),
+                  _if((length > 3) & ~_ends(word, "ss"), mark("NNS", _noun_lemma(word)), noun))
+    others = _if((length > 5) & _ends(word, "ful", "able", "ible", "ive"), mark("JJ", word), unchanged)
+    lettered = _if(_ends(word, "s"), after_s,
+                   _if(_ends(word, "ed") & (length > 4), mark("VBD", verb),
+                       _if(_ends(word, "ing") & (length > 5), mark("VBG", verb),
+                           _if(_ends(word, "ly") & (length > 4), mark("RB", word), others))))
+    first = F.substring(word, 1, 1)
+    numeric = _if(first <= "9", _if(word.isin(PUNCTUATION), mark(word, word), mark("CD", _noun_lemma(word))),
+                  mark("?", word))
+    # letters sort after digits and all punctuation but the question mark
+    return _if(first > "?", lettered, numeric)
 
 
 class Tagger:
-    """Turns a token array into ``array<struct<word, key, tag, lemma>>``; key is the lower-case word.
+    """Turns a token array into ``array<struct<word, mark: struct<tag, lemma>>>``.
 
     ``lexicon`` maps a lower-case word to ``(tag, lemma)``. With
     ``cased=True`` the tokens keep their case and a capitalised word outside
@@ -125,81 +127,69 @@ class Tagger:
         )
 
     def annotate(self, tokens: Column) -> Column:
-        found = F.transform(
-            tokens,
-            lambda w: F.struct(
-                w.alias("word"), self._key(w).alias("key"), self._dictionary.get(self._key(w)).alias("hit")
-            ),
-        )
-        tagged = F.transform(
-            found,
-            lambda t: F.struct(
-                t["word"].alias("word"),
-                t["key"].alias("key"),
-                t["hit"]["lemma"].alias("known"),
-                F.coalesce(t["hit"]["tag"], self._guess(t["word"], t["key"])).alias("tag"),
-            ),
-        )
-        return F.transform(
-            tagged,
-            lambda t: F.struct(
-                t["word"].alias("word"),
-                t["key"].alias("key"),
-                t["tag"].alias("tag"),
-                F.coalesce(t["known"], fallback_lemma(t["key"], lemma_class(t["tag"]))).alias("lemma"),
-            ),
-        )
+        return F.transform(tokens, lambda w: F.struct(w.alias("word"), self._mark(w).alias("mark")))
 
-    def _key(self, word: Column) -> Column:
-        return F.lower(word) if self.cased else word
-
-    def _guess(self, word: Column, key: Column) -> Column:
-        guess = fallback_tag(key)
+    def _mark(self, word: Column) -> Column:
+        key = F.lower(word) if self.cased else word
+        unknown = fallback_mark(key)
         if self.cased:
-            guess = F.when(word.rlike("^[A-Z]"), "NNP").otherwise(guess)
-        return guess
+            proper = F.struct(F.lit("NNP").alias("tag"), _noun_lemma(key).alias("lemma"))
+            unknown = _if(word.rlike("^[A-Z]"), proper, unknown)
+        return F.coalesce(self._dictionary.get(key), unknown)
+
+
+def tag_of(token: Column) -> Column:
+    return token["mark"]["tag"]
+
+
+def lemma_of(token: Column) -> Column:
+    return token["mark"]["lemma"]
 
 
 def tag_starts(token: Column, *prefixes: str) -> Column:
-    test = F.startswith(token["tag"], F.lit(prefixes[0]))
+    test = F.startswith(tag_of(token), F.lit(prefixes[0]))
     for prefix in prefixes[1:]:
-        test = test | F.startswith(token["tag"], F.lit(prefix))
+        test = test | F.startswith(tag_of(token), F.lit(prefix))
     return test
 
 
-def topic_text(tokens: Column, stop_words: list[str]) -> Column:
+def topic_text(tokens: Column, stop_words: list[str], cased: bool = False) -> Column:
     """Lemmas of nouns, verbs and adjectives, longer than two letters, in order."""
     kept = F.filter(
         tokens,
-        lambda t: tag_starts(t, "NN", "VB", "JJ")
-        & (F.length(t["word"]) > 2)
-        & ~t["key"].isin(stop_words),
+        lambda t: (F.length(t["word"]) > 2)
+        & tag_starts(t, "NN", "VB", "JJ")
+        & ~_key(t, cased).isin(stop_words),
     )
-    return F.array_join(F.transform(kept, lambda t: t["lemma"]), " ")
+    return F.array_join(F.transform(kept, lemma_of), " ")
 
 
 def sentiment_text(
-    tokens: Column, stop_words: list[str], keep_words: list[str], mode: str = "batch"
+    tokens: Column, stop_words: list[str], keep_words: list[str], mode: str = "batch", cased: bool = False
 ) -> Column:
     """Text kept for sentiment scoring; ``mode`` picks the batch or serving rule."""
 
     def batch(t: Column) -> Column:
         return (
-            t["key"].isin(keep_words)
+            (tag_starts(t, "NN") & ~_key(t, cased).isin(stop_words))
             | tag_starts(t, "JJ", "RB", "VB")
-            | t["tag"].isin(PUNCTUATION)
-            | (tag_starts(t, "NN") & ~t["key"].isin(stop_words))
+            | tag_of(t).isin(PUNCTUATION)
+            | _key(t, cased).isin(keep_words)
         )
 
     def serving(t: Column) -> Column:
         return (
-            ~t["key"].isin(stop_words)
+            ~_key(t, cased).isin(stop_words)
             | tag_starts(t, "JJ", "RB", "VB")
-            | t["tag"].isin(PUNCTUATION)
+            | tag_of(t).isin(PUNCTUATION)
         )
 
     kept = F.filter(tokens, {"batch": batch, "serving": serving}[mode])
-    return F.array_join(F.transform(kept, lambda t: t["lemma"]), " ")
+    return F.array_join(F.transform(kept, lemma_of), " ")
+
+
+def _key(token: Column, cased: bool) -> Column:
+    return F.lower(token["word"]) if cased else token["word"]
 
 
 def pos_counts(tokens: Column, quotes: Column) -> Column:
@@ -208,7 +198,7 @@ def pos_counts(tokens: Column, quotes: Column) -> Column:
     The tags are joined into one text, in which a prefix is counted much faster
     than by filtering the array once per prefix.
     """
-    tags = F.concat(F.lit(" "), F.array_join(F.transform(tokens, lambda t: t["tag"]), " "))
+    tags = F.concat(F.lit(" "), F.array_join(F.transform(tokens, tag_of), " "))
 
     def count(prefix: str) -> Column:
         return F.regexp_count(tags, F.lit(f" {prefix}"))

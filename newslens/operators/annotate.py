@@ -58,9 +58,10 @@ def annotate(
     staged = with_clean_text(staged, "_full", tag_on)
     staged = with_tokens(staged, tagger or Tagger(cased=tag_on == "original"))
     tokens, quotes = F.col("_tokens"), F.col("_quotes")
-    topic = tagging.topic_text(tokens, stops) if purpose != "sentiment" else F.lit("")
+    cased = tag_on == "original"
+    topic = tagging.topic_text(tokens, stops, cased) if purpose != "sentiment" else F.lit("")
     mood = (
-        tagging.sentiment_text(tokens, stops, keep_words, mode) if purpose != "topic" else F.lit("")
+        tagging.sentiment_text(tokens, stops, keep_words, mode, cased) if purpose != "topic" else F.lit("")
     )
     return staged.select(
         *[F.col(c) for c in df.columns],
@@ -92,7 +93,7 @@ def token_table(df: DataFrame, id_col: str) -> DataFrame:
     joining tokens with tables too large for a dictionary.
     """
     return df.select(id_col, F.posexplode("_tokens").alias("pos", "t")).select(
-        id_col, "pos", "t.word", "t.tag", "t.lemma"
+        id_col, "pos", "t.word", "t.mark.tag", "t.mark.lemma"
     )
 
 
@@ -103,11 +104,10 @@ def tag_by_join(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     token side skewed, which adaptive execution splits.
     """
     known = lexicon.select("word", F.col("tag").alias("_tag"), F.col("lemma").alias("_lemma"))
-    tagged = tokens.join(known, "word", "left").withColumn(
-        "tag", F.coalesce("_tag", tagging.fallback_tag(F.col("word")))
-    )
-    lemma = F.coalesce("_lemma", tagging.fallback_lemma(F.col("word"), tagging.lemma_class(F.col("tag"))))
-    return tagged.withColumn("lemma", lemma).drop("_tag", "_lemma")
+    tagged = tokens.join(known, "word", "left").withColumn("_unknown", tagging.fallback_mark(F.col("word")))
+    return tagged.withColumns({
+        "tag": F.coalesce("_tag", "_unknown.tag"), "lemma": F.coalesce("_lemma", "_unknown.lemma")
+    }).drop("_tag", "_lemma", "_unknown")
 
 
 def entities_by_window(tokens: DataFrame, id_col: str) -> DataFrame:
