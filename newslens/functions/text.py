@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from newslens.functions.wordlists import CONTRACTIONS, PATTERN_KEYS
+from newslens.functions.wordlists import (
+    CONTRACTIONS, NEGATIVE_FROM, PATTERN_KEYS, POSITIVE_FROM,
+)
 
+# --- fixed values: the patterns of the cleaning steps ---
 # Unicode white space, as the body of a character class.
 SPACE = r"\t-\r\x{1C}-\x{20}\x{85}\p{Z}"
 # Word characters of the term analyser (letters, numbers, underscore).
@@ -18,6 +21,7 @@ URL = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 TAG = r"<[^>\n]*>"
 UNWANTED = rf"[^a-zA-Z0-9'{SPACE}.,!?\x22-]"
 QUOTED = r'"([^"]*)"'
+# --- end of fixed values ---
 
 
 def strip(text: Column) -> Column:
@@ -104,8 +108,8 @@ def date_or_today(date: Column, today: str | None = None) -> Column:
 
 def sentiment_label(compound: Column) -> Column:
     return (
-        F.when(compound >= 0.05, "positive")
-        .when(compound <= -0.05, "negative")
+        F.when(compound >= POSITIVE_FROM, "positive")
+        .when(compound <= NEGATIVE_FROM, "negative")
         .otherwise("neutral")
     )
 

@@ -156,6 +156,14 @@ scandal -1.9 fraud -2.8 sick -2.3 sorry -0.3 stress -1.8 suffer -2.5 terror -2.4
 tragedy -3.4 trouble -1.7 worry -1.9 negative -2.7 no -1.2 idiot -2.3 disgusting -2.4 trash -2.0
 """
 
+# Answers to requests that cannot be scored.
+NOT_TEXT = "Headline and short_description must be strings"
+BLANK = "Headline and short_description cannot be empty"
+NOTHING_LEFT = "Text processing failed to produce valid output"
+
+# Compound scores from which a text counts as positive or negative.
+POSITIVE_FROM, NEGATIVE_FROM = 0.05, -0.05
+
 # Special tokens of the fixed-length encoding: padding, unknown, start, end.
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 100, 101, 102
 # --- end of fixed values ----------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.functions import text
 from newslens.functions.dictionary import Dictionary
-from newslens.functions.wordlists import CATEGORY_MERGES
+from newslens.functions.wordlists import BLANK, CATEGORY_MERGES, NOT_TEXT
 
 
 def blank_rows(df: DataFrame, headline: str = "headline", description: str = "short_description") -> DataFrame:
@@ -93,7 +93,5 @@ def with_request_error(df: DataFrame, headline: str = "headline", description: s
     """Add ``error`` (null when the request is valid) and ``success``."""
     missing = F.col(headline).isNull() | F.col(description).isNull()
     blank = (text.strip(F.col(headline)) == "") | (text.strip(F.col(description)) == "")
-    error = F.when(missing, "Headline and short_description must be strings").when(
-        blank, "Headline and short_description cannot be empty"
-    )
+    error = F.when(missing, NOT_TEXT).when(blank, BLANK)
     return df.withColumn("error", error).withColumn("success", F.col("error").isNull())

@@ -72,6 +72,12 @@ def vocabulary_cap(spark, folder):
     return _rounded(ops.vocabulary_table(texts(spark, folder), "text", TUNED))
 
 
+@query("k4_pruned_vocabulary", "WITH " + ", ".join(term_ctes(TUNED)) + VOCAB_SQL)
+def pruned_vocabulary(spark, folder):
+    """The same table without shuffling the n-grams that cannot be kept."""
+    return _rounded(ops.vocabulary_table(texts(spark, folder), "text", TUNED, prune=True))
+
+
 @query("m4_vocabulary", "WITH " + ", ".join(term_ctes(BASIC)) + VOCAB_SQL)
 def vocabulary(spark, folder):
     return _rounded(ops.vocabulary_table(texts(spark, folder), "text", BASIC))
@@ -117,9 +123,6 @@ def tfidf_sublinear(spark, folder):
     return _tfidf(spark, folder, TUNED, SUBLINEAR)
 
 
-_UNIGRAMS = TermSettings(ngrams=(1, 1), min_df=2, max_features=UNCAPPED)
-
-
 @query("m2_tfidf_by_join", "WITH " + ", ".join([*term_ctes(TermSettings(min_df=2, max_features=UNCAPPED)), *weight_ctes("c.tf")])
        + "SELECT doc_id, term, round(weight, 6) AS weight FROM normed")
 def tfidf_by_join(spark, folder):
