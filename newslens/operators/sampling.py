@@ -101,9 +101,9 @@ def random_split(df: DataFrame, id_col: str, train_share: float = 0.8, seed: int
 
 
 def target_size(n: Column, smallest: Column, max_ratio: float, min_samples: int) -> Column:
-    """Rows a class should keep, given its size and that of the smallest class."""
+    """Rows a class should keep, given its size and that of the smallest class; a fraction is cut off."""
     cap = F.greatest(smallest, F.lit(min_samples)) * F.lit(max_ratio)
-    return F.when(n <= cap, F.greatest(n, F.lit(min_samples))).otherwise(cap).cast("bigint")
+    return F.when(n <= cap, F.greatest(n, F.lit(min_samples))).otherwise(F.floor(cap)).cast("bigint")
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:

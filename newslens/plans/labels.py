@@ -13,7 +13,7 @@ SPLIT_SQL = f"""split_rows AS (SELECT *, CASE WHEN row_number() OVER (PARTITION
   <= round(0.2 * count(*) OVER (PARTITION BY y)) THEN 'test' ELSE 'train' END AS split FROM labelled)"""
 # Balancing settings that fit the size of the labelled table.
 MAX_RATIO, MIN_SAMPLES = 1.5, 20
-TARGET_SQL = f"""targets AS (SELECT y, n, CAST(CASE WHEN n <= cap THEN greatest(n, {MIN_SAMPLES}) ELSE cap END AS BIGINT) AS target
+TARGET_SQL = f"""targets AS (SELECT y, n, CAST(CASE WHEN n <= cap THEN greatest(n, {MIN_SAMPLES}) ELSE floor(cap) END AS BIGINT) AS target
   FROM (SELECT y, n, greatest(min(n) OVER (), {MIN_SAMPLES}) * {MAX_RATIO} AS cap FROM (
     SELECT y, count(*) AS n FROM split_rows WHERE split = 'train' GROUP BY y)))"""
 BALANCED_SQL = f"""balanced AS (SELECT s.* FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {ORDER_SQL}) AS r
@@ -94,7 +94,7 @@ def sampling_targets(spark, folder):
 
 
 @query("m15_default_targets", """
-SELECT event_type, n, CAST(CASE WHEN n <= cap THEN greatest(n, 2000) ELSE cap END AS BIGINT) AS target, n < 2000 AS under_min
+SELECT event_type, n, CAST(CASE WHEN n <= cap THEN greatest(n, 2000) ELSE floor(cap) END AS BIGINT) AS target, n < 2000 AS under_min
 FROM (SELECT *, greatest(min(n) OVER (), 2000) * 5 AS cap FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type))""")
 def default_targets(spark, folder):
     return sampling.sampling_targets(read_table(spark, folder, "events").select("event_type"), "event_type")
