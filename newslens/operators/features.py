@@ -14,7 +14,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
+
+from newslens.session import materialize
 
 
 class SvdProjection:
@@ -32,24 +33,24 @@ class SvdProjection:
 
     @classmethod
     def fit(
-        cls, df: DataFrame, vector_col: str, k: int, iterations: int = 5, oversample: int = 10, seed: int = 42
+        cls, df: DataFrame, vector_col: str, k: int, iterations: int = 5, oversample: int = 10,
+        seed: int = 42, stored: bool = False,
     ) -> SvdProjection:
+        """Fit on the vectors of ``df``; they are written first unless already ``stored``."""
         rows = df.select(F.unwrap_udt(vector_col).alias("s")).select("s.indices", "s.values", "s.size")
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            first = rows.select(F.coalesce("size", F.size("values")).alias("n")).first()
-            if first is None:
-                raise ValueError("no rows to fit on")
-            n = first["n"]
-            block = np.random.default_rng(seed).normal(size=(n, min(n, k + oversample)))
-            for _ in range(iterations):
-                block = _gram_product(rows, np.linalg.qr(block)[0])
-            basis = np.linalg.qr(block)[0]
-            values, vectors = np.linalg.eigh(basis.T @ _gram_product(rows, basis))
-            order = np.argsort(values)[::-1][:k]
-            return cls(basis @ vectors[:, order], np.sqrt(np.maximum(values[order], 0.0)))
-        finally:
-            rows.unpersist()
+        if not stored:
+            rows = materialize(rows, "svd")
+        first = rows.select(F.coalesce("size", F.size("values")).alias("n")).first()
+        if first is None:
+            raise ValueError("no rows to fit on")
+        n = first["n"]
+        block = np.random.default_rng(seed).normal(size=(n, min(n, k + oversample)))
+        for _ in range(iterations):
+            block = _gram_product(rows, np.linalg.qr(block)[0])
+        basis = np.linalg.qr(block)[0]
+        values, vectors = np.linalg.eigh(basis.T @ _gram_product(rows, basis))
+        order = np.argsort(values)[::-1][:k]
+        return cls(basis @ vectors[:, order], np.sqrt(np.maximum(values[order], 0.0)))
 
     def transform(self, df: DataFrame, vector_col: str, name: str = "svd") -> DataFrame:
         shared = df.sparkSession.sparkContext.broadcast(self.components)

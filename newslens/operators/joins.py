@@ -1,19 +1,23 @@
 """Dimension lookups.
 
-No side is forced to broadcast: a dimension is as large as the number of its
-keys, so the choice is left to adaptive execution, which knows the measured
-size and splits a skewed fact side when it has to shuffle.
+No side is forced to broadcast, since a dimension is as large as the number of
+its keys. Label tables are written once and read back instead, so that the
+planner knows their true size: small ones are broadcast without shuffling the
+fact side, large ones are shuffled and a skewed fact side is split.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from newslens.session import materialize
+
 
 def label_index(df: DataFrame, column: str = "category", by: str = "alphabet", id_col: str | None = None) -> DataFrame:
     """(idx, label): labels numbered from 0, alphabetically or by first appearance.
 
-    The window runs over one row per label, after the aggregation.
+    The window runs over one row per label, after the aggregation; the result
+    is stored, so using it again does not scan the data again.
     """
     rows = df.where(F.col(column).isNotNull())
     if by == "alphabet":
@@ -24,7 +28,7 @@ def label_index(df: DataFrame, column: str = "category", by: str = "alphabet", i
     else:
         raise ValueError("by must be 'alphabet' or 'appearance'")
     numbered = labels.withColumn("idx", F.row_number().over(Window.orderBy(order)) - 1)
-    return numbered.select("idx", "label")
+    return materialize(numbered.select("idx", "label"), "labels")
 
 
 def attach_index(df: DataFrame, index: DataFrame, column: str = "category", name: str = "category_id") -> DataFrame:

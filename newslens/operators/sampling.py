@@ -107,7 +107,9 @@ def target_size(n: Column, smallest: Column, max_ratio: float, min_samples: int)
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:
-    return df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """(label, n), stored: it is used several times and joined with its true size known."""
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    return materialize(sizes, "sizes")
 
 
 def sampling_targets(df: DataFrame, label: str, max_ratio: float = 5, min_samples: int = 2000) -> DataFrame:

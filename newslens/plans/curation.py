@@ -8,7 +8,7 @@ from newslens.functions.wordlists import KEEP_WORDS, STOP_WORDS
 from newslens.operators import curate, joins, reports
 from newslens.plans.articles import articles, over_articles, text_articles
 from newslens.plans.registry import query
-from newslens.session import materialize, scratch_path
+from newslens.session import scratch_path
 from newslens.sources import files
 from newslens.sources.files import read_table, read_texts
 from newslens.sources.schemas import ARTICLE_WITH_ID
@@ -120,7 +120,8 @@ def sample_naming(spark, folder):
     "FROM (SELECT DISTINCT category FROM articles WHERE category IS NOT NULL)"
 ))
 def category_mapping(spark, folder):
-    return materialize(joins.label_index(articles(spark, folder, "category")), "mapping")
+    """The numbered categories, written and read back."""
+    return joins.label_index(articles(spark, folder, "category"))
 
 
 @query("p1_projection", over_articles("SELECT doc_id, category, headline FROM articles"))
