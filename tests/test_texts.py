@@ -191,3 +191,24 @@ def test_wrong_request_keys_become_errors(spark, tmp_path):
 def test_sample_naming():
     assert files.dataset_path("s3://b/x/", "processed", True) == "s3://b/x/processed_sample"
     assert files.dataset_path("data", "processed", False) == "data/processed"
+
+
+def test_hot_content_is_combined_before_the_shuffle(spark):
+    """A third of the rows are copies of one article."""
+    copies = F.when(F.col("id") % 3 == 0, F.lit("same text")).otherwise(F.concat(F.lit("text "), F.col("id").cast("string")))
+    df = spark.range(0, 30_000, 1, 8).select("id", copies.alias("headline"))
+    kept = curate.keep_first(df, ["headline"], "id")
+    assert kept.count() == 20_001 and kept.where("headline = 'same text'").first()["id"] == 0
+    assert curate.count_duplicates(df, "headline").first()[0] == 9_999
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min") > plan.index("Exchange")  # the tree prints the top first
+
+
+def test_filters_and_columns_reach_the_scan(spark, folder):
+    from newslens.plans import load_all
+
+    queries = load_all()
+    by_category = queries["p8_category_filter"].run(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(source,src3)" in by_category
+    by_month = queries["a8_counts_by_month"].run(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,source:string>" in by_month
