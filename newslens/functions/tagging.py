@@ -73,12 +73,6 @@ def _verb_lemma(word: Column) -> Column:
     )
 
 
-def _adjective_lemma(word: Column) -> Column:
-    length = F.length(word)
-    return _if(_ends(word, "iest") & (length > 5), _drop(word, 4, "y"),
-               _if(_ends(word, "ier") & (length > 4), _drop(word, 3, "y"), word))
-
-
 def lemma_class(tag: Column) -> Column:
     """First letter of the tag -> a(djective) / n(oun) / v(erb) / r (adverb)."""
     first = F.substring(tag, 1, 1)

@@ -13,8 +13,7 @@ from newslens.plans.articles import over_articles, text_articles
 from newslens.plans.noise import CLEANING_NOISE, MOOD_NOISE, noisy, noisy_sql, quote
 from newslens.plans.registry import query
 from newslens.plans.texts import SPACE_SQL, contractions_sql, scrub_sql, strip_sql
-from newslens.session import spread
-from newslens.sources.files import read_table, read_texts
+from newslens.sources.files import read_texts
 
 # The starter lexicon plus tags for frequent words of the test documents.
 LEXICON = {
