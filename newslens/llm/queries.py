@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newslens.llm import bpe, minhash, mixing, pii, secret_scan
+from newslens.llm import bpe, line_dedup, lm, minhash, mixing, pii, quality, secret_scan, topk, vectors
 from newslens.llm.registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -56,3 +56,59 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(_read(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_topk", """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_inner_products(_read(spark, folder, "embeddings"))
+
+
+@query("op8_embeddings", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS q FROM embeddings
+), ok AS (
+  SELECT vec_id, q FROM v WHERE q IS NOT NULL AND len([x FOR x IN q IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN q IF x <> 0]) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND (a.q = b.q OR list_cosine_similarity(a.q, b.q) >= 0.95)
+), reach(a, b) AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low.b, vec_id)) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN low ON low.a = vec_id
+""")
+def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(_read(spark, folder, "embeddings"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    ratings = _read(spark, folder, "labels").select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade"))
+    graded = quality.grade_documents(docs, quality.train(docs, ratings))
+    return graded.select("doc_id", "expected_grade", "tail", F.coalesce(F.col("tail") >= quality.SELECT, F.lit(True)).alias("selected"))
+
+
+@query("op9_lm")
+def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(_read(spark, folder, "documents"))
+
+
+@query("op2_lines")
+def op2_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs, lines = line_dedup.line_classes(_read(spark, folder, "documents"))
+    named = F.concat_ws(":", "line", "component.doc_id", "component.line")
+    per_doc = lines.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_shared"), F.sum(line_dedup.repeats(lines).cast("bigint")).alias("n_repeats"),
+        F.sum("n_links").alias("n_links"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", named.alias("name")))), lambda x: x["name"]), ",").alias("classes"))
+    zero = F.lit(0).cast("bigint")
+    return docs.join(per_doc, "doc_id", "left").select(
+        "doc_id", "n_lines", *(F.coalesce(c, zero).alias(c) for c in ("n_shared", "n_repeats", "n_links")), F.coalesce("classes", F.lit("")).alias("classes"))
