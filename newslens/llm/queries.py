@@ -21,7 +21,10 @@ def _digest(spans: Column, base: tuple[str, ...]) -> Column:
 
 
 def _counts(spans: Column, base: tuple[str, ...]) -> list[Column]:
-    return [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in base]
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return [count(kind) for kind in base]
 
 
 @query("op1_pii")
