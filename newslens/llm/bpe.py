@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from newslens.llm.text import buffers, mix
+from newslens.llm.text import buffers, fresh, mix
 
 #: The pre-token pattern that ``split`` handles on arrays; others go through ``regex``.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -331,9 +331,9 @@ def encode(texts: pa.Array, ranks: Ranks):
 
 def _over(docs: DataFrame, text_col: str, path: str, pattern: str, fields: list[StructField], make) -> DataFrame:
     names = [f.name for f in fields]
-    kept = [c for c in docs.columns if c not in {*names, "_text"}]
-    source = docs.select(*kept, F.col(text_col).cast("binary").alias("_text"))
-    schema = StructType([*source.select(*kept).schema.fields, *fields])
+    kept = [c for c in docs.columns if c not in names]
+    source = docs.select(*kept, F.col(text_col).cast("binary").alias(fresh("_text", kept)))
+    schema = StructType([*docs.select(*kept).schema.fields, *fields])
 
     def run(batches):
         ranks = load_ranks(path, pattern)

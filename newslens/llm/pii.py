@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StructType
 
+from newslens.llm.text import fresh
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "short_card", "national")
 #: Characters on either side in which context words count.
@@ -124,8 +126,8 @@ def with_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
     shuffle; a column named ``out`` is replaced, all others stay as they are.
     """
     kept = [c for c in docs.columns if c != out]
-    source = docs.select(*kept, F.col(text_col).alias("_pii_text"))
-    schema = StructType([*source.select(*kept).schema.fields]).add(out, DataType.fromDDL(SPANS))
+    source = docs.select(*kept, F.col(text_col).alias(fresh("_text", kept)))
+    schema = StructType([*docs.select(*kept).schema.fields]).add(out, DataType.fromDDL(SPANS))
 
     def run(batches):
         for batch in batches:
@@ -143,7 +145,7 @@ def spans_text(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with every span's place taken by its kind in brackets; overlapping spans count as one."""
-    by_start = F.array_sort(spans, lambda a, b: a["start"] - b["start"])
+    by_start = F.array_sort(spans, lambda a, b: F.signum(a["start"] - b["start"]).cast("int"))
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
 
     def put(state, s):

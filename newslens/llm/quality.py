@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from newslens.llm.text import buffers, mix, word_hashes
+from newslens.llm.text import buffers, fresh, mix, word_hashes
 
 #: Hashed features, most rated documents (expected) in a fit, epochs, documents per step, step size, shrinkage.
 BITS, MOST_RATED, EPOCHS, BATCH, RATE, SHRINK = 18, 12000, 12, 128, 2.0, 2e-6
@@ -133,7 +133,7 @@ def grade(quality, toxic):
 def _over(docs: DataFrame, text_col: str, out: list[StructField], make) -> DataFrame:
     names = [f.name for f in out]
     kept = [c for c in docs.columns if c not in names]
-    source = docs.select(*kept, F.col(text_col).cast("binary").alias("_text"))
+    source = docs.select(*kept, F.col(text_col).cast("binary").alias(fresh("_text", kept)))
 
     def run(batches):
         for batch in batches:
@@ -141,7 +141,7 @@ def _over(docs: DataFrame, text_col: str, out: list[StructField], make) -> DataF
                 part = batch.slice(low, STEP)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *make(part.column(len(kept)))], names=[*kept, *names])
 
-    return source.mapInArrow(run, StructType([*source.select(*kept).schema.fields, *out]))
+    return source.mapInArrow(run, StructType([*docs.select(*kept).schema.fields, *out]))
 
 
 def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_RATED) -> OrdinalModel | None:

@@ -101,3 +101,10 @@ def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], s
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has."""
+    while name in columns:
+        name = f"_{name}"
+    return name
