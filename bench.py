@@ -11,13 +11,13 @@ import os
 import time
 
 from newslens.plans import load_all
-from newslens.session import build_session
+from newslens.session import TEXT_PARTITIONS, build_session
 
 HEADLINE = [
     "flagship_monthly_categories", "a2_keep_first", "a8_counts_by_month", "a14_word_cloud_terms", "f8_clean_text",
     "x9_annotated_articles", "x11_raw_text_sentiment", "a9_category_sentiment", "w1_entity_runs", "p10_fraction_sample",
     "m13_stratified_split", "m4_vocabulary", "m3_tfidf_sublinear", "m9_chi_square", "m22_classification_report",
-    "m25_batch_mean_accuracy", "t3_daily_timeline",
+    "m25_batch_mean_accuracy", "t3_daily_timeline", "m6_topics", "m5_svd_of_tfidf", "m18_training_report", "m32_scores",
 ]
 
 
@@ -25,7 +25,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g", TEXT_PARTITIONS: cpus,
     })
     spark.sparkContext.setLogLevel("ERROR")
     registered = load_all()

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-MAX_ENTRIES = 100_000
+MAX_ENTRIES = 200_000
 
 
 class Dictionary:

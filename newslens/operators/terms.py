@@ -10,6 +10,8 @@ construction, so applying it is row-local again.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import pandas as pd
@@ -21,10 +23,14 @@ from newslens.functions.dictionary import MAX_ENTRIES, Dictionary
 from newslens.functions.fence import fenced
 from newslens.functions.text import TERM
 from newslens.functions.wordlists import STOP_WORDS
+from newslens.operators.sampling import with_position
 from newslens.session import materialize
 
-# A vocabulary is collected to the driver and shipped with tasks, so it is capped.
-MAX_VOCABULARY = 200_000
+# A fitted vocabulary is collected to the driver and shipped with tasks, so it is bounded;
+# a vocabulary table is not.
+MAX_VOCABULARY = MAX_ENTRIES
+# Slots of the word mask that leaves out rare n-grams.
+MASK_BITS = 1 << 20
 VOCABULARY_SCHEMA = "idx int, term string, tf bigint, df bigint, idf double"
 PLAIN, SUBLINEAR = "plain", "sublinear"
 
@@ -34,7 +40,7 @@ class TermSettings:
     """How text becomes terms and which terms are kept."""
 
     ngrams: tuple[int, int] = (1, 3)
-    max_features: int = 17_500
+    max_features: int | None = 17_500  # None: every term within the document-frequency limits
     max_df: float = 0.95
     min_df: int = 2
     stop_words: tuple[str, ...] = tuple(STOP_WORDS)
@@ -43,8 +49,8 @@ class TermSettings:
         lo, hi = self.ngrams
         if not 1 <= lo <= hi <= 3:
             raise ValueError("ngrams must lie between 1 and 3")
-        if not 0 < self.max_features <= MAX_VOCABULARY:
-            raise ValueError(f"max_features must lie between 1 and {MAX_VOCABULARY}")
+        if self.max_features is not None and self.max_features < 1:
+            raise ValueError("max_features must be at least 1")
 
 
 BASIC = TermSettings()
@@ -104,53 +110,84 @@ def pruned_statistics(
     words within the document-frequency limits occur at least t times, an n-gram
     needs t occurrences to be kept, so all of its words need t. Words below t
     are masked before the n-grams are formed, which leaves out almost all of
-    them when the collection is large. Costs one more pass over the texts; falls
-    back to all n-grams when there are too few words or too many candidates.
+    them when the collection is large. Costs one more pass over the texts. The
+    mask is a bitmap of fixed size by the words' hash: a rare word that shares a
+    slot lets some n-grams through, and none is lost.
     """
-    lo, hi = settings.ngrams
     singles = materialize(
         term_statistics(df, text_col, replace(settings, ngrams=(1, 1))), "words"
     )
-    kept = singles.where(_within(settings, documents)).orderBy(F.desc("tf"), "term")
-    last = kept.limit(settings.max_features).agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("t")).first()
-    frequent = [] if last["n"] < settings.max_features else [
-        r["term"] for r in singles.where(F.col("tf") >= last["t"]).select("term").limit(MAX_ENTRIES + 1).collect()
-    ]
-    if not frequent or len(frequent) > MAX_ENTRIES or lo > 1:
-        return term_statistics(df, text_col, settings)
-    known = Dictionary(dict.fromkeys(frequent, 1), "int")
+    cut, _ = _frequency_cut(singles.where(_within(settings, documents)), settings.max_features)
+    known = _word_mask(singles.where(F.col("tf") >= cut))
     tokens = analyzed_tokens(F.coalesce(F.col(text_col), F.lit("")), settings.stop_words)
-    masked = F.transform(tokens, lambda t: F.when(known.get(t).isNotNull(), t))
+    masked = F.transform(tokens, lambda t: F.when(known(t), t))
     staged = fenced(df.select(text_col), _terms=masked)
-    longer = grams(F.col("_terms"), 2, hi)
+    longer = grams(F.col("_terms"), 2, settings.ngrams[1])
     # a masked word makes every n-gram over it null
     rows = staged.select(F.filter(longer, lambda g: g.isNotNull()).alias("_grams"))
     return singles.unionByName(_statistics(rows))
 
 
+def _word_mask(words: DataFrame) -> Callable[[Column], Column]:
+    """A test that holds for every one of the words, and for few others."""
+    slot = lambda w: F.pmod(F.xxhash64(w), F.lit(MASK_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("slot") % 64).cast("int"))
+    filled = words.select(slot("term").alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("cell")).agg(F.bit_or(bit).alias("bits"))
+    cells = [0] * (MASK_BITS // 64)
+    for row in filled.collect():  # at most MASK_BITS / 64 rows
+        cells[row["cell"]] = row["bits"]
+    table = json.dumps(cells)
+
+    def known(word: Column) -> Column:
+        cell = F.get(F.from_json(F.lit(table), "array<bigint>"), F.floor(slot(word) / 64).cast("int"))
+        return F.getbit(cell, (slot(word) % 64).cast("int")) == 1
+
+    return known
+
+
+def _frequency_cut(kept: DataFrame, most: int) -> tuple[int, int]:
+    """(lowest frequency among the ``most`` most frequent terms, how many terms are more frequent).
+
+    Terms are counted by frequency first, of which there are few, so that no
+    task gathers terms. With fewer terms the cut is the lowest frequency of all.
+    """
+    counts = kept.groupBy("tf").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = counts.withColumn("above", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("above") < most)
+    row = reached.agg(F.min("tf").alias("cut"), F.max("above").alias("above")).first()
+    return row["cut"] or 1, row["above"] or 0
+
+
 def _within(settings: TermSettings, documents: Column) -> Column:
     return (F.col("df") >= settings.min_df) & (F.col("df") <= settings.max_df * documents)
 
 
 def vocabulary_table(
-    df: DataFrame, text_col: str, settings: TermSettings = BASIC, prune: bool = False
+    df: DataFrame, text_col: str, settings: TermSettings = BASIC, prune: bool = True
 ) -> DataFrame:
     """(idx, term, tf, df, idf): the most frequent terms within the document-frequency limits.
 
     ``idx`` numbers the kept terms alphabetically; ties in frequency are cut
-    alphabetically; idf is ln((1+n)/(1+df)) + 1. ``prune`` gives the same table
-    with a second pass over the texts in place of shuffling every n-gram.
+    alphabetically; idf is ln((1+n)/(1+df)) + 1. Without ``max_features`` every
+    term within the limits is kept. ``prune`` gives the same table with a second
+    pass over the texts in place of shuffling every n-gram; it applies where the
+    single words are among the terms.
     """
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    if prune and settings.ngrams[1] > 1:
+    if prune and settings.max_features and settings.ngrams[0] == 1 < settings.ngrams[1]:
         statistics = pruned_statistics(df, text_col, settings, documents)
     else:
         statistics = term_statistics(df, text_col, settings)
-    kept = statistics.where(_within(settings, documents))
-    top = kept.orderBy(F.desc("tf"), "term").limit(settings.max_features)
+    idf = F.log((documents + 1) / (F.col("df") + F.lit(1.0))) + 1
+    if settings.max_features is None:
+        numbered = with_position(statistics.where(_within(settings, documents)), "term", name="idx")
+        return numbered.select("idx", "term", "tf", "df", idf.alias("idf"))
+    kept = materialize(statistics.where(_within(settings, documents)), "terms")
+    cut, above = _frequency_cut(kept, settings.max_features)
+    tied = kept.where(F.col("tf") == cut).orderBy("term").limit(max(settings.max_features - above, 0))
     # at most max_features rows from here on
+    top = kept.where(F.col("tf") > cut).unionByName(tied)
     numbered = top.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
-    idf = F.log((documents + 1) / (F.col("df") + F.lit(1.0))) + 1
     return numbered.select("idx", "term", "tf", "df", idf.alias("idf"))
 
 
@@ -166,8 +203,10 @@ class Vocabulary:
 
     @classmethod
     def fit(
-        cls, df: DataFrame, text_col: str, settings: TermSettings = BASIC, prune: bool = False
+        cls, df: DataFrame, text_col: str, settings: TermSettings = BASIC, prune: bool = True
     ) -> Vocabulary:
+        if not 0 < (settings.max_features or 0) <= MAX_VOCABULARY:
+            raise ValueError(f"max_features must lie between 1 and {MAX_VOCABULARY}; a table has no such limit")
         return cls(vocabulary_table(df, text_col, settings, prune).collect(), settings)
 
     @classmethod
@@ -272,10 +311,17 @@ def tfidf_by_join(df: DataFrame, id_col: str, text_col: str, vocabulary: DataFra
     shuffles. The vocabulary has one row per term, so a frequent term only skews
     the counted side, which adaptive execution splits.
     """
-    exploded = with_grams(df.select(id_col, text_col), text_col, settings).select(
-        id_col, F.explode("_grams").alias("term")
-    )
-    counted = exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # equal terms stand together once sorted, so they are counted inside the row
+    ordered = with_grams(df.select(id_col, text_col), text_col, settings).select(id_col, F.sort_array("_grams").alias("_sorted"))
+    following = F.slice("_sorted", F.lit(2), F.greatest(F.size("_sorted"), F.lit(1)))
+    ends = F.filter(
+        F.zip_with(F.transform("_sorted", lambda g, i: F.struct(g.alias("term"), i.alias("at"))), following,
+                   lambda g, b: F.struct(g["term"].alias("term"), g["at"].alias("at"), (b.isNull() | (g["term"] != b)).alias("last"))),
+        lambda g: g["last"])
+    staged = fenced(ordered, _ends=ends)
+    earlier = F.concat(F.array(F.lit(-1)), F.transform("_ends", lambda g: g["at"]))
+    counts = F.zip_with("_ends", earlier, lambda g, e: F.struct(g["term"].alias("term"), (g["at"] - e).alias("tf")))
+    counted = staged.select(id_col, F.explode(F.filter(counts, lambda g: g["term"].isNotNull())).alias("c")).select(id_col, "c.term", "c.tf")
     weighted = counted.join(vocabulary.select("term", "idf"), "term").withColumn(
         "weight", Vocabulary._frequency(F.col("tf").cast("double"), weighting) * F.col("idf")
     )

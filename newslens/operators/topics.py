@@ -19,7 +19,7 @@ def fit_topics(
     topics: int,
     *,
     offset: float = 25.0,
-    batch_size: int | None = 128,
+    batch_size: int | None = None,
     epochs: int = 25,
     doc_prior: float = 0.1,
     topic_prior: float = 0.01,
@@ -28,9 +28,8 @@ def fit_topics(
 ) -> LDAModel:
     """Online variational LDA; one Spark iteration is one mini-batch.
 
-    A fixed ``batch_size`` makes the number of iterations grow with the data;
-    ``None`` takes a constant share per iteration instead, which is the setting
-    for collections far larger than a few hundred thousand articles.
+    By default an iteration takes a constant share of the data, so their number
+    does not grow; a fixed ``batch_size`` makes it grow with the data.
     """
     share = min(1.0, batch_size / max(df.count(), 1)) if batch_size else BATCH_SHARE
     return LDA(
@@ -44,6 +43,7 @@ def fit_topics(
 def topic_mix(model: LDAModel, df: DataFrame, counts_col: str, name: str = "topics") -> DataFrame:
     """Add the topic distribution; a document without vocabulary terms gets a uniform one."""
     k = model.getK()
+    model = model.copy()  # the fitted model is shared
     model.setFeaturesCol(counts_col).setTopicDistributionCol("_mix")
     mixed = fenced(model.transform(df), _parts=vector_to_array("_mix"))
     known = F.exists("_parts", lambda p: p > 0)

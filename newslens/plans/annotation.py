@@ -280,14 +280,13 @@ SELECT doc_id, coalesce(t, '') = '' AS empty, coalesce(n, 0) AS nouns FROM artic
          count(*) FILTER (starts_with(tag, 'NN')) AS n FROM ann GROUP BY doc_id) USING (doc_id)""",
     LEX_SQL, STOP_SQL,
     f"""full_text AS (SELECT doc_id, CASE WHEN f = '.' THEN '' ELSE f END AS f FROM (SELECT doc_id,
-      {strip_sql("CASE WHEN lang = 'en' THEN headline ELSE '' END || ' . '")} AS f FROM articles))""",
+      {strip_sql("CASE WHEN lang = 'en' THEN headline ELSE '' END || ' . ' || CASE WHEN lang = 'en' THEN short_description ELSE '' END")} AS f FROM articles))""",
     *token_ctes("doc_id", "full_text", "f")))
 def empty_articles(spark, folder):
     """Articles without text stay, with empty texts and zero counts."""
-    rows = text_articles(spark, folder, "doc_id", "headline", "lang").select(
-        "doc_id", F.when(F.col("lang") == "en", F.col("headline")).alias("headline"),
-        F.lit(None).cast("string").alias("short_description"),
-    )
+    english = lambda c: F.when(F.col("lang") == "en", F.col(c)).alias(c)
+    rows = text_articles(spark, folder, "doc_id", "headline", "short_description", "lang").select(
+        "doc_id", english("headline"), english("short_description"))
     done = ops.annotate(rows, tagger=Tagger(LEXICON))
     return done.select("doc_id", (F.col("processed_text") == "").alias("empty"), F.col("pos_features.noun_count").alias("nouns"))
 
@@ -375,21 +374,23 @@ def sentiment_ctes(key: str, source: str, column: str) -> list[str]:
 
 
 MOOD_SQL = (f"moody AS (SELECT doc_id, category, {noisy_sql('headline', MOOD_NOISE)} AS headline, "
-            f"{noisy_sql('text', MOOD_NOISE)} AS text FROM articles)")
+            f"{noisy_sql('short_description', MOOD_NOISE)} AS short_description, {noisy_sql('text', MOOD_NOISE)} AS text FROM articles)")
 SCORES_SQL = "SELECT doc_id, compound, positive, neutral, negative FROM scored"
 
 
 def moody(spark, folder, *columns):
-    rows = text_articles(spark, folder, "doc_id", "category", "date", "headline", "text").withColumns({
-        c: noisy(F.col(c), MOOD_NOISE) for c in ("headline", "text")
+    rows = text_articles(spark, folder, "doc_id", "category", "date", "headline", "short_description", "text").withColumns({
+        c: noisy(F.col(c), MOOD_NOISE) for c in ("headline", "short_description", "text")
     })
     return rows.select(*columns)
 
 
-@query("x10_sentiment_headlines", over_articles(SCORES_SQL, MOOD_SQL, *sentiment_ctes("doc_id", "moody", "headline")))
+@query("x10_sentiment_headlines", over_articles(SCORES_SQL, MOOD_SQL,
+    "whole AS (SELECT doc_id, headline || ' ' || short_description AS whole FROM moody)", *sentiment_ctes("doc_id", "whole", "whole")))
 def sentiment_headlines(spark, folder):
-    scored = SentimentScorer().score(moody(spark, folder, "doc_id", "headline"), "headline")
-    return scored.drop("headline")
+    """Headline and description, joined by a blank."""
+    whole = moody(spark, folder, "doc_id", F.concat_ws(" ", "headline", "short_description").alias("whole"))
+    return SentimentScorer().score(whole, "whole").drop("whole")
 
 
 @query("x10_sentiment_words", """
@@ -408,14 +409,15 @@ def raw_text_sentiment(spark, folder):
 
 @query("x11_batch_text_sentiment", over_articles(
     SCORES_SQL, LEX_SQL, STOP_SQL, KEEP_SQL, MOOD_SQL,
-    *token_ctes("doc_id", "moody", "headline"),
+    "full_text AS (SELECT doc_id, " + strip_sql("headline || ' . ' || short_description") + " AS f FROM moody)",
+    *token_ctes("doc_id", "full_text", "f"),
     f"""texts AS (SELECT doc_id, coalesce(s, '') AS s FROM moody LEFT JOIN (
       SELECT doc_id, string_agg(lemma, ' ' ORDER BY pos) AS s FROM ann WHERE {BATCH_RULE} GROUP BY doc_id) USING (doc_id))""",
     *[c.replace("raw AS (SELECT doc_id, unnest", "raw_words AS (SELECT doc_id, unnest").replace("FROM raw)", "FROM raw_words)")
       for c in sentiment_ctes("doc_id", "texts", "s")]))
 def batch_text_sentiment(spark, folder):
     """The batch variant scores the annotated sentiment text."""
-    rows = moody(spark, folder, "doc_id", "headline").withColumn("short_description", F.lit(None).cast("string"))
-    clean = ops.with_tokens(ops.with_clean_text(rows, "headline"), Tagger(LEXICON))
+    rows = moody(spark, folder, "doc_id", text.combine(F.col("headline"), F.col("short_description")).alias("full"))
+    clean = ops.with_tokens(ops.with_clean_text(rows, "full"), Tagger(LEXICON))
     texts = clean.select("doc_id", tagging.sentiment_text(F.col("_tokens"), STOPS, KEEP_WORDS).alias("s"))
     return SentimentScorer().score(texts, "s").drop("s")

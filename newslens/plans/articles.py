@@ -10,10 +10,9 @@ from newslens.session import spread
 from newslens.sources.files import read_table
 
 
-def articles(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Articles in the stored partitioning; name columns to read only those."""
+def _view(raw: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     first = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
-    view = read_table(spark, folder, "documents").select(
+    view = raw.select(
         "doc_id",
         first.alias("headline"),
         F.substr(F.col("text"), F.length(first) + 2).alias("short_description"),
@@ -25,20 +24,14 @@ def articles(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return view.select(*columns) if columns else view
 
 
+def articles(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Articles in the stored partitioning; name columns to read only those."""
+    return _view(read_table(spark, folder, "documents"), columns)
+
+
 def text_articles(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Articles about to go through text expressions: spread over the cores."""
-    raw = spread(read_table(spark, folder, "documents").select("doc_id", "text", "source", "lang"))
-    first = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
-    view = raw.select(
-        "doc_id",
-        first.alias("headline"),
-        F.substr(F.col("text"), F.length(first) + 2).alias("short_description"),
-        F.col("source").alias("category"),
-        "lang",
-        F.date_add(F.lit("2012-01-01").cast("date"), (F.col("doc_id") % 3900).cast("int")).alias("date"),
-        "text",
-    )
-    return view.select(*columns) if columns else view
+    """Articles about to go through text expressions, dealt out as the session asks."""
+    return _view(spread(read_table(spark, folder, "documents").select("doc_id", "text", "source", "lang")), columns)
 
 
 ARTICLES_SQL = """articles AS (

@@ -5,7 +5,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from newslens.functions import text
 from newslens.functions.wordlists import KEEP_WORDS, STOP_WORDS
-from newslens.operators import curate, joins, reports
+from newslens.operators import curate, joins, reports, sampling
 from newslens.plans.articles import articles, over_articles, text_articles
 from newslens.plans.registry import query
 from newslens.session import scratch_path
@@ -97,7 +97,7 @@ def csv_sink(spark, folder):
 
 
 @query("s6_sample_naming", over_articles(
-    "SELECT 'processed_sample' AS name, count(*) AS n FROM articles UNION ALL "
+    "SELECT 'processed_sample' AS name, CAST(floor(count(*) * 0.1) AS BIGINT) AS n FROM articles UNION ALL "
     "SELECT 'processed' AS name, count(*) AS n FROM articles"
 ))
 def sample_naming(spark, folder):
@@ -107,7 +107,7 @@ def sample_naming(spark, folder):
     result = None
     for sampled in (True, False):
         path = files.dataset_path(base, "processed", sampled)
-        files.write_dataset(rows, path)
+        files.write_dataset(sampling.sample(rows, "doc_id", 0.1) if sampled else rows, path)
         counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(path.rsplit("/", 1)[1]).alias("name"), "n"
         )
@@ -324,8 +324,7 @@ def membership(spark, folder):
     """Words outside the stop list plus the keep words: anti and semi joins on counted words."""
     tokens = text_articles(spark, folder, "text").select(F.explode(text.words(F.lower("text"))).alias("word"))
     counted = reports.value_counts(tokens, "word")
-    stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
-    keep = spark.createDataFrame([(w,) for w in KEEP_WORDS], "word string")
+    stop, keep = (F.broadcast(spark.createDataFrame([(w,) for w in ws], "word string")) for ws in (STOP_WORDS, KEEP_WORDS))  # constants
     stays = joins.members(counted, keep, "word").withColumn("kept", F.lit(True))
     others = joins.without(joins.without(counted, stop, "word"), keep, "word").withColumn("kept", F.lit(False))
     return stays.unionByName(others)
@@ -400,8 +399,7 @@ def word_difference(spark, folder):
     words = read_texts(spark, folder, "conversations", "text").select(
         F.explode(text.words(F.lower("text"))).alias("word")
     ).distinct()
-    stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
-    keep = spark.createDataFrame([(w,) for w in KEEP_WORDS], "word string")
+    stop, keep = (F.broadcast(spark.createDataFrame([(w,) for w in ws], "word string")) for ws in (STOP_WORDS, KEEP_WORDS))  # constants
     return joins.without(joins.members(words, stop, "word"), keep, "word")
 
 

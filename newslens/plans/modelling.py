@@ -18,7 +18,7 @@ from newslens.sources.files import read_table
 # Small settings: the queries check behaviour, the defaults are for real runs.
 SMALL = ModelParams(
     n_topics=4, n_estimators=5, svd_size=8, count_columns=100, best_features=80, min_samples=20,
-    max_ratio=3, epochs=1, batch_size=500, max_depth=5, learning_offset=25.0,
+    max_ratio=3, epochs=1, max_depth=5, learning_offset=25.0,
 )
 _trained: dict[tuple[str, str], tuple] = {}
 
@@ -77,7 +77,7 @@ def _topics(spark, folder):
     rows = texts(spark, folder).select("doc_id", "text")
     fitted = Vocabulary.fit(rows, "text", TUNED)
     counted = materialize(fitted.count(rows, "text").select("doc_id", "counts"), "counts")
-    return counted, topics.fit_topics(counted, "counts", 5, batch_size=500, epochs=1), fitted
+    return counted, topics.fit_topics(counted, "counts", 5, epochs=1), fitted
 
 
 @query("m6_topics")

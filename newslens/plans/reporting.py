@@ -13,6 +13,7 @@ from newslens.plans.annotation import (
 from newslens.plans.articles import articles, over_articles, text_articles
 from newslens.plans.curation import NOT_SPACE_SQL, words_sql
 from newslens.plans.registry import query
+from newslens.session import materialize
 from newslens.sources.files import read_table
 
 YEARS = list(range(2012, 2023))
@@ -87,13 +88,13 @@ def order_months(spark, folder):
     return reports.counts_by_month(rows)
 
 
-LABELLED_SQL = """labelled AS (SELECT doc_id, category, headline, CASE WHEN compound >= 0.05 THEN 'positive'
+LABELLED_SQL = """labelled AS (SELECT doc_id, category, text, CASE WHEN compound >= 0.05 THEN 'positive'
   WHEN compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment FROM scored JOIN moody USING (doc_id))"""
-MOOD_CTES = [MOOD_SQL, *sentiment_ctes("doc_id", "moody", "headline"), LABELLED_SQL]
+MOOD_CTES = [MOOD_SQL, *sentiment_ctes("doc_id", "moody", "text"), LABELLED_SQL]
 
 
 def labelled(spark, folder):
-    scored = SentimentScorer().score(moody(spark, folder, "doc_id", "category", "headline"), "headline")
+    scored = SentimentScorer().score(moody(spark, folder, "doc_id", "category", "text"), "text")
     return scored.withColumn("sentiment", text.sentiment_label(F.col("compound")))
 
 
@@ -104,11 +105,11 @@ def category_sentiment(spark, folder):
 
 
 @query("a9_category_sentiment_text", over_articles(
-    "SELECT category, headline AS sentiment_text, count(*) AS n FROM moody GROUP BY ALL", MOOD_SQL))
+    "SELECT category, md5(text) AS text_md5, count(*) AS n FROM moody GROUP BY ALL", MOOD_SQL))
 def category_sentiment_text(spark, folder):
-    """The variant grouped by the raw sentiment text."""
-    rows = moody(spark, folder, "category", F.col("headline").alias("sentiment_text"))
-    return reports.value_counts(rows, "category", "sentiment_text")
+    """The variant grouped by the raw sentiment text, by its digest, so that no text is shuffled."""
+    rows = moody(spark, folder, "category", F.md5("text").alias("text_md5"))
+    return reports.value_counts(rows, "category", "text_md5")
 
 
 @query("a10_sentiment_share", over_articles("""
@@ -118,7 +119,8 @@ SELECT 'src3', sentiment, count(*), round(100.0 * count(*) / (SELECT count(*) FR
 FROM labelled WHERE category = 'src3' GROUP BY sentiment""", *MOOD_CTES))
 def sentiment_share(spark, folder):
     """Percent per label, overall and for one category, from one grouped pass."""
-    grouped = reports.value_counts(labelled(spark, folder), "category", "sentiment")
+    # stored, as it is used four times
+    grouped = materialize(reports.value_counts(labelled(spark, folder), "category", "sentiment"), "grouped")
     scopes = grouped.groupBy("sentiment").agg(F.sum("n").alias("n")).select(F.lit("all").alias("scope"), "*")
     one = grouped.where(F.col("category") == "src3").select(F.lit("src3").alias("scope"), "sentiment", "n")
     both = [reports.with_share(part, "percent", 100.0) for part in (scopes, one)]

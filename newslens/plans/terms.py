@@ -15,7 +15,6 @@ from newslens.plans.registry import query
 BASIC, TUNED = ops.BASIC, ops.TUNED
 TERM_SQL = r"[\p{L}\p{N}_]{2,}"
 STOPS_SQL = values_sql("stops", "w", [(w,) for w in STOP_WORDS])
-UNCAPPED = ops.MAX_VOCABULARY
 
 
 def term_ctes(settings: TermSettings, source: str = "documents") -> list[str]:
@@ -34,7 +33,7 @@ def term_ctes(settings: TermSettings, source: str = "documents") -> list[str]:
         f"total AS (SELECT count(*) AS n FROM {source})",
         f"kept_terms AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM counted GROUP BY term "
         f"HAVING df >= {settings.min_df} AND df <= {settings.max_df} * (SELECT n FROM total) "
-        f"ORDER BY tf DESC, term LIMIT {settings.max_features})",
+        f"ORDER BY tf DESC, term{f' LIMIT {settings.max_features}' if settings.max_features else ''})",
         "vocab AS (SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, term, tf, df, "
         "ln((1 + (SELECT n FROM total)) / (1.0 + df)) + 1 AS idf FROM kept_terms)",
     ]
@@ -123,11 +122,11 @@ def tfidf_sublinear(spark, folder):
     return _tfidf(spark, folder, TUNED, SUBLINEAR)
 
 
-@query("m2_tfidf_by_join", "WITH " + ", ".join([*term_ctes(TermSettings(min_df=2, max_features=UNCAPPED)), *weight_ctes("c.tf")])
+@query("m2_tfidf_by_join", "WITH " + ", ".join([*term_ctes(TermSettings(min_df=2, max_features=None)), *weight_ctes("c.tf")])
        + "SELECT doc_id, term, round(weight, 6) AS weight FROM normed")
 def tfidf_by_join(spark, folder):
-    """The relational form for vocabularies too large for a literal."""
-    rows, settings = texts(spark, folder), TermSettings(min_df=2, max_features=UNCAPPED)
+    """The relational form, with every term of two documents or more."""
+    rows, settings = texts(spark, folder), TermSettings(min_df=2, max_features=None)
     table = ops.vocabulary_table(rows, "text", settings)
     return ops.tfidf_by_join(rows, "doc_id", "text", table, settings).withColumn("weight", F.round("weight", 6))
 

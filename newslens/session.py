@@ -1,13 +1,15 @@
-"""Session helpers: the shared folder, written intermediate tables, input spreading."""
+"""Session helpers: the shared folder, written intermediate tables, how text input is dealt out."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+TEXT_PARTITIONS = "newslens.text.partitions"
 _local_folders: dict[str, str] = {}
 
 
@@ -37,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError(f"set {_SETTING} to a folder all executors share")
     app = context.applicationId
     if app not in _local_folders:
@@ -64,10 +66,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition input that arrives in fewer pieces than there are cores.
+    """Deal out the rows of a text job, into as many partitions as the session asks for.
 
-    A large table already has far more splits than cores and passes unchanged;
-    a single-row-group file would otherwise run its whole text work in one task.
+    ``newslens.text.partitions`` is for inputs stored in a few large pieces, whose text work
+    would otherwise run in a few tasks. Unset, the reader's own splits are kept.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    pieces = df.sparkSession.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(pieces)) if pieces else df

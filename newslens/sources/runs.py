@@ -36,11 +36,12 @@ def runs_of(runs: DataFrame, experiment: str, keys: list[str]) -> DataFrame:
     A metric no run recorded is null, so callers always find the column.
     """
     own = runs.where((F.col("experiment") == experiment) & (F.col("kind") == "metric"))
-    return own.groupBy("run_id").pivot("key", keys).agg(F.first("value"))
+    return own.groupBy("run_id").pivot("key", keys).agg(F.max_by("value", "ts"))
 
 
 def first_metric(runs: DataFrame, experiment: str, key: str) -> DataFrame:
-    """The metric of the experiment's first run, or 'No data'."""
-    wide = runs_of(runs, experiment, [key])
-    first = wide.orderBy("run_id").limit(1).agg(F.first(key).alias(key))
+    """The metric of the experiment's newest run, the one a run search lists first, or 'No data'."""
+    own = runs.where((F.col("experiment") == experiment) & (F.col("kind") == "metric"))
+    newest = own.groupBy("run_id").agg(F.max("ts").alias("_ts")).orderBy(F.desc("_ts"), "run_id").limit(1)
+    first = runs_of(runs, experiment, [key]).join(F.broadcast(newest), "run_id").agg(F.first(key).alias(key))  # one row
     return first.select(F.coalesce(key, F.lit(NO_DATA)).alias(key))
