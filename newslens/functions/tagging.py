@@ -216,6 +216,24 @@ def named_entities(tokens: Column) -> Column:
     return F.filter(F.split(text, _BREAK), lambda run: run != "")
 
 
+def entity_runs(tokens: Column) -> Column:
+    """array<struct<start, entity>>: the named entities and where they start."""
+    flags = F.transform(tokens, lambda t, i: F.struct(i.alias("at"), tag_starts(t, "NNP").alias("proper")))
+    earlier = F.concat(F.array(F.lit(False)), F.transform(tokens, lambda t: tag_starts(t, "NNP")))
+    starts = F.zip_with(flags, earlier, lambda f, e: F.when(f["proper"] & ~e, f["at"]))
+    return F.arrays_zip(F.array_compact(starts).alias("start"), named_entities(tokens).alias("entity"))
+
+
+def noun_pairs(tokens: Column, prefix: str) -> Column:
+    """array<struct<pos, phrase>>: the pairs of ``followed_by_noun`` and where they start."""
+    following = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(1)))
+    placed = F.transform(tokens, lambda t, i: F.struct(i.alias("at"), t.alias("token")))
+    pairs = F.zip_with(placed, following, lambda a, b: F.when(
+        tag_starts(a["token"], prefix) & tag_starts(b, "NN"),
+        F.struct(a["at"].alias("pos"), F.concat_ws(" ", a["token"]["word"], b["word"]).alias("phrase"))))
+    return F.array_compact(pairs)
+
+
 def followed_by_noun(tokens: Column, prefix: str) -> Column:
     """'word next' pairs: a token of the given tag prefix and the noun after it."""
     following = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(1)))

@@ -37,10 +37,17 @@ def _cuts(keyed: DataFrame, groups: list[str], quota: Callable[[Column], Column]
     return ranked.where((before < target) & (F.least(target, F.col("_total")) <= F.col("_until"))).select(
         *[F.col(g).alias(f"_cut_{g}") for g in groups],
         F.col("_prefix").alias("_cut"),
-        (target - before).alias("_left"),
+        (F.least(target, F.col("_total")) - before).alias("_left"),
     )
 
 
+def _same(groups: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_cut_{g}"))
+    return same
+
+
 def flag_first(
     df: DataFrame,
     id_col: str,
@@ -50,25 +57,34 @@ def flag_first(
     flag: str = "selected",
     digits: int = PREFIX_DIGITS,
 ) -> DataFrame:
-    """Add a boolean that is true for exactly ``quota(group size)`` rows of each group."""
+    """Add a boolean that is true for exactly ``quota(group size)`` rows of each group.
+
+    The input is read twice: once for groups, ids and hashes, which are stored, and
+    once for the rows themselves. In between, the last selected (hash, id) of each
+    group is found, so a row is selected if it comes no later. Ids are unique.
+    """
     order = hash_order(id_col, seed)
     groups = list(by) or ["_all"]
-    keyed = df if by else df.withColumn("_all", F.lit(1))
-    keyed = keyed.withColumn("_order", order).withColumn("_prefix", F.substring(order, 1, digits))
-    cuts = materialize(_cuts(keyed, groups, quota), "cuts")
+    keys = df.select(*by, F.col(id_col).alias("_id"), order.alias("_order"))
+    keys = materialize(keys if by else keys.withColumn("_all", F.lit(1)), "keys")
+    keys = keys.withColumn("_prefix", F.substring("_order", 1, digits))
+    cuts = materialize(_cuts(keys, groups, quota), "cuts")
     if not by:
-        cuts = F.broadcast(cuts)  # a single row
-    same = F.lit(True)
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_cut_{g}"))
-    joined = keyed.join(cuts, same, "left")
-    at_cut = F.coalesce(F.col("_prefix") == F.col("_cut"), F.lit(False))
-    clear = joined.where(~at_cut).withColumn(
-        flag, F.coalesce(F.col("_prefix") < F.col("_cut"), F.lit(False))
-    )
-    within = Window.partitionBy(*groups).orderBy("_order", id_col)
-    edge = joined.where(at_cut).withColumn(flag, F.row_number().over(within) <= F.col("_left"))
-    return clear.select(*df.columns, flag).unionByName(edge.select(*df.columns, flag))
+        cut = cuts.first()
+        edge = keys.where(F.col("_prefix") == cut["_cut"]).withColumn("_left", F.lit(cut["_left"])) if cut else keys.limit(0).withColumn("_left", F.lit(0))
+    else:
+        edge = keys.join(cuts, _same(groups) & (F.col("_prefix") == F.col("_cut")))
+    within = Window.partitionBy(*groups).orderBy("_order", "_id")
+    last = edge.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") == F.col("_left")).select(
+        *[F.col(g).alias(f"_cut_{g}") for g in groups], F.col("_order").alias("_last_order"), F.col("_id").alias("_last_id"))
+    last = materialize(last, "last")
+    if by:
+        joined, last_order, last_id = df.join(last, _same(by), "left"), F.col("_last_order"), F.col("_last_id")
+    else:
+        row = last.first()
+        joined, last_order, last_id = df, F.lit(row and row["_last_order"]), F.lit(row and row["_last_id"])
+    chosen = (order < last_order) | ((order == last_order) & (F.col(id_col) <= last_id))
+    return joined.withColumn(flag, F.coalesce(chosen, F.lit(False))).select(*df.columns, flag)
 
 
 def sample(df: DataFrame, id_col: str, size: float, seed: int = 42) -> DataFrame:
@@ -153,7 +169,7 @@ def with_position(df: DataFrame, *order: str, name: str = "position") -> DataFra
     """
     ordered = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
     stored = materialize(ordered, "ordered").withColumn("_part", F.shiftright("_at", 33))
-    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = materialize(stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")), "offsets")
     # one row per sort partition
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))

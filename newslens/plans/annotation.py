@@ -229,20 +229,20 @@ def pattern_lists(spark, folder):
 
 @query("w1_entity_runs", over_articles("SELECT doc_id, start, entity FROM entities", *ANN_CTES, ENTITY_CTE))
 def entity_runs(spark, folder):
-    """Proper-noun runs in their window form."""
-    return ops.entities_by_window(ops.token_table(token_arrays(spark, folder), "doc_id"), "doc_id")
+    """Proper-noun runs, found inside their row."""
+    return token_arrays(spark, folder).select("doc_id", F.inline(tagging.entity_runs(F.col("_tokens"))))
 
 
 @query("w2_action_phrases", over_articles(
     "SELECT doc_id, pos, phrase FROM pairs WHERE starts_with(tag, 'VB')", *ANN_CTES, PAIR_CTE))
 def action_phrases(spark, folder):
-    return ops.phrases_by_window(ops.token_table(token_arrays(spark, folder), "doc_id"), "doc_id", "VB")
+    return token_arrays(spark, folder).select("doc_id", F.inline(tagging.noun_pairs(F.col("_tokens"), "VB")))
 
 
 @query("w3_descriptive_phrases", over_articles(
     "SELECT doc_id, pos, phrase FROM pairs WHERE starts_with(tag, 'JJ')", *ANN_CTES, PAIR_CTE))
 def descriptive_phrases(spark, folder):
-    return ops.phrases_by_window(ops.token_table(token_arrays(spark, folder), "doc_id"), "doc_id", "JJ")
+    return token_arrays(spark, folder).select("doc_id", F.inline(tagging.noun_pairs(F.col("_tokens"), "JJ")))
 
 
 PATTERN_COUNTS_SQL = """pattern_counts AS (SELECT doc_id, len(q) AS pattern_quotes_count,

@@ -1,6 +1,6 @@
 """Category, time, sentiment and part-of-speech reports."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from newslens.functions import text
 from newslens.functions.sentiment import SentimentScorer
@@ -184,9 +184,11 @@ SELECT category, count(*) AS n, count(*) / (SELECT count(*) FROM articles) AS fr
 def category_statistics(spark, folder):
     """Count, frequency, mean length and yearly counts in one row per category."""
     rows = articles(spark, folder, "category", "date", "text")
-    shares = reports.category_shares(rows).withColumnRenamed("share", "frequency")
-    lengths = reports.mean_length(rows).withColumn("avg_length", F.round("avg_length", 6))
-    return shares.join(lengths, "category").join(reports.counts_by_year(rows, YEARS), "category")
+    yearly = [F.sum((F.year("date") == y).cast("bigint")).alias(str(y)) for y in YEARS]
+    grouped = rows.groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(F.length("text")), 6).alias("avg_length"), *yearly)
+    # one row per category from here on
+    return grouped.withColumn("frequency", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 @query("m31_validation_summary", over_articles(f"""
