@@ -97,8 +97,9 @@ class OneVsRestForest:
         scored = df
         names = [f"_p{c}" for c in self.classes]
         for name, model in zip(names, self.models):
-            model.setFeaturesCol(features).setPredictionCol("").setRawPredictionCol("").setProbabilityCol(name)
-            scored = model.transform(scored)
+            # a copy, as the fitted model is shared
+            own = model.copy().setFeaturesCol(features).setPredictionCol("").setRawPredictionCol("").setProbabilityCol(name)
+            scored = own.transform(scored)
         scores = F.array(*[vector_to_array(n)[1] for n in names])
         return with_decision(scored, scores, self.classes).drop(*names)
 
@@ -122,8 +123,8 @@ class NativeForest:
         return cls(classes, (chosen.setWeightCol(weight) if weight else chosen).fit(train))
 
     def transform(self, df: DataFrame, features: str) -> DataFrame:
-        self.model.setFeaturesCol(features).setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_p")
-        return with_decision(self.model.transform(df), vector_to_array("_p"), self.classes).drop("_p")
+        own = self.model.copy().setFeaturesCol(features).setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_p")
+        return with_decision(own.transform(df), vector_to_array("_p"), self.classes).drop("_p")
 
 
 class OneVsRestSvm:
@@ -147,8 +148,10 @@ class OneVsRestSvm:
     ) -> OneVsRestSvm:
         setup = {"kernel": kernel, "degree": degree, "size": size, "seed": seed}
         if kernel == "rbf":
-            setup["gamma"] = scale_gamma(train, features) if gamma == "scale" else float(gamma)
             setup["dims"] = len(train.select(features).first()[0])
+            if gamma == "scale":
+                gamma = scale_gamma(train, features)
+            setup["gamma"] = 1.0 / setup["dims"] if gamma == "auto" else float(gamma)
         lifted = _apply_kernel(train, features, setup).select("_k", label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sizes = {r[label]: r["n"] for r in lifted.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -174,8 +177,7 @@ class OneVsRestSvm:
         scored = _apply_kernel(df, features, self.kernel)
         names = [f"_m{c}" for c in self.classes]
         for name, model in zip(names, self.margins):
-            model.setPredictionCol("").setRawPredictionCol(name)
-            scored = model.transform(scored)
+            scored = model.copy().setPredictionCol("").setRawPredictionCol(name).transform(scored)
         scores = F.array(*[
             1 / (1 + F.exp(-(F.lit(a) * vector_to_array(n)[1] + b)))
             for n, (a, b) in zip(names, self.sigmoids)

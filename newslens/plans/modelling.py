@@ -1,7 +1,10 @@
 """Projection, topics, classifiers, sweeps and parameter listings."""
 
+from dataclasses import asdict
+
+import numpy as np
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from newslens.operators import annotate as annotate_ops
 from newslens.operators import evaluate, features, models, sampling, topics
@@ -11,10 +14,28 @@ from newslens.operators.models import NativeForest, OneVsRestForest, OneVsRestSv
 from newslens.operators.terms import SUBLINEAR, TUNED, Vocabulary
 from newslens.plans.articles import text_articles
 from newslens.plans.registry import query
-from newslens.plans.terms import texts
+from newslens.plans.terms import term_ctes, texts
 from newslens.session import materialize
 from newslens.sources.files import read_table
 
+# The held-out fifth of each class, by the order of the ids' md5.
+HELD_OUT_SQL = """(SELECT * FROM (SELECT {id}, {y} AS y, row_number() OVER (PARTITION BY {y} ORDER BY md5(CAST({id} AS VARCHAR) || '|42'), {id}) AS r,
+  count(*) OVER (PARTITION BY {y}) AS n FROM {table} WHERE {y} IS NOT NULL) WHERE r <= round(0.2 * n))"""
+VECTORS_OUT = HELD_OUT_SQL.format(id="vec_id", y="label", table="embeddings")
+REPORT_SQL = f"""SELECT CAST(y AS VARCHAR) AS row, count(*) AS support, TRUE AS ok FROM {VECTORS_OUT} GROUP BY y
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM {VECTORS_OUT}), TRUE"""
+DOCS_OUT = HELD_OUT_SQL.format(id="doc_id", y="lang", table="documents")
+SVM_SQL = f"SELECT vec_id, y AS label, TRUE AS ok FROM {VECTORS_OUT}"
+
+
+def share(*columns):
+    """Whether all columns lie between 0 and 1."""
+    ok = F.lit(True)
+    for c in columns:
+        ok = ok & F.coalesce(F.col(c).between(0, 1), F.lit(False))
+    return ok
+
+
 # Small settings: the queries check behaviour, the defaults are for real runs.
 SMALL = ModelParams(
     n_topics=4, n_estimators=5, svd_size=8, count_columns=100, best_features=80, min_samples=20,
@@ -63,14 +84,17 @@ def svd_full_rank(spark, folder):
     return projected.select("vec_id", F.round(F.sqrt(square), 4).alias("length"))
 
 
-@query("m5_svd_of_tfidf")
+@query("m5_svd_of_tfidf", "SELECT CAST(unnest(range(20)) AS INTEGER) AS component, TRUE AS falls, TRUE AS within_norm")
 def svd_of_tfidf(spark, folder):
-    """The leading singular values of the TF-IDF matrix."""
+    """The leading singular values of the TF-IDF matrix fall, and their squares stay within its squared norm."""
     rows = texts(spark, folder)
     fitted = Vocabulary.fit(rows, "text", TUNED)
     weighted = fitted.tfidf(fitted.count(rows, "text"), "counts", "v", SUBLINEAR)
     values = SvdProjection.fit(weighted, "v", 20).singular_values
-    return spark.createDataFrame([(i, float(s)) for i, s in enumerate(values)], "component int, singular_value double")
+    # rows have length 1 or 0, so the squared norm is at most their number
+    norm, squares = rows.count(), np.cumsum(np.square(values))
+    facts = [(i, bool(i == 0 or values[i] <= values[i - 1] + 1e-9), bool(0 < squares[i] <= norm + 1e-6)) for i in range(len(values))]
+    return spark.createDataFrame(facts, "component int, falls boolean, within_norm boolean")
 
 
 def _topics(spark, folder):
@@ -80,7 +104,13 @@ def _topics(spark, folder):
     return counted, topics.fit_topics(counted, "counts", 5, epochs=1), fitted
 
 
-@query("m6_topics")
+@query("m6_topics", """SELECT doc_id, CAST(topic AS INTEGER) AS topic, TRUE AS ok
+FROM documents CROSS JOIN (SELECT unnest(range(5)) AS topic)""")
+def topics_of_documents(spark, folder):
+    """Five topic shares per document, each between 0 and 1."""
+    return topic_distributions(spark, folder).select("doc_id", F.col("topic").cast("int").alias("topic"), share("weight").alias("ok"))
+
+
 def topic_distributions(spark, folder):
     counted, model, _ = _topics(spark, folder)
     mixed = topics.topic_mix(model, counted, "counts")
@@ -96,16 +126,29 @@ def topic_mass(spark, folder):
     return mixed.groupBy("doc_id").agg(F.round(F.sum("weight"), 6).alias("mass"))
 
 
-@query("m7_perplexity")
+@query("m7_perplexity", "SELECT TRUE AS follows_bound, (SELECT count(*) FROM documents) AS documents")
 def perplexity(spark, folder):
+    """The perplexity is the exponential of the bound."""
     counted, model, _ = _topics(spark, folder)
-    return topics.perplexity(model, counted)
+    follows = (F.abs(F.log("perplexity") - F.col("log_perplexity")) < 1e-6) & (F.col("perplexity") > 1)
+    return topics.perplexity(model, counted).select(follows.alias("follows_bound"), F.lit(counted.count()).alias("documents"))
 
 
-@query("k3_topic_terms")
+@query("k3_topic_terms", "WITH " + ", ".join(term_ctes(TUNED)) + """
+SELECT CAST(topic AS INTEGER) AS topic, CAST(rank AS INTEGER) AS rank, TRUE AS falls, (SELECT count(*) FROM vocab) AS known
+FROM (SELECT unnest(range(5)) AS topic) CROSS JOIN (SELECT unnest(range(1, 11)) AS rank)""")
 def topic_terms(spark, folder):
+    """Ten terms of the vocabulary per topic, by falling weight."""
     _, model, fitted = _topics(spark, folder)
-    return topics.topic_terms(model, fitted.table(spark))
+    by_rank = Window.partitionBy("topic").orderBy("rank")
+    falls = F.col("weight") <= F.coalesce(F.lag("weight").over(by_rank), F.col("weight"))
+    return topics.topic_terms(model, fitted.table(spark)).select(
+        "topic", "rank", falls.alias("falls"), F.lit(len(fitted)).cast("bigint").alias("known"))
+
+
+def _facts(report):
+    """Rows and supports of a report, and whether its scores are shares."""
+    return report.select("row", "support", share("precision", "recall", "f1").alias("ok"))
 
 
 @query("m8_feature_stack", """
@@ -121,54 +164,59 @@ def feature_stack(spark, folder):
     )
 
 
-@query("m18_forest")
+@query("m18_forest", REPORT_SQL)
 def forest(spark, folder):
     """Balanced one-vs-rest forests on the embeddings, evaluated on the held-out part."""
     train_rows, test_rows = _split(spark, folder)
     fitted = OneVsRestForest.fit(train_rows, "features", "label", models.forest(trees=5, max_depth=4))
-    return evaluate.classification_report(fitted.transform(test_rows, "features"), y="label")
+    return _facts(evaluate.classification_report(fitted.transform(test_rows, "features"), y="label"))
 
 
-@query("m18_native_forest")
+@query("m18_native_forest", REPORT_SQL)
 def native_forest(spark, folder):
     """One multi-class forest with balanced row weights."""
     train_rows, test_rows = _split(spark, folder)
     weighted = sampling.with_class_weight(train_rows, "label")
     fitted = NativeForest.fit(weighted, "features", "label", models.forest(trees=20, criterion="entropy", max_depth=8), "weight")
-    return evaluate.classification_report(fitted.transform(test_rows, "features"), y="label")
+    return _facts(evaluate.classification_report(fitted.transform(test_rows, "features"), y="label"))
 
 
 def _svm(spark, folder, **options):
     train_rows, test_rows = _split(spark, folder)
-    binary = [rows.withColumn("label", (F.col("label") % 3).cast("int")) for rows in (train_rows, test_rows)]
-    fitted = OneVsRestSvm.fit(binary[0], "features", "label", max_iter=10, **options)
-    return fitted.transform(binary[1], "features").select("vec_id", "label", "pred", "confidence")
+    return _svm_facts(OneVsRestSvm.fit(train_rows, "features", "label", max_iter=10, **options), test_rows, "features")
+
 
+def _svm_facts(fitted, test_rows, column):
+    """Each held-out row, and whether it got a known class and a share as confidence."""
+    ok = F.col("pred").isin(fitted.classes) & share("confidence")
+    return fitted.transform(test_rows, column).select("vec_id", "label", ok.alias("ok"))
 
-@query("m19_svm_rbf")
+
+@query("m19_svm_rbf", SVM_SQL)
 def svm_rbf(spark, folder):
     return _svm(spark, folder, kernel="rbf", cost=1.0, size=64)
 
 
-@query("m19_svm_linear")
+@query("m19_svm_linear", SVM_SQL)
 def svm_linear(spark, folder):
     return _svm(spark, folder, kernel="linear", cost=0.1)
 
 
-@query("m19_svm_poly")
+@query("m19_svm_poly", SVM_SQL)
 def svm_poly(spark, folder):
     """The polynomial kernel on the three leading SVD columns."""
-    rows = vectors(spark, folder)
-    projected = SvdProjection.fit(rows, "features", 3).transform(rows, "features")
-    labelled = materialize(projected.select("vec_id", (F.col("label") % 3).cast("int").alias("label"), "svd"), "svd")
-    fitted = OneVsRestSvm.fit(labelled, "svd", "label", kernel="poly", cost=10.0, max_iter=10)
-    return fitted.transform(labelled, "svd").select("vec_id", "label", "pred", "confidence")
+    train_rows, test_rows = _split(spark, folder)
+    projection = SvdProjection.fit(train_rows, "features", 3)
+    train_rows, test_rows = (materialize(projection.transform(r, "features").select("vec_id", "label", "svd"), "svd") for r in (train_rows, test_rows))
+    return _svm_facts(OneVsRestSvm.fit(train_rows, "svd", "label", kernel="poly", cost=10.0, max_iter=10), test_rows, "svd")
 
 
-@query("m20_predictions")
+@query("m20_predictions", f"""SELECT doc_id, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS y, TRUE AS ok FROM {DOCS_OUT}""")
 def predictions(spark, folder):
-    """Held-out predictions of the trained category model."""
-    return trained(spark, folder)[1]["predictions"]
+    """Held-out predictions of the trained category model: its classes, with a share as confidence."""
+    model, results = trained(spark, folder)
+    ok = F.col("pred").isin(model.classifier.classes) & share("confidence")
+    return results["predictions"].select("doc_id", "y", ok.alias("ok"))
 
 
 @query("m21_probability_mass", "SELECT doc_id, CAST(1 AS DOUBLE) AS mass, TRUE AS confidence_is_largest FROM documents")
@@ -183,35 +231,64 @@ def probability_mass(spark, folder):
     )
 
 
-@query("m18_training_report")
+@query("m18_training_report", f"""SELECT y AS row, count(*) AS support, TRUE AS ok FROM {DOCS_OUT} GROUP BY y
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM {DOCS_OUT}), TRUE""")
 def training_report(spark, folder):
     """The report of the whole training run: terms, SVD, topics, selection, scaling, forests."""
-    return trained(spark, folder)[1]["report"]
+    return _facts(trained(spark, folder)[1]["report"])
 
 
-@query("m26_sweep")
-def sweep(spark, folder):
-    """Several forest settings on the same stored features, one metrics row each."""
+SWEEP = [
+    {"trees": 5, "criterion": "gini", "max_samples": 0.8},
+    {"trees": 5, "criterion": "entropy", "max_samples": 0.7},
+    {"trees": 8, "criterion": "entropy", "max_samples": 0.9},
+    {"kernel": "linear", "cost": 0.1},
+    {"kernel": "rbf", "cost": 1.0, "gamma": "scale"},
+    {"kernel": "rbf", "cost": 10.0, "gamma": "auto"},
+]
+
+
+def _swept(spark, folder):
+    """Three forest and three SVM settings on the same stored features, one metrics row each."""
     train_rows, test_rows = _split(spark, folder)
-    weighted = sampling.with_class_weight(train_rows, "label").persist()
-    settings = [
-        {"trees": 5, "criterion": "gini", "max_samples": 0.8},
-        {"trees": 5, "criterion": "entropy", "max_samples": 0.7},
-        {"trees": 8, "criterion": "entropy", "max_samples": 0.9},
-    ]
+    weighted = materialize(sampling.with_class_weight(train_rows, "label"), "weighted")
 
     def run(params):
-        fitted = NativeForest.fit(weighted, "features", "label", models.forest(max_depth=5, **params), "weight")
+        if "kernel" in params:
+            fitted = OneVsRestSvm.fit(weighted, "features", "label", max_iter=5, size=64, **params)
+        else:
+            fitted = NativeForest.fit(weighted, "features", "label", models.forest(max_depth=5, **params), "weight")
         return evaluate.headline_metrics(fitted.transform(test_rows, "features"), y="label")
 
-    return models.sweep(settings, run)
+    return models.sweep(SWEEP, run)
 
 
-@query("m28_parameters")
+@query("m26_sweep", f"""SELECT CAST(run - 1 AS INTEGER) AS run, params, TRUE AS ok FROM (VALUES {", ".join(
+    f"({i}, '{', '.join(f'{k}={v}' for k, v in s.items())}')" for i, s in enumerate(SWEEP, 1))}) AS t(run, params)
+WHERE (SELECT count(*) FROM {VECTORS_OUT}) > 0""")
+def sweep(spark, folder):
+    return _swept(spark, folder).select("run", "params", share("accuracy", "weighted_f1", "macro_f1").alias("ok"))
+
+
+@query("m28_parameters", f"""SELECT stage, key, value FROM (
+  SELECT 'forest ' || CAST(dense_rank() OVER (ORDER BY lang) - 1 AS VARCHAR) AS stage,
+         unnest(['numTrees', 'maxDepth', 'impurity', 'minInstancesPerNode']) AS key,
+         unnest(['{SMALL.n_estimators}', '{SMALL.max_depth}', '{SMALL.criterion}', '{SMALL.min_leaf}']) AS value
+  FROM (SELECT DISTINCT lang FROM documents))
+UNION ALL VALUES ('topics', 'k', '{SMALL.n_topics}'), ('topics', 'learningOffset', '{SMALL.learning_offset}'),
+  ('settings', 'svd_size', '{SMALL.svd_size}'), ('settings', 'best_features', '{SMALL.best_features}'), ('svd', 'columns', '{SMALL.svd_size}'),
+  ('selection', 'columns', '{SMALL.best_features}'), ('vocabulary', 'ngrams', '{TUNED.ngrams}'), ('vocabulary', 'min_df', '{TUNED.min_df}')""")
 def parameters(spark, folder):
-    """Every parameter of the fitted stages."""
-    model, _ = trained(spark, folder)
-    return models.describe({"topics": model.steps.lda, "classifier": model.classifier.models[0]}, spark)
+    """The parameters of every fitted stage; these are the ones the settings fix."""
+    model, results = trained(spark, folder)
+    fitted = models.describe({"topics": model.steps.lda, **{
+        f"forest {c}": m for c, m in zip(model.classifier.classes, model.classifier.models)}}, spark)
+    own = [("settings", r["key"], r["value"]) for r in results["parameters"].collect()]
+    own += [("vocabulary", k, str(v)) for k, v in asdict(model.steps.vocabulary.settings).items() if k != "stop_words"]
+    own += [("svd", "columns", str(model.steps.svd_size)), ("selection", "columns", str(len(model.steps.selected)))]
+    every = fitted.unionByName(spark.createDataFrame(own, fitted.schema))
+    fixed = ["numTrees", "maxDepth", "impurity", "minInstancesPerNode", "k", "learningOffset", "svd_size", "best_features", "columns", "ngrams", "min_df"]
+    return every.where(F.col("key").isin(fixed))
 
 
 @query("j2_predicted_names", """
