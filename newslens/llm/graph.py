@@ -10,6 +10,12 @@ from newslens.session import materialize
 MAX_ROUNDS = 60
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """``materialize`` in at most three pieces a core: the many small tables of an iteration
+    cost more in tasks and files than in rows."""
+    return materialize(df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has a link.
 
@@ -19,16 +25,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     and self links are ignored, repeated links do no harm, no links give no rows.
     """
     ends = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    both = materialize(ends.union(ends.select("b", "a")).distinct(), "links")
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
+    both = store(ends.union(ends.select("b", "a")).distinct(), "links")
+    labels = store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
                          .withColumnRenamed("a", "node"), "labels")
     for _ in range(MAX_ROUNDS):
         heard = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("heard"))
         least = labels.join(heard, labels.node == heard.a).select(
             "node", "label", F.least("label", "heard").alias("least"))
-        least = materialize(least, "least")
+        least = store(least, "least")
         step = least.select(F.col("node").alias("_at"), F.col("least").alias("_next"))
-        jumped = materialize(
+        jumped = store(
             least.join(step, least.least == step._at, "left")
             .select("node", F.coalesce("_next", "least").alias("label"),
                     (F.coalesce("_next", "least") != F.col("label")).alias("changed")),

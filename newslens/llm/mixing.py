@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from newslens.llm.graph import store
 from newslens.llm.text import WORD, word_count
 from newslens.session import materialize
 
@@ -109,7 +110,7 @@ def mix_sources(
     shard = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(shards))
     sized = materialize(sized.withColumn("shard", shard), "sizes")
     cells = sized.groupBy("source", "shard").agg(F.sum("size").alias("words"))
-    cells = materialize(cells.withColumn("blocks", F.ceil(F.col("words") / block_words)), "cells")
+    cells = store(cells.withColumn("blocks", F.ceil(F.col("words") / block_words)), "cells")
     targets = source_targets(sized, weights, max_repeats)
     blocks = cells.groupBy("source").agg(F.sum("blocks").alias("blocks"))
     asked = targets.join(blocks, targets.source.eqNullSafe(blocks.source)).select(
@@ -117,11 +118,11 @@ def mix_sources(
     asked = asked.withColumn("_one", F.lit(1)).withColumn(
         "seats", F.round(F.sum("asked").over(Window.partitionBy("_one"))).cast("bigint"))
     given = apportion(asked, ["_one"], "rank", "asked", "seats", "quota")
-    given = materialize(given.withColumn("quota", F.least("quota", F.col("blocks") * max_repeats)), "quotas")
+    given = store(given.withColumn("quota", F.least("quota", F.col("blocks") * max_repeats)), "quotas")
     by_shard = cells.join(given.select("source", "rank", "quota", "source_size", "target").withColumnRenamed("source", "_source"),
                           cells.source.eqNullSafe(F.col("_source"))).drop("_source")
     by_shard = apportion(by_shard, ["rank"], "shard", "blocks", "quota", "taken_blocks")
-    by_shard = materialize(by_shard.select(
+    by_shard = store(by_shard.select(
         F.col("source").alias("_source"), F.col("shard").alias("_shard"), "source_size", "target", "words", "blocks",
         F.least("taken_blocks", F.col("blocks") * max_repeats).alias("taken_blocks")), "shards")
     stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.col("doc_id"), F.lit(seed + 1)), "doc_id", "size")

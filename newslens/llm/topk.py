@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from newslens.llm.vectors import usable
+from newslens.llm.graph import store
 from newslens.session import materialize
 
 #: Vectors of a bucket (expected) and queries of a block.
@@ -156,17 +157,17 @@ def top_inner_products(
     edges = stored.agg(F.percentile_approx("length", [i / n_buckets for i in range(1, n_buckets)], 100 * n_buckets)).first()[0] if n_buckets > 1 else []
     edges = F.array(*map(F.lit, sorted(set(edges or [])))) if edges else F.array().cast("array<double>")
     ranked = stored.withColumn("group", F.size(F.filter(edges, lambda e: e < F.col("length"))))
-    sizes = materialize(ranked.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / (2 * BUCKET)).cast("int").alias("parts")), "groups")
+    sizes = store(ranked.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / (2 * BUCKET)).cast("int").alias("parts")), "groups")
     rows = ranked.join(sizes, "group").withColumn(
         "bucket", F.struct("group", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("parts")).cast("int").alias("part"))).drop("parts", "group")
     rows = materialize(rows, "buckets")
-    buckets = materialize(rows.groupBy("bucket").agg(F.max("length").alias("longest"), F.count(F.lit(1)).alias("n")), "bounds")
+    buckets = store(rows.groupBy("bucket").agg(F.max("length").alias("longest"), F.count(F.lit(1)).alias("n")), "bounds")
     queries = rows.where(F.col("vec_id") % every == 0).drop("bucket")
     n_blocks = max(1, -(-n // (every * QUERIES)))
     listed = F.broadcast(buckets.agg(F.sort_array(F.collect_list(F.struct("longest", "bucket")), asc=False).alias("all")))  # one row, an entry per bucket
     queries = queries.crossJoin(listed).withColumn("first", F.slice("all", 1, FIRST))
     start = queries.select("vec_id", "v", "length", F.lit(None).cast("bigint").alias("bound"), F.transform("first", lambda b: b["bucket"]).alias("buckets"))
-    found = materialize(_search(_blocks(start, rows, buckets, n_blocks), k), "first")
+    found = store(_search(_blocks(start, rows, buckets, n_blocks), k), "first")
     per_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     bounds = found.withColumn("r", F.row_number().over(per_query)).where(F.col("r") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
     rest = queries.join(bounds, "vec_id", "left").withColumn("rest", F.slice("all", FIRST + 1, F.greatest(F.size("all") - FIRST, F.lit(1))))

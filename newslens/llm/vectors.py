@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newslens.llm.graph import components
+from newslens.llm.graph import components, store
 from newslens.session import materialize
 
 #: Vectors (expected) that the cluster centers are fitted on, aimed-at nodes of a shard, shards of a node.
@@ -191,7 +191,7 @@ def _parts(nodes: DataFrame) -> DataFrame:
 
     id_type = dict(nodes.dtypes)["node"]
     dealt = materialize(nodes.select("node", "vector").mapInArrow(run, f"node {id_type}, shard bigint, vector binary"), "dealt")
-    sizes = materialize(dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * SHARD)).cast("int").alias("cuts")), "cuts")
+    sizes = store(dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * SHARD)).cast("int").alias("cuts")), "cuts")
     cut = F.pmod(F.xxhash64("node", F.lit(4)), F.col("cuts")).cast("int")
     dealt = dealt.join(sizes, "shard").withColumn("cut", cut)
     other = F.sequence(F.lit(0), F.col("cuts") - 1)
@@ -203,7 +203,7 @@ def _parts(nodes: DataFrame) -> DataFrame:
 
 def links(nodes: DataFrame, cosine: float) -> DataFrame:
     """(a, b): pairs of nodes found with at least that cosine, each once, a < b."""
-    parts = materialize(_parts(nodes), "parts")
+    parts = store(_parts(nodes), "parts")
     keys = ["shard", "low", "high"]
     id_type = dict(nodes.dtypes)["node"]
 
@@ -216,7 +216,7 @@ def links(nodes: DataFrame, cosine: float) -> DataFrame:
 
     lists = parts.groupBy(*keys).applyInArrow(graph, f"node {id_type}, near array<{id_type}>")
     # a node is in a bounded number of parts unless its shard is crowded
-    united = materialize(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "united")
+    united = store(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "united")
 
     def look(table: pa.Table) -> pa.Table:
         table = table.sort_by("node").combine_chunks()
@@ -238,7 +238,7 @@ def links(nodes: DataFrame, cosine: float) -> DataFrame:
         return pa.table({"a": pa.array(ids[pairs[:, 0]]), "b": pa.array(ids[pairs[:, 1]])})
 
     found = parts.join(united, "node").groupBy(*keys).applyInArrow(look, f"a {id_type}, b {id_type}")
-    return materialize(found.distinct(), "links")
+    return store(found.distinct(), "links")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95) -> DataFrame:
