@@ -38,9 +38,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each document's share of the mix: its text repeated or cut to the chosen blocks; those that get nothing go."""
     mixed = mixing.mix_sources(docs).where("taken > 0").dropDuplicates(["doc_id", "size"]).withColumnRenamed("doc_id", "_doc")
-    own = docs.withColumn("_size", mixing.word_count(F.col("text")))
-    joined = own.join(mixed, own["doc_id"].eqNullSafe(mixed["_doc"]) & (F.col("_size") == F.col("size")))
-    return _with_length(joined.withColumn("text", mixing.mixed_text(F.col("text"))), docs.columns)
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
+                      mixing.word_count(F.col("text")).alias("_words_own"))
+    joined = own.join(mixed, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_words_own") == F.col("size")))
+    joined = joined.withColumn("_new", mixing.mixed_text(F.col("_text")))
+    texts = joined.select(*(F.col("_new" if c == "text" else f"_row.`{c}`").alias(c) for c in docs.columns))
+    return _with_length(texts, docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
