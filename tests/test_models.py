@@ -171,3 +171,25 @@ def test_report_arithmetic(spark):
     assert len(matrix) == 16 and matrix[(0, 1)] == 3 and matrix[(3, 3)] == 0
     batches = evaluate.batch_mean_accuracy(df, "doc_id", batch=4).first()
     assert batches["mean_batch_accuracy"] == pytest.approx((1 + 0.25 + 2 / 3) / 3) and batches["batches"] == 3
+
+
+@pytest.mark.parametrize(("variant", "strategy"), [("basic", "native"), ("tuned", "svm"), ("basic", "svm")])
+def test_variants_train_save_load_and_log(spark, folder, tmp_path, variant, strategy):
+    from newslens.plans.modelling import SMALL, processed
+    from newslens.sources.runs import first_metric, read_runs
+    from dataclasses import replace
+
+    params = replace(SMALL, features=variant, strategy=strategy, kernel="rbf", gamma="auto", kernel_size=32, n_topics=3,
+                     terms=TermSettings(max_features=200))
+    rows = processed(spark, folder)
+    model, results = train(rows, params, log=(str(tmp_path / "runs"), "variants", variant))
+    assert results["predictions"].count() == round(0.2 * rows.count()) or results["predictions"].count() > 30
+    save_model(model, str(tmp_path / "model"))
+    loaded = load_model(spark, str(tmp_path / "model"))
+    texts = rows.limit(30).select("doc_id", "processed_text")
+    pick = lambda m: sorted(map(str, m.predict(texts, "processed_text").select("doc_id", "pred", F.round("confidence", 9)).collect()))
+    assert pick(model) == pick(loaded)
+    logged = read_runs(spark, str(tmp_path / "runs"))
+    keys = {r["key"] for r in logged.where("kind = 'metric'").collect()}
+    assert {"accuracy", "training_seconds", "confidence_mean", "confidence_lowest", "confidence_highest"} <= keys
+    assert float(first_metric(logged, "variants", "training_seconds").first()[0]) > 0

@@ -19,6 +19,11 @@ def test_logged_runs_come_back_as_columns(spark, tmp_path):
     assert wide == {"r1": ("0.5", "0.25"), "r2": ("0.75", None)}
     assert runs.first_metric(stored, "forest", "accuracy").first()[0] == "0.5"
     assert runs.first_metric(stored, "forest", "macro_f1").first()[0] == "No data"
+    runs.log_run(spark, path, "forest", "r0", {}, {"accuracy": 0.125}, datetime(2025, 1, 1))
+    runs.log_run(spark, path, "forest", "r0", {}, {"accuracy": 0.25}, datetime(2025, 1, 2))
+    stored = runs.read_runs(spark, path)
+    # the newest run, and of a metric logged twice the newest value
+    assert runs.first_metric(stored, "forest", "accuracy").first()[0] == "0.25"
     assert runs.first_metric(stored, "none", "accuracy").first()[0] == "No data"
 
 

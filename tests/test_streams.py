@@ -22,6 +22,19 @@ def test_timeline_survives_a_restart_and_late_files(spark, folder, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_events_of_any_age_count_and_batches_can_be_folded(spark, tmp_path):
+    into, out, checkpoint, folded = (str(tmp_path / n) for n in ("in", "out", "checkpoint", "folded"))
+    for day in ("2024-06-01", "2024-01-01", "2024-06-01"):  # the second is months late
+        events = spark.createDataFrame([(f"{day} 10:00:00", "a")], "ts string, category string")
+        events.write.mode("append").parquet(into)
+        jobs.daily_counts_stream(
+            spark.readStream.schema(events.schema).parquet(into), out, checkpoint, trigger={"availableNow": True}).awaitTermination()
+    want = {("2024-06-01", 2), ("2024-01-01", 1)}
+    assert {(str(r["day"]), r["n"]) for r in jobs.latest_daily_counts(spark, out).collect()} == want
+    jobs.compact_daily_counts(spark, out, folded)
+    assert {(str(r["day"]), r["n"]) for r in jobs.latest_daily_counts(spark, folded).collect()} == want
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
