@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,6 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from newslens.operators.features import random_fourier_features, scale_gamma
 
+MAX_EXPANDED = 100_000  # columns of the polynomial kernel
 MAX_DEPTH = 30  # Spark's limit stands in for unlimited depth
 
 
@@ -147,8 +149,11 @@ class OneVsRestSvm:
         max_iter: int = 50, seed: int = 42, parallelism: int = 4,
     ) -> OneVsRestSvm:
         setup = {"kernel": kernel, "degree": degree, "size": size, "seed": seed}
+        if kernel != "linear":
+            setup["dims"] = dims = len(train.select(features).first()[0])
+            if kernel == "poly" and math.comb(dims + degree, degree) > MAX_EXPANDED:
+                raise ValueError(f"degree {degree} over {dims} columns expands to more than {MAX_EXPANDED}; project them first")
         if kernel == "rbf":
-            setup["dims"] = len(train.select(features).first()[0])
             if gamma == "scale":
                 gamma = scale_gamma(train, features)
             setup["gamma"] = 1.0 / setup["dims"] if gamma == "auto" else float(gamma)

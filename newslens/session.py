@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 TEXT_PARTITIONS = "newslens.text.partitions"
 _local_folders: dict[str, str] = {}
+_written: list[str] = []
 
 
 def build_session(app: str = "newslens", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,6 +55,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/newslens/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that ``materialize`` writes inside the block when it ends.
+
+    For jobs whose result is written, or collected, within the block; blocks may nest.
+    """
+    first = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[first:]:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        del _written[first:]
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -61,6 +80,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

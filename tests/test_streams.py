@@ -1,8 +1,10 @@
 """Streams against their batch forms, restarts included."""
 
+import os
+
 from pyspark.sql import functions as F
 
-from newslens.session import materialize, scratch_path, shared_folder
+from newslens.session import materialize, scratch_path, scratch_tables, shared_folder
 from newslens.streaming import jobs
 
 
@@ -43,3 +45,11 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_materialized_table_reads_from_files(spark):
     stored = materialize(spark.range(10), "numbers")
     assert stored.count() == 10 and stored.inputFiles()[0].find(shared_folder(spark)) >= 0
+
+
+def test_scratch_tables_go_when_their_block_ends(spark):
+    kept = materialize(spark.range(3), "kept")
+    with scratch_tables(spark):
+        gone = materialize(spark.range(4), "gone").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(gone)
+    assert not os.path.exists(gone) and kept.count() == 3
