@@ -10,33 +10,32 @@ blocks of bounded size instead of being paired first.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newslens.llm.graph import components
+from newslens.llm.graph import components, store
 from newslens.llm.text import buffers, mix
 from newslens.session import materialize
 
 EDITS, LEAST_CHARS = 1, 20
 #: Bytes of text handled at once, lines from which a segment is crowded, lines on a side of a block, pairs verified at once.
-PIECE, CROWDED, BLOCK, PAIRS = 1 << 22, 64, 256, 1 << 14
+PIECE, CROWDED, BLOCK, PAIRS = 1 << 19, 64, 256, 1 << 14
 _P = 0x9E3779B97F4A7C15
 _Q = 0xA24BAED4963EE407
 _INVERSE = pow(_P, -1, 2**64)
 
 
-@lru_cache(8)
-def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, np.uint64(base))
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
+_tables: dict[int, np.ndarray] = {}
 
 
 def _table(base: int, n: int) -> np.ndarray:
-    return _powers(base, 1 << max(16, int(n).bit_length()))
+    """At least ``n`` powers of ``base``; a worker keeps one table of each base."""
+    if len(_tables.get(base, ())) < n:
+        steps = np.full(1 << max(16, n.bit_length()), np.uint64(base))
+        steps[0] = 1
+        _tables[base] = np.multiply.accumulate(steps)
+    return _tables[base]
 
 
 def _points(data: bytes) -> np.ndarray:
@@ -291,12 +290,12 @@ def line_classes(
     met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("indexed").alias("any")).where("n > 1 and any").drop("any")
     met = materialize(rows.join(met, "key"), "met")
     wanted = met.select("first", "h1", "h2").distinct()
-    texts = materialize(_texts(docs, wanted, id_col, text_col), "met_texts")
+    texts = store(_texts(docs, wanted, id_col, text_col), "met_texts")
     few = met.where(F.col("n") <= CROWDED)
     pairs = few.where("indexed").select("key", F.col("first").alias("a")).join(few.select("key", F.col("first").alias("b")), "key").where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     crowd = met.where(F.col("n") > CROWDED).groupBy("key", "n", "first").agg(F.max("indexed").alias("indexed"))
-    links = materialize(_verified(pairs, texts, edits).unionByName(_crowded_links(crowd, texts, edits)).distinct(), "line_links")
+    links = store(_verified(pairs, texts, edits).unionByName(_crowded_links(crowd, texts, edits)).distinct(), "line_links")
     degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links")).withColumnRenamed("a", "_a")
     joined = components(links)
     known = texts_of.select("h1", "h2", "first", "n").join(degree, F.col("first") == F.col("_a"), "left").drop("_a").join(
@@ -320,9 +319,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     _, lines = line_classes(docs, id_col, text_col, edits, least_chars)
     lost = lines.where(repeats(lines)).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_lost"))
-    joined = docs.join(lost, F.col(id_col).cast("bigint") == F.col("_doc"), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
+    joined = rows.join(lost, F.col("_id") == F.col("_doc"), "left")
     # array positions serve as line numbers
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("_lost", i.cast("bigint")))
-    changed = F.when(F.col("_lost").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(F.split("_text", "\n", -1), lambda x, i: ~F.array_contains("_lost", i.cast("bigint")))
+    changed = F.when(F.col("_lost").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumn("_new", changed).where(F.col("_lost").isNull() | (F.trim("_new") != ""))
-    return out.withColumn(text_col, F.col("_new")).select(*docs.columns)
+    return out.select(*(F.col("_new" if c == text_col else f"_row.`{c}`").alias(c) for c in docs.columns))

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newslens.llm.graph import components
+from newslens.llm.graph import components, store
 from newslens.llm.text import mix, per_batch, word_hashes
 from newslens.session import materialize
 
@@ -162,19 +162,67 @@ def _estimates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def _star_pairs(bands: DataFrame, reps: DataFrame) -> DataFrame:
     """(center, doc_id, likely): every document with its buckets' centers, but for chance meetings.
 
-    A bucket's center is its smallest document. Those that are unlike it form a bucket of
-    their own, with a new center, until no bucket has two documents left.
+    A bucket's center is its smallest document. Those that are unlike it are compared among
+    themselves, in blocks of bounded size.
     """
-    found, left = None, bands
-    while True:
-        buckets = left.groupBy("key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        members = materialize(left.join(buckets, "key").where("doc_id <> center"), "members")
-        if not members.limit(1).count():
-            return found if found is not None else bands.sparkSession.createDataFrame([], "center bigint, doc_id bigint, likely double")
-        likely = materialize(_estimates(members.select("center", "doc_id").distinct(), reps), "likely")
-        near = likely.where(F.col("likely") >= CHANCE)
-        found = near if found is None else found.unionByName(near)
-        left = members.join(near, ["center", "doc_id"], "left_anti").select("key", "doc_id")
+    buckets = bands.groupBy("key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    members = store(bands.join(buckets, "key").where("doc_id <> center"), "members")
+    likely = store(_estimates(members.select("center", "doc_id").distinct(), reps), "likely")
+    near = likely.where(F.col("likely") >= CHANCE)
+    left = members.join(near, ["center", "doc_id"], "left_anti").select("key", "doc_id")
+    sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_Y).cast("int").alias("cuts"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    cut = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
+    dealt = left.join(sizes, "key").withColumn("cut", cut).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    # every pair of cuts is a block; a bucket that is not cut has one
+    dealt = dealt.where("cuts = 1 or cut <> other").select("key", F.least("cut", "other").alias("low"), F.greatest("cut", "other").alias("high"), "doc_id")
+    rows = dealt.join(reps, "doc_id").select("key", "low", "high", "doc_id", "n_shingles", "registers")
+    return near.unionByName(_leader_pairs(rows).distinct())
+
+
+def _leader_pairs(rows: DataFrame) -> DataFrame:
+    """(center, doc_id, likely) within each block (key, low, high): the first document leads those like it,
+    the first of the others leads those like it, and so on."""
+
+    def block(ids: np.ndarray, sizes: np.ndarray, registers: np.ndarray) -> Iterator[tuple]:
+        order = np.argsort(ids, kind="stable")
+        while len(order) > 1:
+            lead, rest = order[0], order[1:]
+            # equal registers are nearly as frequent as the sets are alike: half the least share rules most out
+            maybe = rest[(registers[rest] == registers[lead]).mean(axis=1) >= CHANCE / 2]
+            if len(maybe):
+                likely = estimate(np.broadcast_to(registers[lead], (len(maybe), M)), registers[maybe], np.full(len(maybe), sizes[lead]), sizes[maybe])
+                near = likely >= CHANCE
+                yield from zip([ids[lead]] * int(near.sum()), ids[maybe[near]], likely[near])
+                rest = rest[~np.isin(rest, maybe[near])]
+            order = rest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # a block may go on in the next batch
+        names = ["center", "doc_id", "likely"]
+
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            keys = np.stack([table[c].to_numpy() for c in ("key", "low", "high")], axis=1)
+            bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            ids, sizes, registers = table["doc_id"].to_numpy(), table["n_shingles"].to_numpy(), _registers(table["registers"])
+            found = [p for x, y in zip(bounds, bounds[1:]) for p in block(ids[x:y], sizes[x:y], registers[x:y])]
+            a, b, c = zip(*found) if found else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], names=names)
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            if not table.num_rows:
+                continue
+            keys = np.stack([table[c].to_numpy() for c in ("key", "low", "high")], axis=1)
+            last = int(np.argmax((keys == keys[-1]).all(axis=1)))
+            if last:
+                yield pairs(table.slice(0, last))
+            held = table.slice(last)
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    ordered = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return ordered.mapInArrow(run, "center bigint, doc_id bigint, likely double")
 
 
 def _jaccard_at_least(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -234,7 +282,7 @@ def _between(family: DataFrame, sets: DataFrame, reps: DataFrame, percent: int)
     Every document outside its family's largest component is compared with all others of the
     family, in blocks of bounded size dealt by hashes.
     """
-    sizes = materialize(family.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n")), "parts")
+    sizes = store(family.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n")), "parts")
     of = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("all"),
                                      F.max("n").alias("most")).where("all > most")
     members = family.join(of, "family").withColumns({
@@ -267,8 +315,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialize(usable.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = materialize(usable.join(classes, "digest").where("doc_id = rep").select("doc_id", "n_shingles", "registers")
                        .dropDuplicates(["doc_id"]), "reps")
-    stars = materialize(_star_pairs(_band_rows(reps), reps), "stars")
-    family = materialize(components(stars.withColumnsRenamed({"center": "a", "doc_id": "b"})), "families")
+    stars = store(_star_pairs(_band_rows(reps), reps), "stars")
+    family = store(components(stars.withColumnsRenamed({"center": "a", "doc_id": "b"})), "families")
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("_text"))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -280,14 +328,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # first the likeliest center of each document, then what still differs within a family
     best = stars.where(F.col("likely") >= percent / 100 - MARGIN).groupBy("doc_id").agg(
         F.max_by("center", F.struct("likely", -F.col("center"))).alias("a")).withColumnRenamed("doc_id", "b")
-    first = materialize(_confirm(best, sets, percent), "links")
+    first = store(_confirm(best, sets, percent), "links")
     joined = components(first)
     placed = family.withColumnRenamed("component", "family").join(joined, "node", "left").select(
         "node", "family", F.coalesce("component", "node").alias("component"))
-    second = materialize(_between(materialize(placed, "placed"), sets, reps, percent), "links")
+    second = store(_between(store(placed, "placed"), sets, reps, percent), "links")
     joined = components(first.unionByName(second))
     whole = stored.join(classes, "digest", "left").join(joined, F.col("rep") == F.col("node"), "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    # rows that repeat an id with another text belong to the least of their components
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -34,7 +34,20 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
                         pii.spans_text(F.col("pii")).alias("spans"))
 
 
-@query("op4_minhash")
+@query("op4_minhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents
+), s AS (
+  SELECT doc_id, CASE len(l) WHEN 0 THEN [] WHEN 1 THEN l ELSE list_distinct([l[i] || ' ' || l[i + 1] FOR i IN range(1, len(l))]) END AS g FROM w
+), n AS (SELECT doc_id, len(g) AS n FROM s), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(a, b) AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(low.b, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(low.b, doc_id)) AS kept
+FROM n LEFT JOIN low ON low.a = doc_id
+""")
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, folder, "documents"), width=2, percent=80)
 
