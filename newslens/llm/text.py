@@ -84,10 +84,6 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
 
 
-def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
-
-
 def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``make`` to every Arrow batch of the rows."""
 

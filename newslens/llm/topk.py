@@ -13,7 +13,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from newslens.llm.vectors import usable
 from newslens.llm.graph import store
 from newslens.session import materialize
 
