@@ -16,6 +16,24 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return materialize(df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism), label)
 
 
+#: Bits of the filter of ``maybe_among``, sent to the workers as at most FILTER_BITS / 64 rows.
+FILTER_BITS = 1 << 23
+
+
+def maybe_among(df: DataFrame, id_col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+    """The rows whose id may be among the wanted ones: all that are, and a few that only share a bit.
+
+    For tables of long rows of which a join needs a part: the others are not shuffled. The more
+    ids are wanted, the more other rows pass.
+    """
+    code = lambda c: F.pmod(F.xxhash64(c.cast("bigint")), F.lit(FILTER_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_code") % 64).cast("int"))
+    cells = wanted.select(code(F.col(wanted_col)).alias("_code")).groupBy(F.shiftright("_code", 6).alias("_cell")).agg(F.bit_or(bit).alias("_bits"))
+    own = df.withColumn("_code", code(F.col(id_col)))
+    met = own.join(F.broadcast(cells), F.shiftright("_code", 6) == F.col("_cell"))  # a bounded number of rows
+    return met.where(F.getbit("_bits", (F.col("_code") % 64).cast("int")) == 1).select(*df.columns)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has a link.
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newslens.llm.graph import components, store
+from newslens.llm.graph import components, maybe_among, store
 from newslens.llm.text import buffers, mix
 from newslens.session import materialize
 
@@ -200,8 +200,9 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(first, text) of the wanted lines, each known by its place (first.doc_id, first.line) and hashes h1, h2."""
     per_doc = wanted.groupBy(F.col("first.doc_id").alias("_doc")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("_wanted"))
+    per_doc = store(per_doc, "wanted")
     source = docs.select(F.col(id_col).cast("bigint").alias("_doc"), F.col(text_col).cast("binary").alias("_text"))
-    joined = source.join(per_doc, "_doc").select("_text", "_wanted")
+    joined = maybe_among(source, "_doc", per_doc, "_doc").join(per_doc, "_doc").select("_text", "_wanted")
 
     def run(batches):
         for batch in batches:

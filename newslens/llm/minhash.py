@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newslens.llm.graph import components, store
+from newslens.llm.graph import components, maybe_among, store
 from newslens.llm.text import mix, per_batch, word_hashes
 from newslens.session import materialize
 
@@ -323,7 +323,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets = [s.tobytes() for low in range(0, batch.num_rows, STEP) for s in shingle_sets(batch.column(1).slice(low, STEP), width)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
 
-    met = source.join(family.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    met = maybe_among(source, "doc_id", family, "node").join(family.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     sets = materialize(per_batch(met, make, "doc_id bigint, set binary").dropDuplicates(["doc_id"]), "sets")
     # first the likeliest center of each document, then what still differs within a family
     best = stars.where(F.col("likely") >= percent / 100 - MARGIN).groupBy("doc_id").agg(

@@ -19,11 +19,13 @@ from newslens.llm.graph import components, store
 from newslens.session import materialize
 
 #: Vectors (expected) that the cluster centers are fitted on, aimed-at nodes of a shard, shards of a node.
-SAMPLE, SHARD, OVERLAP = 20_000, 1500, 3
+SAMPLE, SHARD, OVERLAP = 20_000, 400, 3
 #: Most centers; beyond it shards are cut into more parts.
 MOST_CENTERS = 2048
 #: Neighbours before and after pruning, slack of the pruning rule, beam of the search.
 NEAREST, DEGREE, ALPHA, BEAM = 48, 16, 1.2, 24
+#: Nodes of a beam that are opened at once.
+OPEN = 4
 #: Neighbours this far below the range are still followed.
 SLACK = 0.05
 
@@ -114,12 +116,12 @@ def search(x: np.ndarray, table: np.ndarray, range_: float) -> list[tuple[np.nda
         best = np.full((m, beam), -1)
         best[:, 0] = medoid
         while True:
-            # the best node of each beam that was not opened yet, and all that lie in range
+            # the best nodes of each beam that were not opened yet, and all that lie in range
             at = np.where(best >= 0, best, 0)
             value = np.where((best >= 0) & ~np.take_along_axis(opened, at, axis=1), np.take_along_axis(cos, at, axis=1), -3)
-            pick = np.argmax(value, axis=1)
-            who = np.flatnonzero(value[np.arange(m), pick] > -3)
-            node = best[who, pick[who]]
+            pick = np.argpartition(-value, OPEN - 1, axis=1)[:, :OPEN] if beam > OPEN else np.broadcast_to(np.arange(beam), (m, beam))
+            who, place = np.nonzero(np.take_along_axis(value, pick, axis=1) > -3)
+            node = best[who, pick[who, place]]
             inside, wide = np.nonzero((cos >= range_ - SLACK) & ~opened)
             who, node = np.concatenate([who, inside]), np.concatenate([node, wide])
             if not len(who):
