@@ -19,8 +19,8 @@ from newslens.llm.text import buffers, mix
 from newslens.session import materialize
 
 EDITS, LEAST_CHARS = 1, 20
-#: Bytes of text handled at once, lines from which a segment is crowded, lines on a side of a block, pairs verified at once.
-PIECE, CROWDED, BLOCK, PAIRS = 1 << 19, 64, 256, 1 << 14
+#: Bytes of text handled at once, lines from which a segment is crowded, lines on a side of a block, cells of the padded pairs verified at once.
+PIECE, CROWDED, BLOCK, CELLS = 1 << 19, 64, 256, 1 << 20
 _P = 0x9E3779B97F4A7C15
 _Q = 0xA24BAED4963EE407
 _INVERSE = pow(_P, -1, 2**64)
@@ -121,9 +121,12 @@ def within(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarr
     ok = np.zeros(n, bool)
     order = np.flatnonzero(close)
     order = order[np.argsort(sizes_a[order], kind="stable")]
-    for rows in np.array_split(order, len(order) // PAIRS + 1):
-        if len(rows):
-            ok[rows] = _band([one[r] for r in rows], [two[r] for r in rows], sizes_a[rows], sizes_b[rows], edits)
+    begin = 0
+    while begin < len(order):  # shorter pairs first, so many as fit the cells when padded to the longest
+        cells = np.arange(1, len(order) - begin + 1) * (sizes_a[order[begin:]] + 1)
+        rows = order[begin : begin + max(1, int(np.searchsorted(cells, CELLS, "right")))]
+        ok[rows] = _band([one[r] for r in rows], [two[r] for r in rows], sizes_a[rows], sizes_b[rows], edits)
+        begin += len(rows)
     return ok
 
 
