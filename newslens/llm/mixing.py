@@ -114,7 +114,7 @@ def mix_sources(
     targets = source_targets(sized, weights, max_repeats)
     blocks = cells.groupBy("source").agg(F.sum("blocks").alias("blocks"))
     asked = targets.join(blocks, targets.source.eqNullSafe(blocks.source)).select(
-        targets["*"], "blocks", (F.col("target") / F.col("source_size") * F.col("blocks")).alias("asked"))
+        targets["*"], "blocks", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * F.col("blocks")).otherwise(0.0).alias("asked"))
     asked = asked.withColumn("_one", F.lit(1)).withColumn(
         "seats", F.round(F.sum("asked").over(Window.partitionBy("_one"))).cast("bigint"))
     given = apportion(asked, ["_one"], "rank", "asked", "seats", "quota")
