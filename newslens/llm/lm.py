@@ -1,32 +1,37 @@
-"""Language-model scores from a log-frequency Bloom filter of n-gram counts.
-
-Training tokens are counted once, exactly. An n-gram of count c at or above a cut t enters
-the filter under levels 1 .. 1 + floor(log2(c / t)); reading probes level after level until
-one is missing, which gives the count back up to a factor of two. The cut is a fixed share
-of all tokens, so the entries of each order number at most ``MOST`` whatever the corpus, and
-the filter, of fixed size, can be broadcast. Bigram keys are made of words frequent enough
-to be numbered in 16 bits.
+"""Language-model scores from exact counts of words and of pairs of neighbouring words.
+
+Every training word and pair counts, at any size of the corpus. The counts of the most
+frequent words, a bounded number, are sent to the workers. All else is met in buckets, whose
+number grows with the corpus: a pair goes to the bucket of its second word if that is not
+sent, else to that of its first word if that is not, else to one of its own. A word's count
+lies in its bucket too, so what a pair adds to a score is known there, and documents ask
+there for the pairs and words they hold. Only of pairs of which neither word is sent, the
+first word's count is joined beforehand.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.llm.text import buffers, mix, word_hashes
 from newslens.session import materialize
 
-#: Most entries of each n-gram order in the filter; an n-gram enters from a share 1 / MOST of all tokens.
-MOST = 1 << 23
-#: The filter's bits: at least 16 for every entry.
+#: Training tokens to a bucket, and the fewest buckets.
+BUCKET, FEWEST = 1 << 21, 16
+#: Bits of the filter of ``probe``.
 BITS = 1 << 28
 SEGMENT = 1 << 17
 PROBES = 6
-#: Most words that are numbered for bigrams, and most whose exact count is sent to the workers.
-NUMBERED, SENT = 1 << 16, 1 << 20
+#: Most words whose exact count is sent to the workers.
+SENT = 1 << 20
+#: Pairs with at least this share of the tokens, 1 / HOT, are sent too, so that no bucket is asked for one of them by every document.
+HOT = 1 << 20
 LAMBDA = 0.5
 END = np.uint64(0xE4D0F7E4D0F7E4D1)
 #: Bytes of text handled at once.
@@ -89,21 +94,62 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[place] == keys, place, -1)
 
 
-def _bigrams(tokens: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Code of (word before, word) at each token, 0 where one is not numbered; an end stands before the first word."""
-    number = _find(words, tokens).astype(np.int64)
-    before = np.empty_like(number)
-    before[1:] = number[:-1]
-    before[at[:-1]] = _find(words, np.array([END]))[0]
-    return np.where((number >= 0) & (before >= 0), (before << 16 | number) + 1, 0).astype(np.uint64)
+def _before(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The word before each token; an end stands before the first word."""
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[at[:-1]] = END
+    return before
 
 
-def _unigram_key(tokens: np.ndarray) -> np.ndarray:
-    return mix(tokens ^ np.uint64(0xA24BAED4963EE407))
+def _pair_key(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return mix(mix(before) * np.uint64(0x9FB21C651E98DF25) + tokens)
 
 
-def _bigram_key(codes: np.ndarray) -> np.ndarray:
-    return mix(codes + np.uint64(0x9FB21C651E98DF25))
+def _home(before: np.ndarray, tokens: np.ndarray, sent: np.ndarray, sent_before: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """What decides a pair's bucket."""
+    return np.where(~sent, tokens, np.where(~sent_before, before, keys))
+
+
+def _bucket(homes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(homes ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    """40 bits of each key; a bucket's few million keys are told apart by them."""
+    return np.ascontiguousarray(keys >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpack(packed: pa.ChunkedArray) -> np.ndarray:
+    data = np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(-1, 5)
+    out = np.zeros((len(data), 8), np.uint8)
+    out[:, :5] = data
+    return out.view(np.uint64).reshape(-1)
+
+
+def _numbers(packed: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(packed.to_pylist()), kind)
+
+
+#: What a row of a bucket holds: counts of words; pairs of which both words, the first, or the second are known
+#: to the sender; words and pairs that documents ask for. The last are a document's own sums, which need no bucket.
+WORDS, BOTH, FIRST, SECOND, ASK_WORDS, ASK_PAIRS, OWN = range(7)
+#: ``keys`` are packed; ``n`` counts; ``value`` is a factor of the pair's weight, ``word`` the pair's packed home; of asks ``row`` is the
+#: first document of the piece and ``doc`` each document's distance from it.
+_ROW = "bucket int, kind int, keys binary, n binary, value binary, word binary, row bigint, doc binary"
+_NAMES = [c.split()[0] for c in _ROW.split(", ")]
+
+
+def _dealt(buckets: np.ndarray, kind: int, keys: np.ndarray, n=None, value=None, word=None, row=None, doc=None) -> pa.RecordBatch:
+    """A row for each bucket that some of the keys belong to."""
+    order = np.argsort(buckets, kind="stable")
+    found, start = np.unique(buckets[order], return_index=True)
+    parts = [order[low:high] for low, high in zip(start, np.append(start[1:], len(order)))]
+    packed = lambda make, x: pa.array([None if x is None else make(x[p]) for p in parts], pa.binary())
+    return pa.RecordBatch.from_arrays([
+        pa.array(found, pa.int32()), pa.array(np.full(len(found), kind), pa.int32()), packed(_pack, keys),
+        packed(lambda x: x.astype("<i8" if kind == WORDS else "<u4").tobytes(), n), packed(lambda x: x.astype("<f4").tobytes(), value),
+        packed(_pack, word), pa.array([row] * len(found), pa.int64()), packed(lambda x: x.astype("<u4").tobytes(), doc)], names=_NAMES)
 
 
 def _places(keys: np.ndarray, level: int) -> np.ndarray:
@@ -123,24 +169,6 @@ def levels(share: np.ndarray) -> np.ndarray:
     return (1 + np.floor(np.log2(np.maximum(share, 1)))).astype(np.int64)
 
 
-def _filter(entries: DataFrame) -> np.ndarray:
-    """The bits, from (key, share): each segment is filled by one small group and only its bits are collected."""
-
-    def fill(table: pa.Table) -> pa.Table:
-        keys, level = table["key"].to_numpy().view(np.uint64), levels(table["share"].to_numpy())
-        bits = np.zeros(SEGMENT, bool)
-        for j in range(1, int(level.max()) + 1):
-            bits[_places(keys[level >= j], j).reshape(-1) & (SEGMENT - 1)] = True
-        return pa.table({"segment": table["segment"].slice(0, 1).combine_chunks(), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    segment = F.shiftrightunsigned("key", 64 - (BITS // SEGMENT).bit_length() + 1)
-    rows = entries.withColumn("segment", segment).groupBy("segment").applyInArrow(fill, "segment bigint, bits binary").toArrow()
-    out = np.zeros((BITS // SEGMENT, SEGMENT // 8), np.uint8)
-    for number, bits in zip(rows["segment"].to_pylist(), rows["bits"].to_pylist()):
-        out[number] = np.frombuffer(bits, np.uint8)
-    return out.reshape(-1)
-
-
 def probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Highest level found of each key, 0 if none; a wrong level needs six foreign bits."""
     level, open_, j = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
@@ -153,132 +181,174 @@ def probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return level
 
 
-class Model:
-    """What workers need: the filter, the numbered words, and three sums over the corpus."""
-
-    def __init__(self, bits, words, total, rare_share):
-        self.bits, self.words, self.total, self.rare_share = bits, words, total, rare_share
-        self.cut = total / MOST
-
-    def counts(self, level: np.ndarray) -> np.ndarray:
-        """Count that a level stands for: the middle of its range on a log scale."""
-        return np.where(level > 0, np.maximum(self.cut, 1.0) * 2.0 ** (level - 1) * 2**0.5, 0.0)
-
-    def log10(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability given the one before."""
-        distinct, place = np.unique(tokens, return_inverse=True)
-        seen = self.counts(probe(self.bits, _unigram_key(distinct)))
-        alone = np.where(seen > 0, seen / self.total, self.rare_share)[place]
-        codes, where = np.unique(_bigrams(tokens, at, self.words), return_inverse=True)
-        pair = self.counts(np.where(codes > 0, probe(self.bits, _bigram_key(codes)), 0))[where]
-        count = np.maximum(seen[place], 1.0)
-        before = np.empty_like(count)
-        before[1:] = count[:-1]
-        end = self.counts(probe(self.bits, _unigram_key(np.array([END]))))
-        before[at[:-1]] = max(float(end[0]), 1.0)
-        return np.log10(LAMBDA * np.minimum(pair / before, 1.0) + (1 - LAMBDA) * alone)
+#: What is known of a document.
+_OWN = ["doc_id", "held_out", "tokens", "known", "base", "pairs"]
+
+
+def _answers(table: pa.Table, floor: float) -> pa.Table:
+    """What a bucket adds to documents, and the documents' own sums that were dealt to it."""
+    of = {k: table.filter(pa.compute.equal(table["kind"], k)) for k in range(OWN)}
+    words, counts = _unpack(of[WORDS]["keys"]), _numbers(of[WORDS]["n"], "<i8")
+    order = np.argsort(words)
+    words, counts = words[order], counts[order]
+    alone = lambda c: (c + 0.5) / floor
+    keys, gains = [], []
+    for kind in (BOTH, FIRST, SECOND):
+        found, first, place = np.unique(_unpack(of[kind]["keys"]), return_index=True, return_inverse=True)
+        weight = np.bincount(place, _numbers(of[kind]["n"], "<u4"), len(found)) * _numbers(of[kind]["value"], "<f4")[first]
+        if kind != BOTH and len(found):
+            own = counts[_find(words, _unpack(of[kind]["word"])[first])]
+            weight = weight / (alone(own) if kind == FIRST else own)
+        keys.append(found)
+        gains.append(np.log10(1 + LAMBDA / (1 - LAMBDA) * weight))
+    keys, gains = np.concatenate(keys), np.concatenate(gains)
+    order = np.argsort(keys)
+    keys, gains = keys[order], gains[order]
+    rows, sums = [], []
+    for kind in (ASK_WORDS, ASK_PAIRS):
+        asked = _unpack(of[kind]["keys"])
+        docs = [row + np.frombuffer(doc, "<u4").astype(np.int64) for row, doc in zip(of[kind]["row"].to_pylist(), of[kind]["doc"].to_pylist())]
+        rows.append(np.concatenate(docs) if docs else np.zeros(0, np.int64))
+        zero = np.zeros(len(asked))
+        if kind == ASK_WORDS:
+            place = _find(words, asked)
+            seen = np.where(place >= 0, counts[place], 0) if len(counts) else zero
+            sums.append((seen > 0, np.log10(alone(seen)), zero))
+        else:
+            place = _find(keys, asked)
+            sums.append((zero, zero, np.where(place >= 0, gains[place], 0) if len(gains) else zero))
+    rows, place = np.unique(np.concatenate(rows), return_inverse=True)
+    known, base, pairs = (np.bincount(place, np.concatenate(x), len(rows)) for x in zip(*sums))
+    answers = pa.table({"_row": pa.array(rows, pa.int64()), "known": pa.array(known.astype(np.int64)), "base": pa.array(base), "pairs": pa.array(pairs)})
+    own = table.filter(pa.compute.equal(table["kind"], OWN)).select(["row", *_OWN]).rename_columns(["_row", *_OWN])
+    out = pa.concat_tables([answers, own], promote_options="default")
+    return out.select(["_row", *_OWN])
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents that are not ``held_out``. ``base_score`` is the exact smoothed
-    unigram log10 probability, ``score`` the filter model's log10 probability of the text: half
-    the bigram's relative frequency plus half the word's. Words below the cut share the rest of
-    the unigram probability evenly. A null text is empty: it has one token, its end. Repeated
-    rows are scored, and learnt from, each; other columns are left out; an empty table gives
-    no rows. Words are known by 64-bit hashes.
+    unigram log10 probability, ``score`` the log10 probability of the text by pairs: half the
+    pair's relative frequency after the word before, from exact counts, plus half the smoothed
+    unigram. A null text is empty: it has one token, its end. Repeated rows are scored, and
+    learnt from, each; other columns are left out; an empty table gives no rows. Words are
+    known by 64-bit hashes, pairs by 40 bits beside their bucket.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("_text"), held_out(F.col(id_col)).alias("held_out"))
     train = source.where(~F.col("held_out"))
     counts = materialize(_totals(train, lambda texts: _tokens(texts)[0]), "counts")
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    cut = max(total, 1) / MOST
-    kept = counts.where(F.col("n") >= cut)
-    kept_total, kept_types = kept.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    words, _ = _frequent(counts, total, NUMBERED)
-    words = words[: NUMBERED - 1]  # as many only if all were equally frequent
-    sent, sent_n = _frequent(counts, total, SENT)
-    numbered = spark.sparkContext.broadcast(words)
-
-    def codes(texts: pa.Array) -> np.ndarray:
-        found = _bigrams(*_tokens(texts), numbered.value)
-        return found[found > 0]
-
-    bigrams = _totals(train, codes).where(F.col("n") >= cut)
-
-    def keyed(make):
-        def run(batches):
-            for b in batches:
-                keys = make(b.column(0).to_numpy().view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), b.column(1)], names=["key", "share"])
-
-        return run
-
-    shared = lambda rows, make: rows.select("key", (F.col("n") / cut).alias("share")).mapInArrow(keyed(make), "key bigint, share double")
-    bits = _filter(shared(kept, _unigram_key).unionByName(shared(bigrams, _bigram_key)))
-    # below the cut nothing is known of a word but that it is one of these
-    rare_share = max(total - kept_total, 1) / max(types - kept_types, 1) / max(total, 1)
-    model = spark.sparkContext.broadcast(Model(bits, words, max(total, 1), rare_share))
-    exact = spark.sparkContext.broadcast((sent, sent_n))
+    exact = spark.sparkContext.broadcast(_frequent(counts, total, SENT))
+    buckets = max(FEWEST, -(-total // BUCKET))
     floor = float(total + 0.5 * (types + 1))
 
-    def score(batches):
+    def word_rows(batches):
+        for b in batches:
+            keys = b.column(0).to_numpy().view(np.uint64)
+            yield _dealt(_bucket(keys, buckets), WORDS, keys, b.column(1).to_numpy())
+
+    def often(batches):
+        """Pairs that have a bounded share of a batch."""
+        for batch in batches:
+            found = [_tokens(piece.column(0)) for piece in _pieces(batch, 0)]
+            if found:
+                sums = _sums(np.concatenate([_pair_key(_before(*f), f[0]) for f in found]))
+                least = max(2, sum(len(f[0]) for f in found) // HOT)
+                yield sums.filter(pa.compute.greater_equal(sums.column(1), least))
+
+    # which pairs are sent decides where they are added up, not what they add
+    texts = train.select("_text")
+    hot = texts.mapInArrow(often, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") * HOT >= total)
+    hot_keys = spark.sparkContext.broadcast(np.sort(hot.select("key").toArrow()["key"].to_numpy().view(np.uint64)))
+
+    def hot_codes(texts):
+        tokens, at = _tokens(texts)
+        keys = _pair_key(_before(tokens, at), tokens)
+        return keys[_find(hot_keys.value, keys) >= 0]
+
+    hot_pairs = spark.sparkContext.broadcast(_frequent(_totals(train, hot_codes), 0, 1))
+
+    def learn(batches):
+        """Rows of the pairs of which a word was sent, but for the pairs sent."""
+        sent, sent_n = exact.value
+        for batch in batches:
+            for piece in _pieces(batch, 0):
+                tokens, at = _tokens(piece.column(0))
+                before = _before(tokens, at)
+                keys, first, n = np.unique(_pair_key(before, tokens), return_index=True, return_counts=True)
+                before, tokens = before[first], tokens[first]
+                one, two = _find(sent, before), _find(sent, tokens)
+                home = _bucket(_home(before, tokens, two >= 0, one >= 0, keys), buckets)
+                both = (one >= 0) & (two >= 0) & (_find(hot_pairs.value[0], keys) < 0)
+                for kind, rows in ((BOTH, both), (FIRST, (one >= 0) & (two < 0)), (SECOND, (one < 0) & (two >= 0))):
+                    rows = np.flatnonzero(rows)
+                    if len(rows):
+                        value = np.ones(len(rows))
+                        if kind != SECOND:
+                            value /= sent_n[one[rows]]
+                        if kind != FIRST:
+                            value /= (sent_n[two[rows]] + 0.5) / floor
+                        word = None if kind == BOTH else tokens[rows] if kind == FIRST else before[rows]
+                        yield _dealt(home[rows], kind, keys[rows], n[rows], value, word)
+
+    def rare_pairs(batches):
+        """(key, second, n) of the pairs of which no word was sent; ``key`` is the first word."""
+        sent, _ = exact.value
+        for batch in batches:
+            for piece in _pieces(batch, 0):
+                tokens, at = _tokens(piece.column(0))
+                before = _before(tokens, at)
+                rows = (_find(sent, before) < 0) & (_find(sent, tokens) < 0)
+                before, tokens = before[rows], tokens[rows]
+                _, first, n = np.unique(_pair_key(before, tokens), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(before[first].view(np.int64)), pa.array(tokens[first].view(np.int64)), pa.array(n, pa.int64())],
+                                                 names=["key", "second", "n"])
+
+    def rare_rows(batches):
+        for b in batches:
+            before, tokens = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            if len(tokens):
+                yield _dealt(_bucket(tokens, buckets), FIRST, _pair_key(before, tokens), b.column(2).to_numpy(), 1 / b.column(3).to_numpy(), tokens)
+
+    def ask(batches):
+        """Each document's sums over what was sent, and the words and pairs it asks for."""
+        (sent, sent_n), (hottest, hottest_n) = exact.value, hot_pairs.value
         for batch in batches:
             for piece in _pieces(batch, 1):
                 tokens, at = _tokens(piece.column(1))
-                lm = np.add.reduceat(model.value.log10(tokens, at), at[:-1])
-                keys, n = exact.value
-                place = _find(keys, tokens)
-                logs = np.where(place >= 0, np.log10(((n[place] if len(n) else 0) + 0.5) / floor), 0.0)
-                base, known = np.add.reduceat(logs, at[:-1]), np.add.reduceat((place >= 0).astype(np.int64), at[:-1])
-                rows = piece.column(0).to_numpy()
-                left = np.flatnonzero(place < 0)
-                owner = np.searchsorted(at, left, "right") - 1
-                order = np.lexsort((tokens[left], owner))
-                owner, rest = owner[order], tokens[left][order]
-                first = np.ones(len(rest), bool)
-                first[1:] = (owner[1:] != owner[:-1]) | (rest[1:] != rest[:-1])
-                heads = np.flatnonzero(first)
+                before, ids = _before(tokens, at), piece.column(0)
+                keys, place = _pair_key(before, tokens), _find(sent, tokens)
+                one, hot = _find(sent, before), _find(hottest, keys)
+                hot = np.where((place >= 0) & (one >= 0), hot, -1)
+                share = (sent_n[place] + 0.5) / floor if len(sent) else np.ones(len(place))
+                logs, gains, at_hot = np.where(place >= 0, np.log10(share), 0.0), np.zeros(len(tokens)), np.flatnonzero(hot >= 0)
+                gains[at_hot] = np.log10(1 + LAMBDA / (1 - LAMBDA) * hottest_n[hot[at_hot]] / sent_n[one[at_hot]] / share[at_hot])
+                rows, sizes = ids.to_numpy(), np.diff(at)
                 none = pa.nulls(len(rows))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(rows), none.cast(pa.int64()), pa.array(np.diff(at)), pa.array(known), pa.array(base), pa.array(lm)], names=names)
-                none = pa.nulls(len(heads))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rows[owner[heads]]), pa.array(rest[heads].view(np.int64)), pa.array(np.diff(heads, append=len(rest)), pa.int64()),
-                    none.cast(pa.int64()), none.cast(pa.float64()), none.cast(pa.float64())], names=names)
-
-    names = ["_row", "key", "n", "known", "base", "lm"]
-    # a row number per document, stored with the texts' scores, keeps rows with equal ids apart
-    rows = materialize(source.withColumn("_row", F.monotonically_increasing_id()).select("_row", "doc_id", "held_out", "_text")
-                       .select("_row", "_text", "doc_id", "held_out").transform(
-        lambda d: _score_rows(d, score)), "scored")
-    ones = rows.where("key is null")
-    rest = rows.where("key is not null").select("_row", "key", "n").join(counts.withColumnRenamed("n", "c"), "key", "left")
-    seen = F.coalesce("c", F.lit(0))
-    rest = rest.groupBy("_row").agg(
-        F.sum(F.col("n") * F.log10((seen + 0.5) / floor)).alias("rest_base"), F.sum(F.when(seen > 0, F.col("n")).otherwise(0)).alias("rest_known"))
-    return ones.join(rest, "_row", "left").select(
-        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"),
-        F.col("lm").alias("score"))
-
-
-def _score_rows(source: DataFrame, score) -> DataFrame:
-    """Run ``score`` over (_row, _text); document rows get their id and part back."""
-    id_type = dict(source.dtypes)["doc_id"]
-
-    def run(batches):
-        for batch in batches:
-            ids, parts, start = batch.column(2), batch.column(3), 0
-            for out in score([batch]):
-                n = out.num_rows
-                if out.column(1).null_count == n and n:
-                    extra = [ids.slice(start, n), parts.slice(start, n)]
-                    start += n
-                else:
-                    extra = [pa.nulls(n, ids.type), pa.nulls(n, parts.type)]
-                yield pa.RecordBatch.from_arrays([*out.columns, *extra], names=[*out.schema.names, "doc_id", "held_out"])
-
-    return source.mapInArrow(run, f"_row bigint, key bigint, n bigint, known bigint, base double, lm double, doc_id {id_type}, held_out boolean")
+                    pa.array(rows % buckets, pa.int32()), pa.array(np.full(len(rows), OWN), pa.int32()), *[none.cast(pa.binary())] * 4, ids, none.cast(pa.binary()),
+                    piece.column(2), piece.column(3), pa.array(sizes), pa.array(np.add.reduceat((place >= 0).astype(np.int64), at[:-1])),
+                    pa.array(np.add.reduceat(logs, at[:-1])), pa.array(np.add.reduceat(gains, at[:-1]))], names=[*_NAMES, *_OWN])
+                owner = np.repeat(rows - rows[0], sizes)
+                home = _bucket(_home(before, tokens, place >= 0, one >= 0, keys), buckets)
+                for kind, asked, which, where in ((ASK_WORDS, tokens, place < 0, _bucket(tokens, buckets)), (ASK_PAIRS, keys, hot < 0, home)):
+                    if which.any():
+                        out = _dealt(where[which], kind, asked[which], row=int(rows[0]), doc=owner[which])
+                        none = [pa.nulls(out.num_rows, t) for t in (piece.column(2).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                        yield pa.RecordBatch.from_arrays([*out.columns, *none], names=[*_NAMES, *_OWN])
+
+    own = f"doc_id {dict(source.dtypes)['doc_id']}, held_out boolean, tokens bigint, known bigint, base double, pairs double"
+    rare = counts.where(F.col("n") * SENT < total)
+    second = texts.mapInArrow(rare_pairs, "key bigint, second bigint, n bigint").groupBy("key", "second").agg(F.sum("n").alias("n"))
+    second = second.join(rare.withColumnRenamed("n", "c"), "key").select("key", "second", "n", "c").mapInArrow(rare_rows, _ROW)
+    # a row number per document keeps rows with equal ids apart
+    asked = source.withColumn("_row", F.monotonically_increasing_id()).select("_row", "_text", "doc_id", "held_out").mapInArrow(ask, f"{_ROW}, {own}")
+    rows = rare.select("key", "n").mapInArrow(word_rows, _ROW).unionByName(texts.mapInArrow(learn, _ROW)).unionByName(second)
+    rows = asked.unionByName(rows, allowMissingColumns=True)
+    sums = rows.groupBy("bucket").applyInArrow(lambda table: _answers(table, floor), f"_row bigint, {own}").groupBy("_row").agg(
+        *(F.first(c, ignorenulls=True).alias(c) for c in _OWN[:3]), *(F.sum(c).alias(c) for c in _OWN[3:]))
+    return sums.select(
+        "doc_id", "held_out", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(int(total)).cast("bigint").alias("train_tokens"),
+        F.col("base").alias("base_score"), (F.col("base") + F.col("tokens") * math.log10(1 - LAMBDA) + F.col("pairs")).alias("score"))

@@ -258,6 +258,34 @@ def test_language_model(spark, monkeypatch):
     assert lm.score_documents(documents(spark, [])).count() == 0
 
 
+def pair_scores(spark, texts):
+    """((id, score) by the operator, by brute force)."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    tokens = {i: [*words(t), None] for i, t in texts}
+    count, pairs = Counter(), Counter()
+    for i, w in tokens.items():
+        if not held(i):
+            count.update(w)
+            pairs.update(zip([None, *w], w))
+    total, types = sum(count.values()), len(count)
+    alone = lambda w: (count[w] + 0.5) / (total + 0.5 * (types + 1))
+    want = {i: sum(math.log10(0.5 * (pairs[b, w] / count[b] if pairs[b, w] else 0) + 0.5 * alone(w)) for b, w in zip([None, *ws], ws)) for i, ws in tokens.items()}
+    got = {r.doc_id: (r.score, r.base_score) for r in lm.score_documents(documents(spark, texts)).collect()}
+    base = {i: sum(math.log10(alone(w)) for w in ws) for i, ws in tokens.items()}
+    return got, {i: (want[i], base[i]) for i in want}
+
+
+def test_every_pair_counts_whatever_the_share(spark, monkeypatch):
+    # one common word holds nearly all tokens: a cut at a share of them loses the others
+    monkeypatch.setattr(lm, "MOST", 64, raising=False)
+    rng = random.Random(11)
+    texts = [(i, " ".join([*(["common"] * 200), f"a{i % 40}", f"b{i % 40}", *rng.choices([f"w{k}" for k in range(90)], k=5)])) for i in range(120)] + [(120, None)]
+    got, want = pair_scores(spark, texts)
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i] == pytest.approx(want[i], abs=1e-4), i
+
+
 def test_filter_levels():
     rng = np.random.default_rng(8)
     keys = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
