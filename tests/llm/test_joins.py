@@ -286,6 +286,19 @@ def test_every_pair_counts_whatever_the_share(spark, monkeypatch):
         assert got[i] == pytest.approx(want[i], abs=1e-4), i
 
 
+@pytest.mark.parametrize("sent", [1, 8, 60])
+def test_pairs_of_rare_words_count(spark, monkeypatch, sent):
+    monkeypatch.setattr(lm, "SENT", sent)
+    monkeypatch.setattr(lm, "HOT", 8, raising=False)
+    rng = random.Random(12)
+    # fixed pairs of rare words, frequent words before rare ones, and the other way round
+    parts = [f"x{k} y{k}" for k in range(80)] + [f"the z{k}" for k in range(40)] + [f"z{k} of" for k in range(40)] + ["of the"] * 30
+    texts = [(i, " ".join(rng.choices(parts, k=rng.randint(0, 30)))) for i in range(150)]
+    got, want = pair_scores(spark, texts)
+    for i in want:
+        assert got[i] == pytest.approx(want[i], abs=1e-4), i
+
+
 def test_filter_levels():
     rng = np.random.default_rng(8)
     keys = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
