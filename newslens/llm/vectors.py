@@ -4,7 +4,7 @@ Equal vectors are one node. Nodes are dealt to the shards of their nearest clust
 (overlapping), crowded shards into parts of bounded size. Each part builds its graph:
 a node's nearest neighbours, robustly pruned so that edges point in different directions,
 with reverse edges. The adjacency lists of all parts are united per node. Searches start at a
-part's medoid and follow united edges greedily; once inside the range they expand through
+medoid of each piece of a part and follow united edges greedily; once inside the range they expand through
 every neighbour in range. What they find is verified in double precision.
 """
 
@@ -100,48 +100,41 @@ def _prune(x: np.ndarray, lists: list[np.ndarray], most: int = DEGREE) -> list[n
     return out
 
 
+def pieces(x: np.ndarray, table: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """(members, start) of what edges reach from a medoid, then from a medoid of the rest, and so on.
+
+    Every node is in one piece, and is reached from its start within it.
+    """
+    left, out = np.ones(len(x), bool), []
+    while left.any():
+        at = np.flatnonzero(left)
+        start = int(at[np.argmax(x[at] @ x[at].mean(axis=0))])
+        members, edge = [], np.array([start])
+        while len(edge):
+            left[edge] = False
+            members.append(edge)
+            next_ = np.unique(table[edge])
+            next_ = next_[next_ >= 0]
+            edge = next_[left[next_]]
+        out.append((np.sort(np.concatenate(members)), start))
+    return out
+
+
 def search(x: np.ndarray, table: np.ndarray, range_: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For every node, those found in range: (places, cosines). ``table`` holds neighbours, -1 for none."""
-    n, beam = len(x), min(BEAM, len(x))
-    medoid = int(np.argmax(x @ x.mean(axis=0)))
+    """For every node, those found in range: (places, cosines). ``table`` holds neighbours, -1 for none.
+
+    A part of large groups of near copies falls into pieces that no edge joins; each is searched.
+    """
+    n, parts = len(x), []
+    for members, start in pieces(x, table):
+        number = np.full(n + 1, -1)  # the last stands for no neighbour
+        number[members] = np.arange(len(members))
+        parts.append((members, x[members], number[table[members]], int(number[start])))
     found = []
     for rows in np.array_split(np.arange(n), n // 256 + 1):
-        q = x[rows]
-        m = len(rows)
-        seen = np.zeros((m, n), bool)
-        cos = np.full((m, n), -2.0, np.float64)
-        seen[:, medoid] = True
-        cos[:, medoid] = q @ x[medoid]
-        opened = np.zeros((m, n), bool)
-        best = np.full((m, beam), -1)
-        best[:, 0] = medoid
-        while True:
-            # the best nodes of each beam that were not opened yet, and all that lie in range
-            at = np.where(best >= 0, best, 0)
-            value = np.where((best >= 0) & ~np.take_along_axis(opened, at, axis=1), np.take_along_axis(cos, at, axis=1), -3)
-            pick = np.argpartition(-value, OPEN - 1, axis=1)[:, :OPEN] if beam > OPEN else np.broadcast_to(np.arange(beam), (m, beam))
-            who, place = np.nonzero(np.take_along_axis(value, pick, axis=1) > -3)
-            node = best[who, pick[who, place]]
-            inside, wide = np.nonzero((cos >= range_ - SLACK) & ~opened)
-            who, node = np.concatenate([who, inside]), np.concatenate([node, wide])
-            if not len(who):
-                break
-            opened[who, node] = True
-            next_ = table[node]
-            who, next_ = np.repeat(who, next_.shape[1]), next_.reshape(-1)
-            fresh = (next_ >= 0) & ~seen[who, next_]
-            who, next_ = who[fresh], next_[fresh]
-            if len(who):
-                pair = np.unique(who * n + next_)
-                who, next_ = pair // n, pair % n
-                seen[who, next_] = True
-                cos[who, next_] = (q[who] * x[next_]).sum(axis=1)
-                touched = np.unique(who)
-                if beam < n:
-                    best[touched] = np.argpartition(-cos[touched], beam - 1, axis=1)[:, :beam]
-                else:
-                    best[touched] = np.arange(n)
-                best[touched] = np.where(np.take_along_axis(seen[touched], best[touched], axis=1), best[touched], -1)
+        cos = np.full((len(rows), n), -2.0)
+        for members, own, edges, start in parts:
+            cos[:, members] = _looked(x[rows], own, edges, start, range_)
         for i, row in enumerate(rows):
             hit = np.flatnonzero(cos[i] >= range_)
             hit = hit[hit != row]
@@ -149,6 +142,46 @@ def search(x: np.ndarray, table: np.ndarray, range_: float) -> list[tuple[np.nda
     return found
 
 
+def _looked(q: np.ndarray, x: np.ndarray, table: np.ndarray, start: int, range_: float) -> np.ndarray:
+    """Cosines (queries x nodes) of the nodes that the search from ``start`` meets, -2 of others."""
+    m, n, beam = len(q), len(x), min(BEAM, len(x))
+    seen = np.zeros((m, n), bool)
+    cos = np.full((m, n), -2.0, np.float64)
+    seen[:, start] = True
+    cos[:, start] = q @ x[start]
+    opened = np.zeros((m, n), bool)
+    best = np.full((m, beam), -1)
+    best[:, 0] = start
+    while True:
+        # the best nodes of each beam that were not opened yet, and all that lie in range
+        at = np.where(best >= 0, best, 0)
+        value = np.where((best >= 0) & ~np.take_along_axis(opened, at, axis=1), np.take_along_axis(cos, at, axis=1), -3)
+        pick = np.argpartition(-value, OPEN - 1, axis=1)[:, :OPEN] if beam > OPEN else np.broadcast_to(np.arange(beam), (m, beam))
+        who, place = np.nonzero(np.take_along_axis(value, pick, axis=1) > -3)
+        node = best[who, pick[who, place]]
+        inside, wide = np.nonzero((cos >= range_ - SLACK) & ~opened)
+        who, node = np.concatenate([who, inside]), np.concatenate([node, wide])
+        if not len(who):
+            break
+        opened[who, node] = True
+        next_ = table[node]
+        who, next_ = np.repeat(who, next_.shape[1]), next_.reshape(-1)
+        fresh = (next_ >= 0) & ~seen[who, next_]
+        who, next_ = who[fresh], next_[fresh]
+        if len(who):
+            pair = np.unique(who * n + next_)
+            who, next_ = pair // n, pair % n
+            seen[who, next_] = True
+            cos[who, next_] = (q[who] * x[next_]).sum(axis=1)
+            touched = np.unique(who)
+            if beam < n:
+                best[touched] = np.argpartition(-cos[touched], beam - 1, axis=1)[:, :beam]
+            else:
+                best[touched] = np.arange(n)
+            best[touched] = np.where(np.take_along_axis(seen[touched], best[touched], axis=1), best[touched], -1)
+    return cos
+
+
 def _nodes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows: vec_id, digest; nodes: node, copies, vector as bytes). Rows without a usable vector have no digest."""
     source = vectors.select(F.col(id_col).alias("vec_id"), F.when(usable(F.col(vector_col)), F.col(vector_col).cast("array<double>")).alias("v"))

@@ -258,6 +258,20 @@ def test_language_model(spark, monkeypatch):
     assert lm.score_documents(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("groups", "size"), [(10, 60), (3, 300)])
+def test_large_groups_of_near_copies_are_all_searched(groups, size):
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(groups, 64))
+    x = vectors._unit(np.concatenate([b + 0.02 * rng.normal(size=(size, 64)) for b in base] + [rng.normal(size=(3, 64))]))
+    rows = vectors.build(x)
+    table = np.full((len(x), max(map(len, rows))), -1)
+    for i, row in enumerate(rows):
+        table[i, : len(row)] = row
+    found = vectors.search(x, table, 0.95)
+    want = int((np.triu(x @ x.T >= 0.95, 1)).sum()) * 2
+    assert sum(len(hit) for hit, _ in found) == want
+
+
 def pair_scores(spark, texts):
     """((id, score) by the operator, by brute force)."""
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
