@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newslens.llm import bpe, line_dedup, lm, minhash, mixing, pii, quality, secret_scan, topk, vectors
+from newslens.llm import bpe, chunk_bpe, line_dedup, lm, minhash, mixing, pii, quality, secret_scan, topk, vectors
 from newslens.llm.registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -128,3 +129,11 @@ def op2_lines(spark: SparkSession, folder: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return docs.join(per_doc, "doc_id", "left").select(
         "doc_id", "n_lines", *(F.coalesce(c, zero).alias(c) for c in ("n_shared", "n_repeats", "n_links")), F.coalesce("classes", F.lit("")).alias("classes"))
+
+
+@query("op13_chunks")
+def op13_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return chunk_bpe.encode_digests(docs, public_tokenizers.path(WORD_VOCABULARY)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
