@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newslens.llm import bpe, chunk_bpe, line_dedup, lm, minhash, mixing, pii, quality, secret_scan, topk, vectors
+from newslens.llm import bpe, chunk_bpe, line_dedup, lm, minhash, mixing, pii, quality, ranked, secret_scan, topk, vectors
 from newslens.llm.registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -137,3 +137,21 @@ def op13_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     return chunk_bpe.encode_digests(docs, public_tokenizers.path(WORD_VOCABULARY)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op12_ranked", r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (SELECT CAST(count(*) FILTER (len(l) > 0) AS BIGINT) AS n_docs, CAST(sum(len(l)) AS BIGINT) AS n_terms FROM t),
+f AS (SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, CAST(len(l) AS BIGINT) AS n, unnest(l) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+d AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, s GROUP BY term),
+g AS (
+  SELECT q.item_id, f.doc_id, CAST(sum(d.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * (50 + (50 * f.n * s.n_docs) // s.n_terms)))) AS BIGINT) AS score
+  FROM q JOIN f ON f.term = q.term JOIN d ON d.term = q.term, s GROUP BY q.item_id, f.doc_id
+), r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM g WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+""")
+def op12_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.best_documents(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))

@@ -50,8 +50,8 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data[:0], offsets - offsets[:1]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word in order, offsets of each text's words)."""
+def word_hashes(texts: pa.Array, gap: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word in order, offsets of each text's words); ``gap`` marks the bytes that no word holds."""
     data, offsets = buffers(texts)
     total = len(data)
     at_start = np.zeros(total + 1, bool)
@@ -60,13 +60,13 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     while begin < total:
         end = min(begin + WINDOW, total)
         while end < total:  # a window ends where a word does
-            cut = _GAP[data[end : end + WINDOW]] | at_start[end : end + WINDOW][: total - end]
+            cut = gap[data[end : end + WINDOW]] | at_start[end : end + WINDOW][: total - end]
             found = int(np.argmax(cut))
             end += found if cut[found] else len(cut)
             if cut[found]:
                 break
         window, fresh = data[begin:end], at_start[begin:end]
-        inside = ~_GAP[window]
+        inside = ~gap[window]
         first = inside.copy()
         first[1:] &= ~inside[:-1] | fresh[1:]
         starts = np.flatnonzero(first)
