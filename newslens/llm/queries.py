@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newslens.llm import bpe, chunk_bpe, line_dedup, lm, minhash, mixing, pii, quality, ranked, secret_scan, topk, vectors
+from newslens.llm import bpe, chunk_bpe, line_dedup, lm, minhash, mixing, pii, quality, ranked, secret_scan, topk, trie, vectors
 from newslens.llm.registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -155,3 +155,38 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
 """)
 def op12_ranked(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.best_documents(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+@query("op11_trie", """
+WITH o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT DISTINCT conv_id, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])), lambda x, y: xor(x // 2, CAST(3988292384 AS BIGINT) * (x % 2)))) AS crc FROM o
+), k AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(crc, CAST(4294967295 AS BIGINT)) % 6 AS h FROM c),
+given AS (SELECT k.conv_id, o.pos, o.role, o.text FROM k JOIN o ON o.conv_id = k.base AND o.pos <= k.h),
+had AS (SELECT conv_id, count(*) AS n FROM given GROUP BY conv_id),
+t AS (
+  SELECT * FROM given UNION ALL
+  SELECT k.conv_id, o.pos - k.h + coalesce(had.n, 0), o.role, o.text FROM k JOIN o ON o.conv_id = k.conv_id AND o.pos > k.h LEFT JOIN had ON had.conv_id = k.conv_id
+), p AS (
+  SELECT conv_id, pos AS depth, length(text) AS size, string_agg(sha256(role || ':' || length(role) || ':' || text), ',') OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM t
+  UNION ALL SELECT conv_id, 0, 0, '' FROM k
+), e AS (SELECT conv_id, max(depth) AS len FROM p GROUP BY conv_id),
+n AS (
+  SELECT p.path, p.depth, min(p.conv_id) AS conv_id, count(*) AS n, any_value(p.size) AS size,
+    sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (e.len = p.depth), '')) AS ends FROM p JOIN e ON e.conv_id = p.conv_id GROUP BY p.path, p.depth
+), u AS (SELECT DISTINCT a.path, b.path AS parent FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth = b.depth + 1),
+kids AS (SELECT parent, count(*) AS k FROM u GROUP BY parent),
+m AS (SELECT n.*, coalesce(kids.k, 0) AS k FROM n LEFT JOIN kids ON kids.parent = n.path),
+s AS (
+  SELECT b.path, sum(CAST(m.k = 0 AS BIGINT)) AS leaves, sum((m.n - 1) * m.size) AS saved FROM m
+  JOIN p a ON a.conv_id = m.conv_id AND a.depth = m.depth JOIN p b ON b.conv_id = a.conv_id AND b.depth <= a.depth GROUP BY b.path
+)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, CAST(m.n AS BIGINT) AS n_convs, CAST(m.k AS BIGINT) AS n_children,
+  CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, m.ends AS ends_sha256
+FROM m JOIN s ON s.path = m.path LEFT JOIN u ON u.path = m.path LEFT JOIN n q ON q.path = u.parent
+""")
+def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuild(trie.number_turns(_read(spark, folder, "conversations"))))
