@@ -82,19 +82,19 @@ def rebuild(numbered: DataFrame, group: int = 100, shares: int = 6) -> tuple[Dat
     return own.select("conv_id"), given.unionAll(rest)
 
 
-def _rows(convs: DataFrame, turns: DataFrame) -> DataFrame:
+def _rows(convs: DataFrame, turns: DataFrame, width: int, shard_rows: int) -> DataFrame:
     """(shard, conv_id, band, prefix, ids, sizes, last): the bands of all conversations, dealt out by ranges. The root is turn 0."""
     spark = convs.sparkSession
     root = convs.select("conv_id", F.lit(0).cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("turn_id"), F.lit(0).cast("bigint").alias("size"))
     placed = root.unionAll(turns.select("conv_id", "pos", "turn_id", "size")).select(
-        "conv_id", F.floor(F.col("pos") / WIDTH).cast("int").alias("band"), "pos", F.xxhash64("turn_id", "pos").alias("id"), "size")
+        "conv_id", F.floor(F.col("pos") / width).cast("int").alias("band"), "pos", F.xxhash64("turn_id", "pos").alias("id"), "size")
     bands = placed.groupBy("conv_id", "band").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "size"))).alias("x"), F.bit_xor("id").alias("own"))
     by = Window.partitionBy("conv_id").orderBy("band")
     rows = bands.select(
         "conv_id", "band", F.coalesce(F.bit_xor("own").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("prefix"),
         F.col("x.id").alias("ids"), F.col("x.size").alias("sizes"), F.lead("band").over(by).isNull().alias("last"))
     rows = materialize(rows, "bands")
-    shards = max(1, -(-rows.count() // SHARD_ROWS))
+    shards = max(1, -(-rows.count() // shard_rows))
     dealt = rows.repartitionByRange(shards, "band", "prefix", "ids", "conv_id") if shards > 1 else rows.coalesce(1)
     return materialize(dealt.withColumn("shard", F.spark_partition_id()), "shards")
 
@@ -102,7 +102,7 @@ def _rows(convs: DataFrame, turns: DataFrame) -> DataFrame:
 class Shard:
     """The sorted, padded matrix of a shard and the nodes of every column."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, band_width: int):
         table = table.combine_chunks()
         lists = table["ids"].combine_chunks()
         lengths = lists.value_lengths().to_numpy()
@@ -119,7 +119,7 @@ class Shard:
         self.matrix, self.sizes, self.lengths = matrix[order], sizes[order], lengths[order]
         self.conv, self.band, self.prefix = conv[order], band[order], prefix[order]
         self.last = table["last"].to_numpy(zero_copy_only=False)[order]
-        self.order, self.width = order, width
+        self.order, self.width, self.band_width = order, width, band_width
         self.keys = self.prefix[:, None] ^ np.bitwise_xor.accumulate(mixed[order], axis=1)
         changed = np.ones(self.matrix.shape, bool)
         changed[1:] = self.matrix[1:] != self.matrix[:-1]
@@ -134,13 +134,13 @@ class Shard:
         ending = (self.last & (self.lengths == c + 1)).astype(np.int64)
         size = np.diff(starts, append=len(self.conv))
         return {
-            "starts": starts, "run": run, "at": at, "key": self.keys[at, c], "depth": self.band[at].astype(np.int64) * WIDTH + c, "n": size[run],
+            "starts": starts, "run": run, "at": at, "key": self.keys[at, c], "depth": self.band[at].astype(np.int64) * self.band_width + c, "n": size[run],
             "ends": np.add.reduceat(ending, starts)[run], "conv_id": np.minimum.reduceat(self.conv, starts)[run], "size": self.sizes[at, c],
             "parent_key": self.keys[at, c - 1] if c else self.prefix[at], "edge": (at == 0) | (at + size[run] == len(self.conv))}
 
 
-def _edges(table: pa.Table) -> pa.Table:
-    shard, parts = Shard(table), []
+def _edges(table: pa.Table, width: int) -> pa.Table:
+    shard, parts = Shard(table, width), []
     for x in shard.columns:
         e = x["edge"]
         parts.append([np.full(int(e.sum()), table["shard"][0].as_py(), np.int64), x["depth"][e], x["key"][e], x["n"][e], x["ends"][e], x["conv_id"][e]])
@@ -167,11 +167,11 @@ def _result(_kind: int, _rows: int, **columns) -> pa.Table:
     return pa.table([pa.array(np.full(_rows, _kind, np.int32)), *(column(c) for c in _OUT_NAMES[1:])], names=_OUT_NAMES)
 
 
-def _nodes(table: pa.Table, known: pa.Table, totals: bool) -> pa.Table:
+def _nodes(table: pa.Table, known: pa.Table, width: int, totals: bool) -> pa.Table:
     """All nodes of a shard, given the sums of those at its edges; or, with ``totals``, only what later bands add."""
     if not table.num_rows:
         return _result(NODE, 0)
-    shard, number = Shard(table), table["shard"][0].as_py()
+    shard, number = Shard(table, width), table["shard"][0].as_py()
     of = {(d, k): i for i, (d, k) in enumerate(zip(known["depth"].to_pylist(), known["key"].to_pylist()))}
     sums = {c: known[c].to_numpy() for c in ("n", "ends", "conv_id", "rep")}
     shape = (len(shard.conv), shard.width)
@@ -209,8 +209,10 @@ def _nodes(table: pa.Table, known: pa.Table, totals: bool) -> pa.Table:
             parent_conv, no_parent = np.zeros(n, np.int64), np.ones(n, bool)
         goes_on = add((~shard.last & (shard.lengths == c + 1)).astype(np.int64)) > 0
         open_ = x["edge"] | goes_on
+        ending = np.flatnonzero(shard.last & (shard.lengths == c + 1))  # of equal rows, by id
+        low = np.searchsorted(ending, at)
         ends = add((shard.last & (shard.lengths == c + 1)).astype(np.int64))
-        members = [shard.conv[a : a + e] for a, e in zip(at.tolist(), ends.tolist())]  # rows that end here come first, by id
+        members = [shard.conv[ending[a : a + e]] for a, e in zip(low.tolist(), ends.tolist())]
         columns = dict(shard=np.full(n, number, np.int64), depth=x["depth"], key=x["key"], parent_key=x["parent_key"], conv_id=x["conv_id"], n=x["n"],
                        children=children, leaves=add(leaves[:, c]), saved=add(saved[:, c]))
         for kind, which in ((NODE, ~open_), (OPEN, open_)):
@@ -246,24 +248,25 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def prefix_trie(convs: DataFrame, turns: DataFrame) -> DataFrame:
+def prefix_trie(convs: DataFrame, turns: DataFrame, width: int = WIDTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The nodes of the trie of all conversations, one row each.
 
     ``convs`` has every conv_id once, ``turns`` (conv_id, pos, turn_id, size) their turns, pos counting from 1 without
     holes. Rows: ``conv_id`` smallest member, ``depth``, ``parent_conv_id`` the parent's smallest member (root: null),
     ``n_convs`` members, ``n_children``, ``n_leaves`` childless nodes of the subtree, ``saved_tokens`` summed over it
     (n_convs - 1) times the size of the last turn, ``ends_sha256`` of the members that end here, ascending, comma-joined.
-    A conversation without turns ends in the root. No conversations give no rows. Conversations of any length are
+    A conversation without turns ends in the root. No conversations give no rows. Other columns are left out.
+    ``width`` turns make a band, about ``shard_rows`` bands a shard. Conversations of any length are
     spread over bands; a third of all rows may share a prefix, as shards are cut by rows, not by nodes.
     """
-    rows = _rows(convs, turns)
+    rows = _rows(convs, turns, width, shard_rows)
     shards = rows.select("shard").distinct().count()
-    edges = materialize(rows.groupBy("shard").applyInArrow(_edges, ", ".join(f"{c} bigint" for c in _LONG[:6])), "edges")
+    edges = materialize(rows.groupBy("shard").applyInArrow(lambda table: _edges(table, width), ", ".join(f"{c} bigint" for c in _LONG[:6])), "edges")
     summed = edges.groupBy("depth", "key").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"), F.min("conv_id").alias("conv_id"), F.min("shard").alias("rep"))
     known = materialize(edges.select(F.col("shard").cast("int").alias("shard"), "depth", "key").join(summed, ["depth", "key"]).select("shard", "depth", "key", "n", "ends", "conv_id", "rep"), "known")
 
     def run(rows: DataFrame, totals: bool) -> DataFrame:
-        return rows.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(lambda a, b: _nodes(a, b, totals), _OUT)
+        return rows.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(lambda a, b: _nodes(a, b, width, totals), _OUT)
 
     zero = F.lit(0).cast("bigint")
     full = rows.withColumns({"more_leaves": zero, "more_saved": zero})
@@ -284,9 +287,9 @@ def prefix_trie(convs: DataFrame, turns: DataFrame) -> DataFrame:
     columns = ["depth", "key", "parent_key", "conv_id", "parent_conv_id", "n", "children", "leaves", "saved", "sha"]
     nodes = out.where(F.col("kind") == NODE).select(*columns).unionAll(joined.select(*columns))
     # parents of a band's first turn stand in other shards
-    parents = joined.where((F.col("depth") + 1) % WIDTH == 0).select((F.col("depth") + 1).alias("_depth"), F.col("key").alias("_key"), F.col("conv_id").alias("_parent"))
-    first = nodes.where((F.col("depth") > 0) & (F.col("depth") % WIDTH == 0))
+    parents = joined.where((F.col("depth") + 1) % width == 0).select((F.col("depth") + 1).alias("_depth"), F.col("key").alias("_key"), F.col("conv_id").alias("_parent"))
+    first = nodes.where((F.col("depth") > 0) & (F.col("depth") % width == 0))
     first = first.join(parents, (F.col("depth") == F.col("_depth")) & (F.col("parent_key") == F.col("_key"))).withColumn("parent_conv_id", F.col("_parent")).select(*columns)
-    nodes = nodes.where((F.col("depth") == 0) | (F.col("depth") % WIDTH != 0)).unionAll(first)
+    nodes = nodes.where((F.col("depth") == 0) | (F.col("depth") % width != 0)).unionAll(first)
     return nodes.select("conv_id", "depth", "parent_conv_id", F.col("n").alias("n_convs"), F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
                         F.col("saved").alias("saved_tokens"), F.col("sha").alias("ends_sha256"))
