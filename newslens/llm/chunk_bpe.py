@@ -2,9 +2,9 @@
 
 A rolling hash over the bytes cuts every text where its content says so, so that passages which
 documents share are cut alike. Chunks are counted by digest over all documents; a filter of fixed
-size tells the workers which ones may repeat. A chunk that does not repeat is encoded where its
-text is. Of one that may, the text is sent to its digest's place, encoded there once, and its ids
-come back to the documents that refer to it.
+size tells the workers which ones may repeat. Of one that may, the text is sent to its digest's
+place, encoded there once, and its ids meet the documents that hold it. Documents without such a
+chunk are encoded where they are.
 
 Cuts fall anywhere, also inside words. At every cut the words around it are encoded anew: the new
 ids must begin and end with those of the words that guard the window on either side. If they do
@@ -14,15 +14,17 @@ not, the window takes in twice as many words; if it outgrows its chunks, they be
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from newslens.llm.text import _powers_up_to, buffers, fresh, mix
 from newslens.session import materialize
@@ -42,6 +44,9 @@ _random = np.random.default_rng(20240613)
 _GEAR = _random.integers(0, 1 << 32, 256, dtype=np.uint32)
 _CODES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _CODES[_GAP] = 0
+#: The letter that stands for a byte in byte-level vocabularies: its own if it can be seen, else the next one from 256.
+_seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_LETTERS = [chr(b) if b in _seen else chr(256 + sum(x not in _seen for x in range(b))) for b in range(256)]
 _zip = pa.Codec("zstd", compression_level=1)
 
 
@@ -95,6 +100,37 @@ def word_gaps(data: np.ndarray) -> np.ndarray:
     return gap
 
 
+def _flat(lists: list[list[int]], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter((i for x in lists for i in x), kind, int(sizes.sum())), sizes
+
+
+class Lists:
+    """Lists of ids by number, one after another."""
+
+    def __init__(self, kind: np.dtype):
+        self.ids, self.sizes, self.starts = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+
+    def take(self, numbers: np.ndarray) -> np.ndarray:
+        return self.ids[ragged_index(self.starts[numbers], self.sizes[numbers])]
+
+
+def _pattern(vocabulary: dict):
+    """The pattern of a vocabulary whose texts are normalised to NFC, single blanks and lower case, and split by a pattern; else None."""
+    steps = [(n["type"], n.get("content")) for n in (vocabulary["normalizer"] or {}).get("normalizers", [])]
+    parts = (vocabulary["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or [p["type"] for p in parts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = parts
+    if split["behavior"] != "Removed" or not split["invert"] or "Regex" not in split["pattern"] or level["add_prefix_space"] or level["use_regex"]:
+        return None
+    return regex.compile(f"{split['pattern']['Regex']}|\\n")
+
+
 class Words:
     """The tokenizer, asked once for each distinct word.
 
@@ -122,26 +158,41 @@ class Words:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.plain = self.tokenizer.decoder is None
+        self.marks = [t.content.encode() for t in specials.values()]
+        self.find = _pattern(json.loads(self.tokenizer.to_str()))
         self._forget()
 
     def _forget(self) -> None:
+        #: Numbers of words by hash, and of the pieces they consist of; a line end is a piece without ids.
         self.known: dict[int, int] = {}
-        self.ids, self.at, self.size = [], [], 0
+        self.pieces: dict[str, int] = {"\n": 0}
+        self.of_words, self.of_pieces = Lists(self.kind), Lists(self.kind)
+        self.of_pieces.add(np.zeros(0, self.kind), np.zeros(1, np.int64))
 
     def encode_one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         """Remember the ids of new words."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self._forget()
-        self.known.update(zip(hashes.tolist(), range(len(self.at), len(self.at) + len(words))))
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        sizes = np.array([len(x) for x in lists], np.int64)
-        self.at += (self.size + np.cumsum(sizes) - sizes).tolist()
-        self.ids.append(np.fromiter((i for x in lists for i in x), self.kind, int(sizes.sum())))
-        self.size += int(sizes.sum())
-        self.lengths = np.append(self.lengths, sizes) if len(self.at) > len(sizes) else sizes
+        first = len(self.known)
+        self.known.update(zip(hashes.tolist(), range(first, first + len(words))))
+        if self.find and not any(m in b" ".join(words) for m in self.marks):
+            self.of_words.add(*self._split_ids(words))
+        else:
+            self.of_words.add(*_flat([e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)], self.kind))
+
+    def _split_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The vocabulary's steps one by one, so that each distinct piece is merged once; a normaliser does no more to ASCII than lower its case."""
+        normal, merge = self.tokenizer.normalizer.normalize_str, self.tokenizer.model.tokenize
+        texts = [w.decode().lower() if w.isascii() else normal(w.decode()) for w in words]
+        pieces = self.find.findall("\n".join([*texts, ""]))
+        new = list({*pieces} - self.pieces.keys())
+        self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
+        letters = (p if p.isascii() and p.isalnum() else "".join(_LETTERS[b] for b in p.encode()) for p in new)
+        self.of_pieces.add(*_flat([[t.id for t in merge(x)] for x in letters], self.kind))
+        number = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        ends = number == 0
+        return self.of_pieces.take(number), np.bincount(np.cumsum(ends) - ends, self.of_pieces.sizes[number], len(words)).astype(np.int64)
 
     def encode(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offset of each fragment's ids) of the byte ranges of ``data``, which may overlap."""
@@ -183,14 +234,9 @@ class Words:
                 new = list(range(len(listed)))
             raw = text.tobytes()
             self._learn(distinct[new], [raw[at[one[i]] : at[one[i]] + length[one[i]]] for i in new])
-            if len(self.ids) > 1:
-                self.ids = [np.concatenate(self.ids)]
-            self.places = np.array(self.at, np.int64)
         number = np.array([self.known[h] for h in listed])[word]
-        own = self.lengths[number]
-        ids = self.ids[0][ragged_index(self.places[number], own)]
         of = np.searchsorted(after, at, "right")
-        return ids, np.bincount(of, own, len(starts)).astype(np.int64)
+        return self.of_words.take(number), np.bincount(of, self.of_words.sizes[number], len(starts)).astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> str:
         if not self.plain:
@@ -247,53 +293,43 @@ def chunk_keys(data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
-def bit_of(keys: list[bytes]) -> np.ndarray:
-    """A chunk's bit in the filter."""
-    return (np.frombuffer(b"".join(keys), "<u8")[::2] % np.uint64(FILTER_BITS)).astype(np.int64)
-
+def encode_texts(data: np.ndarray, offsets: np.ndarray, words, given: dict[bytes, np.ndarray]) -> list[np.ndarray]:
+    """The ids of each text: its chunks' ids, from ``given`` or encoded here, joined by those of the windows at the cuts.
 
-def encode_texts(data: np.ndarray, offsets: np.ndarray, words, repeats) -> Iterator[tuple[list, list, list]]:
-    """Of each text its parts' ids, and the chunks between them that ``repeats`` tells to be encoded elsewhere:
-    (parts, [(key, ids at its head, ids at its tail)], [byte range])."""
+    Where a chunk's ids do not agree with a window's, the cut goes, and the chunks beside it are encoded as one.
+    """
     cuts, joins = settle(data, offsets, cut_places(data, offsets), words)
     while True:
         bounds = np.union1d(offsets, cuts)
-        keys = chunk_keys(data, bounds)
-        away = repeats(keys) if len(keys) else np.zeros(0, bool)
-        own = np.flatnonzero(~away)
+        keys = chunk_keys(data, bounds) if given else [b""] * (len(bounds) - 1)
+        own = np.array([k for k, key in enumerate(keys) if key not in given], np.int64)
         ids, at = words.encode(data, bounds[own], bounds[own + 1] - bounds[own])
-        encoded = dict(zip(own.tolist(), zip(at[:-1].tolist(), at[1:].tolist())))
-        join = dict(zip(cuts.tolist(), joins))
-        wrong = set()
-        for k in encoded:
-            low, high = encoded[k]
-            here = ids[low:high]
-            head, tail = join.get(int(bounds[k])), join.get(int(bounds[k + 1]))
-            if head and not np.array_equal(here[: len(head[1])], head[1]):
-                wrong.add(int(bounds[k]))
-            if tail and not np.array_equal(here[len(here) - len(tail[0]) :], tail[0]):
-                wrong.add(int(bounds[k + 1]))
+        chunks = [given.get(key) for key in keys]
+        for k, low, high in zip(own.tolist(), at[:-1].tolist(), at[1:].tolist()):
+            chunks[k] = ids[low:high]
+        none = ids[:0]
+        join, wrong = dict(zip(cuts.tolist(), joins)), set()
+        ends = bounds.tolist()
+        edges = [(join[low][1] if low in join else none, join[high][0] if high in join else none) for low, high in zip(ends, ends[1:])]
+        for k, (head, tail) in enumerate(edges):
+            if not np.array_equal(chunks[k][: len(head)], head):
+                wrong.add(ends[k])
+            if not np.array_equal(chunks[k][len(chunks[k]) - len(tail) :], tail):
+                wrong.add(ends[k + 1])
         if not wrong:
             break
         stay = [i for i, c in enumerate(cuts.tolist()) if c not in wrong]
         cuts, joins = cuts[stay], [joins[i] for i in stay]
-    none = ids[:0]
+    out = []
     for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        parts, refs, ranges, part = [], [], [], []
+        parts = [none]
         for k in range(int(np.searchsorted(bounds, low)), int(np.searchsorted(bounds, high))):
-            head, tail = join.get(int(bounds[k])), join.get(int(bounds[k + 1]))
-            before, after = head[1] if head else none, tail[0] if tail else none
-            if away[k]:
-                parts.append(np.concatenate([none, *part]))
-                refs.append((keys[k], before, after))
-                ranges.append((int(bounds[k]), int(bounds[k + 1])))
-                part = []
-            else:
-                a, b = encoded[k]
-                part.append(ids[a + len(before) : b - len(after)])
-            if tail:
-                part.append(tail[2])
-        yield [*parts, np.concatenate([none, *part])], refs, ranges
+            head, tail = edges[k]
+            parts.append(chunks[k][len(head) : len(chunks[k]) - len(tail)])
+            if ends[k + 1] in join:
+                parts.append(join[ends[k + 1]][2])
+        out.append(np.concatenate(parts))
+    return out
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -335,82 +371,107 @@ def _repeating(source: DataFrame) -> np.ndarray:
     return filled.view(np.uint8)
 
 
+def _maybe_repeated(keys: list[bytes], bits: np.ndarray) -> np.ndarray:
+    place = (np.frombuffer(b"".join(keys), "<u8")[::2] % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _asked(piece: pa.RecordBatch, bits: np.ndarray) -> list[list[tuple[bytes, int, int]]]:
+    """(key, start, end) of the chunks of each text that may be repeated."""
+    data, offsets = buffers(piece.column(piece.num_columns - 1))
+    bounds = np.union1d(offsets, cut_places(data, offsets))
+    keys = chunk_keys(data, bounds)
+    found = np.flatnonzero(_maybe_repeated(keys, bits)).tolist() if keys else []
+    out: list[list] = [[] for _ in range(piece.num_rows)]
+    text = np.searchsorted(offsets, bounds[:-1], "right") - 1
+    for k in found:
+        out[text[k]].append((keys[k], int(bounds[k]), int(bounds[k + 1])))
+    return out
+
+
 def _over(docs: DataFrame, text_col: str, path: str, fields: list[StructField], make) -> DataFrame:
     """``make`` gets the ids of each row and the words, and returns the values of ``fields``."""
     spark, names = docs.sparkSession, [f.name for f in fields]
     kept = [c for c in docs.columns if c not in names]
-    text, uid = fresh("_text", kept), fresh("_uid", kept)
-    source = docs.select(*kept, F.monotonically_increasing_id().alias(uid), F.col(text_col).cast("binary").alias(text))
+    text, code, key, fetched = (fresh(x, kept) for x in ("_text", "_code", "_key", "_fetched"))
+    source = docs.select(*kept, F.col(text_col).cast("binary").alias(text))
     kept_fields = docs.select(*kept).schema.fields
+    out = StructType([*kept_fields, *fields])
     sent = spark.sparkContext.broadcast(_repeating(source.select(text)))
-    parts, refs, texts = (fresh(x, [*kept, uid, text]) for x in ("_parts", "_refs", "_texts"))
-
-    def encode(batches):
-        words, bits = load_words(path), sent.value
-
-        def repeats(keys):
-            places = bit_of(keys)
-            return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
 
+    def ask(batches):
+        """Of each distinct text the chunks that may be repeated, and each such chunk's text once."""
         for batch in batches:
-            seen = set()
+            seen, codes, rows = set(), set(), []
             for piece in _pieces(batch):
-                data, offsets = buffers(piece.column(piece.num_columns - 1))
-                rows = []
-                for ids, found, ranges in encode_texts(data, offsets, words, repeats):
-                    new = {key: r for (key, _, _), r in zip(found, ranges) if key not in seen}
-                    seen.update(new)
-                    rows.append((
-                        [_packed(x.tobytes()) for x in ids], [{"key": k, "head": a.tobytes(), "tail": b.tobytes()} for k, a, b in found],
-                        [{"key": k, "text": _packed(data[a:b].tobytes())} for k, (a, b) in new.items()]))
-                columns = [pa.array(x, t) for x, t in zip(zip(*rows), (
-                    pa.list_(pa.binary()), pa.list_(pa.struct({"key": pa.binary(), "head": pa.binary(), "tail": pa.binary()})),
-                    pa.list_(pa.struct({"key": pa.binary(), "text": pa.binary()}))))]
-                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *columns], names=[*kept, uid, parts, refs, texts])
-
-    extra = f"{parts} array<binary>, {refs} array<struct<key: binary, head: binary, tail: binary>>, {texts} array<struct<key: binary, text: binary>>"
-    schema = StructType([*kept_fields, StructField(uid, LongType()), *StructType.fromDDL(extra).fields])
-    stored = materialize(source.mapInArrow(encode, schema), "chunked")
+                data, offsets = buffers(piece.column(0))
+                for i, found in enumerate(_asked(piece, sent.value)):
+                    own = data[offsets[i] : offsets[i + 1]].tobytes() if found else b""
+                    at = xxhash.xxh3_128_digest(own)
+                    if found and at not in codes:
+                        codes.add(at)
+                        new = {k: (a, b) for k, a, b in found if k not in seen}
+                        seen.update(new)
+                        rows.append((at, list({k for k, _, _ in found}), [{"key": k, "text": _packed(data[a:b].tobytes())} for k, (a, b) in new.items()]))
+            kinds = pa.binary(), pa.list_(pa.binary()), pa.list_(pa.struct({"key": pa.binary(), "text": pa.binary()}))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["code", "keys", "texts"])
+
+    asked = materialize(source.select(text).mapInArrow(ask, "code binary, keys array<binary>, texts array<struct<key: binary, text: binary>>"), "asked")
 
     def once(batches):
         """Encodes a key's first row; equal keys stand together."""
         words, last = load_words(path), None
         for batch in batches:
             keys, rows = batch.column(0).to_pylist(), []
-            for i, key in enumerate(keys):
-                if key != last:
+            for i, k in enumerate(keys):
+                if k != last:
                     rows.append(i)
-                    last = key
+                    last = k
             data, offsets = buffers(pa.array([_unpacked(batch.column(1)[i].as_py()) for i in rows], pa.binary()))
             ids, at = words.encode(data, offsets[:-1], np.diff(offsets))
             yield pa.RecordBatch.from_arrays([
                 pa.array([keys[i] for i in rows], pa.binary()), pa.array([_packed(ids[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])], pa.binary())], names=["key", "ids"])
 
-    sent_texts = stored.select(F.explode(texts).alias("x")).select("x.key", "x.text")
-    encoded = materialize(sent_texts.repartition("key").sortWithinPartitions("key").mapInArrow(once, "key binary, ids binary"), "chunks")
+    texts = asked.select(F.explode("texts").alias("x")).select("x.key", "x.text")
+    encoded = materialize(texts.repartition("key").sortWithinPartitions("key").mapInArrow(once, "key binary, ids binary"), "chunks")
+    wanted = asked.select("code", "keys").dropDuplicates(["code"]).select("code", F.explode("keys").alias("key"))
+    chunks = wanted.join(encoded, "key").groupBy(F.col("code").alias(key)).agg(F.collect_list(F.struct("key", "ids")).alias(fetched))
 
-    def finish(batches):
+    def alone(batches):
+        """Texts without a chunk that may be repeated are encoded where they are."""
         words = load_words(path)
         for batch in batches:
-            rows = []
-            for own, between, fetched in zip(*(batch.column(i).to_pylist() for i in range(len(kept), len(kept) + 3))):
-                found = [np.frombuffer(_unpacked(own[0]), words.kind)]
-                of = {x["key"]: x["ids"] for x in fetched or ()}
-                for ref, part in zip(between, own[1:]):
-                    ids, head, tail = (np.frombuffer(x, words.kind) for x in (_unpacked(of[ref["key"]]), ref["head"], ref["tail"]))
-                    if not np.array_equal(ids[: len(head)], head) or not np.array_equal(ids[len(ids) - len(tail) :], tail):
-                        raise ValueError("a chunk's ids do not agree with those of the windows at its ends")
-                    found += [ids[len(head) : len(ids) - len(tail)], np.frombuffer(_unpacked(part), words.kind)]
-                rows.append(np.concatenate(found))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *make(rows, words)], names=[*kept, *names])
+            for piece in _pieces(batch):
+                own = pa.array([not x for x in _asked(piece, sent.value)], pa.bool_())
+                piece = piece.filter(own)
+                data, offsets = buffers(piece.column(len(kept)))
+                if piece.num_rows:
+                    yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *make(encode_texts(data, offsets, words, {}), words)], names=out.names)
+
+    def others(batches):
+        for batch in batches:
+            for piece in _pieces(batch):
+                piece = piece.filter(pa.array([bool(x) for x in _asked(piece, sent.value)], pa.bool_()))
+                own = piece.column(len(kept)).to_pylist()
+                yield pa.RecordBatch.from_arrays([
+                    *piece.columns[:-1], pa.array([xxhash.xxh3_128_digest(x) for x in own], pa.binary()), pa.array([_packed(x) for x in own], pa.binary())], names=[*kept, code, text])
 
-    out = StructType([*kept_fields, *fields])
-    single = stored.where(F.size(refs) == 0).select(*kept, parts, refs, F.lit(None).cast("array<struct<key: binary, ids: binary>>").alias("_fetched"))
-    asked = stored.where(F.size(refs) > 0)
-    wanted = asked.select(F.col(uid).alias("_u"), F.explode(F.array_distinct(F.transform(refs, lambda r: r["key"]))).alias("key"))
-    fetched = wanted.join(encoded, "key").groupBy("_u").agg(F.collect_list(F.struct("key", "ids")).alias("_fetched"))
-    met = asked.join(fetched, asked[uid] == fetched["_u"]).select(*kept, parts, refs, "_fetched")
-    return single.mapInArrow(finish, out).unionAll(met.mapInArrow(finish, out))
+    def finish(batches):
+        words = load_words(path)
+        for batch in batches:
+            low = 0
+            sizes = np.cumsum([int.from_bytes(x.as_py()[:8], "little") for x in batch.column(len(kept))])
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + PIECE, "right")))
+                piece = batch.slice(low, high - low)
+                low = high
+                data, offsets = buffers(pa.array([_unpacked(x.as_py()) for x in piece.column(len(kept))], pa.binary()))
+                given = {x["key"].as_py(): np.frombuffer(_unpacked(x["ids"].as_py()), words.kind) for row in piece.column(len(kept) + 1) if row.is_valid for x in row}
+                yield pa.RecordBatch.from_arrays([*piece.columns[: len(kept)], *make(encode_texts(data, offsets, words, given), words)], names=out.names)
+
+    split = StructType([*kept_fields, StructField(code, BinaryType()), StructField(text, BinaryType())])
+    met = source.mapInArrow(others, split).join(chunks, F.col(code) == F.col(key), "left").select(*kept, text, fetched)
+    return source.mapInArrow(alone, out).unionAll(met.mapInArrow(finish, out))
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
