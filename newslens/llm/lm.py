@@ -32,7 +32,7 @@ EXACT, STEP = 4, 1.25
 LAMBDA = 0.5
 END = np.uint64(0xE4D0F7E4D0F7E4D1)
 #: Bytes of text to a piece at most (one document at least).
-PIECE = 1 << 25
+PIECE = 1 << 24
 WORDS, PAIRS = 0, 1
 _zip = pa.Codec("zstd", compression_level=1)
 
