@@ -18,13 +18,22 @@ from pyspark.sql import DataFrame, functions as F
 from newslens.session import materialize
 
 
+#: Columns of the block that one pass multiplies: its broadcast and sums are features x PANEL.
+PANEL = 128
+#: Cells of the arrays that a worker holds at once while it multiplies.
+CELLS = 1 << 22
+#: Features whose partial sums travel as one row.
+FEATURE_BLOCK = 256
+
+
 class SvdProjection:
     """Uncentred truncated SVD by randomised subspace iteration (Halko et al., 2011).
 
-    Each iteration is one pass that multiplies the rows' Gram matrix with a thin
-    block of vectors, so the number of passes is fixed, whatever the number of
-    components. Block and ``components`` are features x k: bounded by the capped
-    vocabulary and the settings, not by the data. Column signs are arbitrary.
+    Each iteration multiplies the rows' Gram matrix with a thin block of vectors, in panels
+    of columns, so the number of passes is fixed by the settings, not by the data. Tasks
+    add up partial products by feature; those of a feature meet on an executor. What reaches the
+    driver in one piece is features x PANEL. ``components`` are features x k: bounded by the capped
+    vocabulary and the settings. Column signs are arbitrary.
     """
 
     def __init__(self, components: np.ndarray, singular_values: np.ndarray):
@@ -33,7 +42,7 @@ class SvdProjection:
 
     @classmethod
     def fit(
-        cls, df: DataFrame, vector_col: str, k: int, iterations: int = 5, oversample: int = 10,
+        cls, df: DataFrame, vector_col: str, k: int, iterations: int = 4, oversample: int = 10,
         seed: int = 42, stored: bool = False,
     ) -> SvdProjection:
         """Fit on the vectors of ``df``; they are written first unless already ``stored``."""
@@ -57,50 +66,93 @@ class SvdProjection:
 
         @F.pandas_udf("array<double>")
         def project(parts: pd.DataFrame) -> pd.Series:
-            components = shared.value
-            rows = []
-            for kind, indices, values in zip(parts["type"], parts["indices"], parts["values"]):
-                used = components if kind == 1 else components[np.asarray(indices, dtype=int)]
-                rows.append(np.asarray(values, dtype=float) @ used)
-            return pd.Series(rows)
+            sizes = parts["values"].map(len).to_numpy()
+            values = np.concatenate([np.zeros(0), *parts["values"]])
+            dense = np.arange(len(shared.value))
+            at = np.concatenate([np.zeros(0, np.int64), *(dense if kind == 1 else i for kind, i in zip(parts["type"], parts["indices"]))]).astype(np.int64)
+            return pd.Series(list(_times(at, values, sizes, shared.value)))
 
         return df.withColumn(name, array_to_vector(project(F.unwrap_udt(vector_col))))
 
 
+def _pieces(sizes: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, end, first cell, end) of stretches of rows with at most CELLS products, or one row."""
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(sizes):
+        done = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + CELLS // max(width, 1), "right")))
+        yield low, high, done, int(ends[high - 1])
+        low = high
+
+
+def _row_sums(weighted: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over consecutive rows of ``weighted``; a size of 0 gives zeros."""
+    out = np.zeros((len(sizes), weighted.shape[1]))
+    full = np.flatnonzero(sizes)
+    if len(full):
+        out[full] = np.add.reduceat(weighted, (np.cumsum(sizes) - sizes)[full])
+    return out
+
+
+def _times(at: np.ndarray, values: np.ndarray, sizes: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sparse rows, given as feature numbers, cells and row sizes, times ``right``."""
+    parts = [_row_sums(values[a:b, None] * right[at[a:b]], sizes[low:high]) for low, high, a, b in _pieces(sizes, right.shape[1])]
+    return np.concatenate([np.zeros((0, right.shape[1])), *parts])
+
+
 def _gram_product(rows: DataFrame, block: np.ndarray) -> np.ndarray:
-    """(A^T A) block for the rows of A: per task one partial product, summed by feature."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(block)
+    """(A^T A) block for the rows of A, panel by panel."""
+    return np.concatenate([_panel_product(rows, np.ascontiguousarray(block[:, low:low + PANEL])) for low in range(0, block.shape[1], PANEL)], axis=1)
+
+
+def _panel_product(rows: DataFrame, panel: np.ndarray) -> np.ndarray:
+    n, width = panel.shape
+    shared = rows.sparkSession.sparkContext.broadcast(panel)
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right = shared.value
-        total = np.zeros_like(right)
+        right, total = shared.value, np.zeros((n, width))
         for batch in batches:
-            dense = batch.column("indices").is_null().to_numpy(zero_copy_only=False)
-            columns, starts = _list_parts(batch.column("indices"))
-            cells, bounds = _list_parts(batch.column("values"))
-            for i in range(batch.num_rows):
-                values = cells[bounds[i]:bounds[i + 1]]
-                at = slice(None) if dense[i] else columns[starts[i]:starts[i + 1]]
-                total[at] += np.outer(values, values @ right[at])
-        used = np.flatnonzero(total.any(axis=1)).astype("int32")
-        offsets = np.arange(0, (len(used) + 1) * total.shape[1], total.shape[1], dtype="int32")
-        parts = pa.ListArray.from_arrays(offsets, total[used].ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(used), parts], names=["idx", "part"])
-
-    # one partial product per task: no more tasks than the cluster runs at once
-    packed = rows.coalesce(spark.sparkContext.defaultParallelism)
-    parts = packed.mapInArrow(partial, "idx int, part array<double>")
-    sums = parts.groupBy("idx").agg(Summarizer.sum(array_to_vector("part")).alias("total"))
-    summed = sums.select("idx", vector_to_array("total").alias("total")).toArrow()
-    product = np.zeros_like(block)
-    if summed.num_rows:
-        totals = summed.column("total").combine_chunks().flatten().to_numpy()
-        product[summed.column("idx").to_numpy()] = totals.reshape(summed.num_rows, -1)
+            values, sizes, at = _sparse(batch, n)
+            for low, high, a, b in _pieces(sizes, width):
+                own, cells, of = at[a:b], values[a:b, None], sizes[low:high]
+                out = np.repeat(_row_sums(cells * right[own], of), of, axis=0) * cells
+                order = np.argsort(own, kind="stable")
+                found, start = np.unique(own[order], return_index=True)
+                if len(found):
+                    total[found] += np.add.reduceat(out[order], start)
+        for low in range(0, n, FEATURE_BLOCK):
+            part = total[low:low + FEATURE_BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([low], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["first", "part"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py()) for x in table["part"])
+        return pa.table({"first": table["first"].slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+
+    summed = rows.mapInArrow(partial, "first int, part binary").groupBy("first").applyInArrow(add, "first int, part binary").toArrow()
+    product = np.zeros_like(panel)
+    for first, part in zip(summed["first"].to_pylist(), summed["part"]):
+        product[first:first + FEATURE_BLOCK] = np.frombuffer(part.as_buffer()).reshape(-1, width)
     shared.unpersist()
     return product
 
 
+def _sparse(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cells, row sizes, feature numbers) of sparse and dense rows."""
+    cells, bounds = _list_parts(batch.column("values"))
+    sizes = np.diff(bounds)
+    dense = batch.column("indices").is_null().to_numpy(zero_copy_only=False)
+    columns, _ = _list_parts(batch.column("indices"))
+    if not dense.any():
+        return cells[bounds[0]:bounds[-1]], sizes, columns[batch.column("indices").offsets[0].as_py():][:bounds[-1] - bounds[0]]
+    at = np.empty(int(sizes.sum()), np.int64)
+    from_dense = np.repeat(dense, sizes)
+    at[from_dense] = np.tile(np.arange(n), int(dense.sum()))
+    at[~from_dense] = columns[:int((~from_dense).sum())]
+    return cells[bounds[0]:bounds[-1]], sizes, at
+
+
 def _list_parts(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """The flat values of a list column and the offsets of its rows."""
     return column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
@@ -191,6 +243,36 @@ def random_fourier_features(
     return df.withColumn(name, array_to_vector(lift(vector_to_array(vector_col))))
 
 
+def tensor_sketch(
+    df: DataFrame, vector_col: str, size: int, gamma: float, coef0: float, degree: int, dims: int, seed: int = 42, name: str = "sketch"
+) -> DataFrame:
+    """Features whose inner products approximate (gamma x'y + coef0)^degree (Pham & Pagh, 2013).
+
+    Every column takes part, at any number of them: each factor of the power is a count sketch
+    of the row, and the sketch of the product is their circular convolution. The error falls with
+    the root of ``size``.
+    """
+    generator = np.random.default_rng(seed)
+    buckets = generator.integers(0, size, (degree, dims + 1))
+    signs = generator.choice([-1.0, 1.0], (degree, dims + 1))
+    shared = df.sparkSession.sparkContext.broadcast((buckets, signs))
+
+    @F.pandas_udf("array<double>")
+    def lift(rows: pd.Series) -> pd.Series:
+        x = np.stack(rows.to_list()) * math.sqrt(gamma)
+        x = np.concatenate([x, np.full((len(x), 1), math.sqrt(coef0))], axis=1)
+        product = 1.0
+        for bucket, sign in zip(*shared.value):
+            order = np.argsort(bucket, kind="stable")
+            found, start = np.unique(bucket[order], return_index=True)
+            sketch = np.zeros((len(x), size))
+            sketch[:, found] = np.add.reduceat((x * sign)[:, order], start, axis=1)
+            product = product * np.fft.rfft(sketch)
+        return pd.Series(list(np.fft.irfft(product, size)))
+
+    return df.withColumn(name, array_to_vector(lift(vector_to_array(vector_col))))
+
+
 def scale_gamma(df: DataFrame, vector_col: str) -> float:
     """The 'scale' kernel width: 1 / (features x variance over all cells)."""
     arrays = df.select(vector_to_array(vector_col).alias("a"))

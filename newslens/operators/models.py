@@ -11,14 +11,12 @@ from pyspark.ml import Model
 from pyspark.ml.classification import (
     LinearSVC, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
 )
-from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from newslens.operators.features import random_fourier_features, scale_gamma
+from newslens.operators.features import random_fourier_features, scale_gamma, tensor_sketch
 
-MAX_EXPANDED = 100_000  # columns of the polynomial kernel
 MAX_DEPTH = 30  # Spark's limit stands in for unlimited depth
 
 
@@ -106,6 +104,75 @@ class OneVsRestForest:
         return with_decision(scored, scores, self.classes).drop(*names)
 
 
+def poisson_draws(key: Column, tree: int, rate: float, seed: int) -> Column:
+    """How often a row is drawn into a tree's bootstrap: Poisson(``rate``) by the hash of (row, tree, seed).
+
+    The draw depends on nothing else, so it is the same however the rows are dealt out, or read again.
+    """
+    bits = F.pmod(F.xxhash64(key, F.lit(tree), F.lit(seed)), F.lit(1 << 52)).cast("double")
+    uniform, draws, term, below = bits / float(1 << 52), F.lit(0), math.exp(-rate), 0.0
+    for n in range(1, 64):
+        below += term
+        draws = draws + (uniform >= below).cast("int")
+        term *= rate / n
+        if 1 - below < 1e-12:
+            break
+    return draws
+
+
+class SubsampleForest:
+    """One-vs-rest trees, each on a bootstrap of its own with class weights taken within the draw.
+
+    With plain balanced weights a tree whose draw holds few rows of a class gives them too little
+    weight. Here tree t sees row r as often as ``poisson_draws`` says, and its two classes weigh the
+    same within that draw. A tree is a forest of one, so columns are sampled at every split.
+    """
+
+    def __init__(self, classes: Sequence[int], models: Sequence[Sequence[RandomForestClassificationModel]]):
+        self.classes = list(classes)
+        self.models = [list(m) for m in models]
+
+    @classmethod
+    def fit(
+        cls, train: DataFrame, features: str, label: str, estimator: RandomForestClassifier, *, key: str, parallelism: int = 8,
+    ) -> SubsampleForest:
+        """``key`` names a column that tells rows apart; equal keys are drawn together."""
+        trees, rate, seed = estimator.getNumTrees(), estimator.getSubsamplingRate(), estimator.getSeed()
+        train = train.select(features, label, key).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # all draws' class sizes in one pass
+            drawn = [F.sum(poisson_draws(F.col(key), t, rate, seed)).alias(f"d{t}") for t in range(trees)]
+            rows = train.groupBy(label).agg(*drawn).collect()
+            classes = sorted(r[label] for r in rows)
+            sizes = {r[label]: [r[f"d{t}"] for t in range(trees)] for r in rows}
+
+            def fit_tree(at: tuple[int, int]) -> RandomForestClassificationModel:
+                c, t = at
+                mine, every = sizes[c][t], sum(sizes[k][t] for k in classes)
+                times = poisson_draws(F.col(key), t, rate, seed)
+                share = F.when(F.col(label) == c, every / (2.0 * max(mine, 1))).otherwise(every / (2.0 * max(every - mine, 1)))
+                rows = train.withColumn("_n", times).where("_n > 0").withColumns({"_y": (F.col(label) == c).cast("double"), "_w": F.col("_n") * share})
+                one = estimator.copy().setFeaturesCol(features).setLabelCol("_y").setWeightCol("_w").setNumTrees(1).setBootstrap(False)
+                return one.setSubsamplingRate(1.0).setSeed(seed + t).fit(rows)
+
+            tasks = [(c, t) for c in classes for t in range(trees)]
+            fitted = _fit_each(train.sparkSession, tasks, fit_tree, parallelism)
+            return cls(classes, [fitted[i * trees:(i + 1) * trees] for i in range(len(classes))])
+        finally:
+            train.unpersist()
+
+    def transform(self, df: DataFrame, features: str) -> DataFrame:
+        """A class's score is the mean of its trees' probabilities."""
+        scored, scores, names = df, [], []
+        for c, trees in zip(self.classes, self.models):
+            own = [f"_p{c}_{t}" for t in range(len(trees))]
+            for name, model in zip(own, trees):
+                scored = model.copy().setFeaturesCol(features).setPredictionCol("").setRawPredictionCol("").setProbabilityCol(name).transform(scored)
+            scores.append(sum((vector_to_array(n)[1] for n in own), F.lit(0.0)) / len(trees))
+            names += own
+        return with_decision(scored, F.array(*scores), self.classes).drop(*names)
+
+
 class NativeForest:
     """A single multi-class forest: one fit instead of one per class."""
 
@@ -132,8 +199,9 @@ class NativeForest:
 class OneVsRestSvm:
     """One linear SVM per class over kernel features, with sigmoid-calibrated confidence.
 
-    ``rbf`` uses random Fourier features, ``poly`` the expanded features
-    (meant for low-dimensional input such as topics or SVD columns).
+    ``rbf`` uses random Fourier features, ``poly`` a tensor sketch, each over all columns. The
+    sigmoid is fitted on margins of rows that the SVM giving them was not trained on: ``folds``
+    more SVMs per class, each trained without one fold. Equal rows share a fold.
     """
 
     def __init__(self, classes, kernel: Mapping, margins: Sequence[Model], sigmoids: Sequence[tuple[float, float]]):
@@ -145,31 +213,40 @@ class OneVsRestSvm:
     @classmethod
     def fit(
         cls, train: DataFrame, features: str, label: str, *, kernel: str = "rbf", cost: float = 1.0,
-        gamma: float | str = "scale", degree: int = 3, size: int = 256, balanced: bool = True,
-        max_iter: int = 50, seed: int = 42, parallelism: int = 4,
+        gamma: float | str = "scale", degree: int = 3, coef0: float = 0.0, size: int = 256, balanced: bool = True,
+        max_iter: int = 50, folds: int = 3, seed: int = 42, parallelism: int = 4,
     ) -> OneVsRestSvm:
-        setup = {"kernel": kernel, "degree": degree, "size": size, "seed": seed}
+        setup = {"kernel": kernel, "degree": degree, "coef0": coef0, "size": size, "seed": seed}
         if kernel != "linear":
-            setup["dims"] = dims = len(train.select(features).first()[0])
-            if kernel == "poly" and math.comb(dims + degree, degree) > MAX_EXPANDED:
-                raise ValueError(f"degree {degree} over {dims} columns expands to more than {MAX_EXPANDED}; project them first")
-        if kernel == "rbf":
+            setup["dims"] = len(train.select(features).first()[0])
             if gamma == "scale":
                 gamma = scale_gamma(train, features)
             setup["gamma"] = 1.0 / setup["dims"] if gamma == "auto" else float(gamma)
-        lifted = _apply_kernel(train, features, setup).select("_k", label).persist(StorageLevel.MEMORY_AND_DISK)
+        lifted = _apply_kernel(train, features, setup).select("_k", label)
+        lifted = lifted.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array("_k")), F.lit(folds))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sizes = {r[label]: r["n"] for r in lifted.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-            classes, n = sorted(sizes), sum(sizes.values())
+            cells = {(r[label], r["_fold"]): r["n"] for r in lifted.groupBy(label, "_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+            classes, n = sorted({c for c, _ in cells}), sum(cells.values())
+            sizes = {c: sum(k for (own, _), k in cells.items() if own == c) for c in classes}
+
+            def trainable(c: int, fold: int) -> bool:
+                """Whether rows of the class and others are left without the fold."""
+                return any(own == c and f != fold for own, f in cells) and any(own != c and f != fold for own, f in cells)
 
             def fit_one(c: int):
                 binary = _balanced(lifted, F.col(label) == c)(n, sizes[c])
                 svm = LinearSVC(
                     featuresCol="_k", labelCol="_y", predictionCol="", regParam=1.0 / (cost * n), maxIter=max_iter
                 )
-                model = (svm.setWeightCol("_w") if balanced else svm).fit(binary)
-                margins = model.transform(binary).select("_y", array_to_vector(
-                    F.array(vector_to_array("rawPrediction")[1])).alias("_m"))
+                svm = svm.setWeightCol("_w") if balanced else svm
+                model, margins = svm.fit(binary), None
+                for fold in range(folds):
+                    apart = F.col("_fold") == fold
+                    # too few rows to leave a fold out: its margins are the model's own
+                    own = svm.fit(binary.where(~apart)) if trainable(c, fold) else model
+                    part = own.transform(binary.where(apart)).select(
+                        "_y", array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("_m"))
+                    margins = part if margins is None else margins.unionAll(part)
                 platt = LogisticRegression(featuresCol="_m", labelCol="_y", maxIter=max_iter).fit(margins)
                 return model, (float(platt.coefficients[0]), float(platt.intercept))
 
@@ -199,7 +276,8 @@ def _apply_kernel(df: DataFrame, features: str, setup: Mapping) -> DataFrame:
             df, features, setup["size"], setup["gamma"], setup["dims"], setup["seed"], "_k"
         )
     if kind == "poly":
-        return PolynomialExpansion(degree=setup["degree"], inputCol=features, outputCol="_k").transform(df)
+        return tensor_sketch(
+            df, features, setup["size"], setup["gamma"], setup["coef0"], setup["degree"], setup["dims"], setup["seed"], "_k")
     raise ValueError("kernel must be 'linear', 'rbf' or 'poly'")
 
 

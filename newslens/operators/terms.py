@@ -376,3 +376,73 @@ def token_ids(
     padded = F.concat("_ids", F.array_repeat(F.lit(pad), missing))
     mask = F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), missing))
     return staged.withColumns({"input_ids": padded, "attention_mask": mask}).drop("_ids")
+
+
+CONTINUES = "##"  # marks a piece that stands inside a word
+MOST_CHARACTERS = 100  # of a word; longer ones are unknown
+
+
+def basic_tokens(text: Column) -> Column:
+    """Lower-case words, and every other character that is not white space by itself."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}\p{M}_]+|[^\s\p{L}\p{N}\p{M}_]"), F.lit(0))
+
+
+def segment(word: Column, pieces: Dictionary, longest: int, unknown: int) -> Column:
+    """The ids of a word's pieces: at each place the longest piece that fits, then on behind it.
+
+    A word with a place where nothing fits is ``unknown`` as a whole. Only places where a piece
+    begins are probed, from ``longest`` characters downwards, so a word costs its pieces times
+    ``longest`` probes of the dictionary, inside the row.
+    """
+    empty = F.array().cast("array<int>")
+    start = F.struct(F.lit(0).alias("at"), empty.alias("ids"))
+    size = F.length(word)
+
+    def step(state: Column, place: Column) -> Column:
+        mark = F.when(place > 0, F.lit(CONTINUES)).otherwise(F.lit(""))
+        lengths = F.sequence(F.least(F.lit(longest), size - place), F.lit(1), F.lit(-1))
+
+        def first(found: Column, n: Column) -> Column:
+            hit = pieces.get(F.concat(mark, F.substring(word, place + 1, n)))
+            return F.coalesce(found, F.when(hit.isNotNull(), F.struct((place + n).alias("at"), hit.alias("id"))))
+
+        best = F.aggregate(lengths, F.lit(None).cast("struct<at:int,id:int>"), first)
+        found = F.transform(F.array(best), lambda b: F.struct(F.coalesce(b["at"], F.lit(-1)).alias("at"), F.concat(state["ids"], F.array(b["id"])).alias("ids")))
+        return F.when(state["at"] == place, F.get(found, F.lit(0))).otherwise(state)
+
+    places = F.when((size > 0) & (size <= MOST_CHARACTERS), F.sequence(F.lit(0), size - 1)).otherwise(F.array(F.lit(-2)))
+    done = F.aggregate(places, start, step, lambda s: F.when(s["at"] == size, s["ids"]).otherwise(F.array(F.lit(unknown))))
+    return F.when(size == 0, empty).otherwise(done)
+
+
+def word_piece_ids(
+    df: DataFrame, text_col: str, pieces: Dictionary, longest: int, length: int, special: tuple[int, int, int, int]
+) -> DataFrame:
+    """Add ``input_ids`` and ``attention_mask`` of fixed length, of word pieces.
+
+    ``pieces`` maps pieces to ids, those inside words marked by ``CONTINUES``; none has more than
+    ``longest`` characters besides the mark. ``special`` holds the padding, unknown, start and end
+    ids. The sequence is start + pieces + end, padded or truncated. Null texts have no pieces.
+    """
+    pad, unknown, start, end = special
+    # a word has one piece at least, so no later word can matter
+    words = F.slice(basic_tokens(F.col(text_col)), F.lit(1), F.lit(length - 2))
+    found = F.flatten(F.transform(words, lambda w: segment(w, pieces, longest, unknown)))
+    staged = fenced(df, _ids=F.concat(F.array(F.lit(start)), F.slice(found, F.lit(1), F.lit(length - 2)), F.array(F.lit(end))))
+    missing = F.lit(length) - F.size("_ids")
+    return staged.withColumns({
+        "input_ids": F.concat("_ids", F.array_repeat(F.lit(pad), missing)),
+        "attention_mask": F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), missing)),
+    }).drop("_ids")
+
+
+def piece_table(words: DataFrame, longest: int = 20, endings: tuple[int, ...] = (2, 3)) -> DataFrame:
+    """(idx, piece) from a column ``term`` of words: the words, their characters at the start and inside of
+    words, and their last characters, as many as ``endings`` say."""
+    short = words.select("term").where(F.length("term") <= longest)
+    letters = short.select(F.explode(F.split("term", "")).alias("c")).where("c <> ''").distinct()
+    parts = short.unionAll(letters).unionAll(letters.select(F.concat(F.lit(CONTINUES), "c")))
+    for n in endings:
+        parts = parts.unionAll(short.where(F.length("term") > n).select(F.concat(F.lit(CONTINUES), F.substring("term", -n, n))))
+    pieces = parts.distinct().withColumnRenamed("term", "piece")
+    return with_position(pieces, "piece", name="idx").select("idx", "piece")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from newslens.functions import text
+from newslens.functions.dictionary import Dictionary
 from newslens.functions.wordlists import CLS_ID, PAD_ID, SEP_ID, STOP_WORDS, UNK_ID
 from newslens.operators import features, joins, reports
 from newslens.operators import terms as ops
@@ -217,6 +218,42 @@ def token_ids(spark, folder):
     )
 
 
+PIECES_SQL = "WITH RECURSIVE " + ", ".join(term_ctes(TermSettings(ngrams=(1, 1), min_df=3, stop_words=()))).replace(
+    "WHERE w1 NOT IN (SELECT w FROM stops)", "").replace("UNION ALL SELECT doc_id, w1 || ' ' || w2 FROM neighbours WHERE w2 IS NOT NULL UNION ALL "
+    "SELECT doc_id, w1 || ' ' || w2 || ' ' || w3 FROM neighbours WHERE w3 IS NOT NULL", "") + r""",
+short AS (SELECT term FROM vocab WHERE length(term) <= 20),
+letters AS (SELECT DISTINCT unnest(string_split(term, '')) AS c FROM short),
+pieces AS (SELECT piece, CAST(row_number() OVER (ORDER BY piece) - 1 + 1000 AS INTEGER) AS id FROM (
+  SELECT term AS piece FROM short UNION SELECT c FROM letters UNION SELECT '##' || c FROM letters
+  UNION SELECT '##' || right(term, 2) FROM short WHERE length(term) > 2 UNION SELECT '##' || right(term, 3) FROM short WHERE length(term) > 3)),
+basic AS (SELECT doc_id, unnest(l[:126]) AS w, unnest(range(1, 1 + len(l[:126]))) AS pos FROM (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}\p{M}_]+|[^\s\p{L}\p{N}\p{M}_]') AS l FROM documents)),
+distinct_words AS (SELECT DISTINCT w FROM basic),
+places AS (SELECT w, unnest(range(length(w))) AS p FROM distinct_words WHERE length(w) <= 100),
+tries AS (SELECT w, p, unnest(range(1, 1 + least(20, length(w) - p))) AS n FROM places),
+best AS (SELECT w, p, max(n) AS n, arg_max(id, n) AS id FROM tries JOIN pieces ON piece = CASE WHEN p > 0 THEN '##' ELSE '' END || substr(w, p + 1, n) GROUP BY w, p),
+walk AS (
+  SELECT w, CAST(0 AS BIGINT) AS p, CAST([] AS INTEGER[]) AS ids FROM distinct_words
+  UNION ALL SELECT walk.w, walk.p + best.n, list_append(walk.ids, best.id) FROM walk JOIN best ON best.w = walk.w AND best.p = walk.p),
+done AS (SELECT w, ids FROM walk WHERE p = length(w)),
+sequences AS (SELECT doc_id, list(coalesce(ids, [100]) ORDER BY pos) FILTER (pos IS NOT NULL) AS l FROM documents LEFT JOIN basic USING (doc_id) LEFT JOIN done USING (w) GROUP BY doc_id),
+shaped AS (SELECT doc_id, [101] || flatten(coalesce(l, []))[:126] || [102] AS ids FROM sequences)
+SELECT doc_id, array_to_string(ids || list_transform(range(128 - len(ids)), lambda x: 0), ' ') AS input_ids, len(ids) AS tokens FROM shaped"""
+
+
+@query("x12_word_pieces", PIECES_SQL)
+def word_pieces(spark, folder):
+    """Fixed-length ids of word pieces: the longest piece at each place, from a vocabulary of words, characters and endings."""
+    rows = texts(spark, folder)
+    words = ops.vocabulary_table(rows, "text", TermSettings(ngrams=(1, 1), min_df=3, stop_words=()))
+    table = ops.piece_table(words).collect()  # at most a dictionary's entries
+    pieces = Dictionary({r["piece"]: r["idx"] + 1000 for r in table}, "int")
+    encoded = ops.word_piece_ids(rows, "text", pieces, 20, 128, (PAD_ID, UNK_ID, CLS_ID, SEP_ID))
+    return encoded.select(
+        "doc_id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda acc, m: acc + m).alias("tokens"))
+
+
 @query("m10_standardise", """
 SELECT vec_id, dim, round((v - mean) / CASE WHEN std > 0 THEN std ELSE 1 END, 6) AS scaled FROM (
   SELECT vec_id, unnest(range(len(embedding))) AS dim, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)

@@ -58,6 +58,81 @@ def test_random_features_approximate_the_kernel(rows):
     assert features.scale_gamma(few, "features") == pytest.approx(1 / (64 * x.var()))
 
 
+def test_svd_of_sparse_rows_in_panels(spark, monkeypatch):
+    """Mixed sparse, dense and empty rows; several panels, blocks of features and stretches of rows."""
+    monkeypatch.setattr(features, "PANEL", 3)
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((60, 400)) < 0.05, rng.normal(size=(60, 400)), 0.0)
+    x[7] = 0
+    from pyspark.ml.linalg import SparseVector, Vectors
+
+    rows = [(i, Vectors.dense(v) if i % 3 == 0 else SparseVector(400, np.flatnonzero(v).tolist(), v[v != 0].tolist())) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", "v"]).repartition(5)
+    fitted = SvdProjection.fit(df, "v", 6, iterations=15)
+    assert fitted.singular_values == pytest.approx(np.linalg.svd(x, compute_uv=False)[:6], rel=1e-3)
+    got = {r["id"]: np.array(r["svd"]) for r in fitted.transform(df, "v").select("id", vector_to_array("svd").alias("svd")).collect()}
+    assert np.stack([got[i] for i in range(60)]) == pytest.approx(x @ fitted.components)
+
+
+def test_stretches_of_rows(monkeypatch):
+    monkeypatch.setattr(features, "CELLS", 20)
+    sizes = np.array([0, 3, 0, 9, 1, 1, 0])
+    assert [(a, b) for a, b, *_ in features._pieces(sizes, 5)] == [(0, 3), (3, 4), (4, 7)]
+    values, at = np.arange(14.0), np.arange(14) % 4
+    right = np.arange(20.0).reshape(4, 5)
+    want = np.zeros((7, 5))
+    for k, row in enumerate(np.repeat(np.arange(7), sizes)):
+        want[row] += values[k] * right[at[k]]
+    assert features._times(at, values, sizes, right) == pytest.approx(want)
+
+
+@pytest.mark.parametrize(("dims", "degree", "coef0"), [(64, 3, 1.0), (64, 2, 0.0), (650, 3, 1.0)])
+def test_tensor_sketch_approximates_the_kernel(spark, dims, degree, coef0):
+    x = np.random.default_rng(3).normal(size=(16, dims))
+    df = features.embedding_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, a array<double>"), "a", "v").coalesce(1)
+    z = array_of(features.tensor_sketch(df, "v", 8192, 1 / dims, coef0, degree, dims), "sketch")
+    exact = (x @ x.T / dims + coef0) ** degree
+    assert abs(z @ z.T - exact).max() < 0.1 * exact.max()
+
+
+def test_poisson_draws(spark):
+    df = spark.range(20_000)
+    draws = np.array(df.select(*(models.poisson_draws(F.col("id"), t, 0.8, 42).alias(f"d{t}") for t in range(3))).collect())
+    assert draws.mean(axis=0) == pytest.approx([0.8] * 3, abs=0.03) and draws.var(axis=0) == pytest.approx([0.8] * 3, abs=0.04)
+    assert abs(np.corrcoef(draws.T) - np.eye(3)).max() < 0.03
+    again = np.array(df.repartition(7).orderBy("id").select(models.poisson_draws(F.col("id"), 1, 0.8, 42)).collect())
+    assert (again[:, 0] == draws[:, 1]).all()
+
+
+def test_subsample_forest(rows):
+    """A class of a fortieth of the rows is found, which needs weights within each draw."""
+    x = vector_to_array("features")
+    rare = rows.select("vec_id", "features", (x[0] > F.lit(1.9)).cast("int").alias("label")).cache()
+    share = rare.agg(F.avg("label")).first()[0]
+    assert 0.005 < share < 0.1
+    fitted = models.SubsampleForest.fit(rare, "features", "label", models.forest(trees=4, max_depth=4), key="vec_id")
+    assert fitted.classes == [0, 1] and [len(m) for m in fitted.models] == [4, 4]
+    scored = fitted.transform(rare, "features").cache()
+    decided(scored, 2)
+    recall = scored.where("label = 1").agg(F.avg((F.col("pred") == 1).cast("int"))).first()[0]
+    assert recall > 0.7
+    plain = OneVsRestForest.fit(rare, "features", "label", models.forest(trees=4, max_depth=4), balanced=False).transform(rare, "features")
+    assert plain.where("label = 1").agg(F.avg((F.col("pred") == 1).cast("int"))).first()[0] <= recall
+
+
+def test_sigmoid_is_fitted_on_rows_left_out(spark):
+    """Labels that have nothing to do with the columns: confidences must stay near the class share, though many columns fit the training rows."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(80, 60))
+    df = spark.createDataFrame([(i, v.tolist(), int(i % 2)) for i, v in enumerate(x)], "id long, a array<double>, label int")
+    df = features.embedding_vectors(df, "a", "features").coalesce(1)
+    fitted = OneVsRestSvm.fit(df, "features", "label", kernel="linear", cost=100.0, max_iter=60)
+    inside = fitted.transform(df, "features").agg(F.avg("confidence")).first()[0]
+    assert inside < 0.75
+    few = df.limit(2)
+    assert OneVsRestSvm.fit(few, "features", "label", kernel="linear", max_iter=5).transform(few, "features").count() == 2
+
+
 def decided(df, k):
     for r in df.collect():
         assert sum(r["probabilities"]) == pytest.approx(1.0) and len(r["probabilities"]) == k
@@ -77,7 +152,7 @@ def test_forests(rows):
     assert evaluate.headline_metrics(one, y="label").first()["accuracy"] > 0.4
 
 
-@pytest.mark.parametrize("options", [{"kernel": "linear"}, {"kernel": "rbf", "size": 1024}])
+@pytest.mark.parametrize("options", [{"kernel": "linear"}, {"kernel": "rbf", "size": 1024}, {"kernel": "poly", "coef0": 1.0, "size": 1024}])
 def test_svm_learns_a_separable_class(rows, options):
     split = rows.withColumn("label", (vector_to_array("features")[0] > 0).cast("int"))
     fitted = OneVsRestSvm.fit(split, "features", "label", max_iter=30, **options)

@@ -99,6 +99,40 @@ def test_token_ids(docs):
     assert got[1]["input_ids"] == [101, 100, 8, 100, 7, 102]
 
 
+def greedy(word, ids, longest):
+    out, at = [], 0
+    while at < len(word):
+        n = next((n for n in range(min(longest, len(word) - at), 0, -1) if ("##" if at else "") + word[at:at + n] in ids), None)
+        if n is None:
+            return [100]
+        out.append(ids[("##" if at else "") + word[at:at + n]])
+        at += n
+    return out if len(word) <= 100 else [100]
+
+
+def test_word_pieces(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    pieces = ["a", "b", "é", "ab", "aba", "##a", "##b", "##ba", "##abb", "##é", "##bab", "!", "🙂", "##🙂"]
+    ids = {p: i for i, p in enumerate(pieces)}
+    texts = [None, "", " ", "ab" * 49 + "ab!", "ab" * 51, "abc", "Ab, é"] + ["".join(rng.choices("aabbé!c 🙂", k=rng.randint(1, 60))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = ops.word_piece_ids(df, "text", ops.Dictionary(ids, "int"), 5, 12, (0, 100, 101, 102)).collect()
+    for r in got:
+        words = re.findall(r"\w+|[^\s\w]", (r["text"] or "").lower())
+        want = [101, *[i for w in words for i in greedy(w, ids, 5)][:10], 102]
+        assert r["input_ids"] == want + [0] * (12 - len(want)), r["text"]
+        assert r["attention_mask"] == [1] * len(want) + [0] * (12 - len(want))
+
+
+def test_piece_table(spark):
+    words = spark.createDataFrame([("abc",), ("abcd",), ("x" * 30,), ("z",)], "term string")
+    got = [r["piece"] for r in ops.piece_table(words).orderBy("idx").collect()]
+    assert got == sorted({"abc", "abcd", "z", *"abcdz", *(f"##{c}" for c in "abcdz"), "##bc", "##cd", "##bcd"})
+
+
 def test_limits():
     with pytest.raises(ValueError):
         TermSettings(max_features=0)
