@@ -31,6 +31,15 @@ _EMPTY = hashlib.sha256(b"").hexdigest()
 _LONG = ["shard", "depth", "key", "n", "ends", "conv_id", "parent_key", "rep"]
 
 
+#: Rows of a small stored table to a file, at least.
+FILE_ROWS = 100_000
+
+
+def _store(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """``materialize`` in as many files as so many rows need, and three a core at least."""
+    return materialize(df.coalesce(max(3 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS))), label)
+
+
 def number_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, pos, turn_id, size): the turns of every conversation, numbered from 1; size is the text's code points.
 
@@ -75,7 +84,7 @@ def rebuild(numbered: DataFrame, group: int = 100, shares: int = 6) -> tuple[Dat
     heads = heads.select(F.col("conv_id").alias("_base"), "head")
     convs = numbered.select("conv_id").distinct().withColumn("_base", F.col("conv_id") - F.pmod("conv_id", F.lit(group)))
     own = convs.join(heads, "_base", "left").select("conv_id", F.slice(F.coalesce("head", F.array().cast("array<struct<pos: bigint, turn_id: bigint, size: bigint>>")), F.lit(1), h).alias("head"))
-    own = materialize(own, "heads")
+    own = _store(own, "heads", numbered.count())
     given = own.select("conv_id", F.explode("head").alias("x")).select("conv_id", "x.pos", "x.turn_id", "x.size")
     rest = numbered.where(F.col("pos") > h).join(own.select("conv_id", F.size("head").alias("_n")), "conv_id")
     rest = rest.select("conv_id", (F.col("pos") - h + F.col("_n")).alias("pos"), "turn_id", "size")
@@ -93,7 +102,7 @@ def _rows(convs: DataFrame, turns: DataFrame, width: int, shard_rows: int) -> Da
     rows = bands.select(
         "conv_id", "band", F.coalesce(F.bit_xor("own").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("prefix"),
         F.col("x.id").alias("ids"), F.col("x.size").alias("sizes"), F.lead("band").over(by).isNull().alias("last"))
-    rows = materialize(rows, "bands")
+    rows = _store(rows, "bands", turns.count() + convs.count())
     shards = max(1, -(-rows.count() // shard_rows))
     dealt = rows.repartitionByRange(shards, "band", "prefix", "ids", "conv_id") if shards > 1 else rows.coalesce(1)
     return materialize(dealt.withColumn("shard", F.spark_partition_id()), "shards")
@@ -260,10 +269,10 @@ def prefix_trie(convs: DataFrame, turns: DataFrame, width: int = WIDTH, shard_ro
     spread over bands; a third of all rows may share a prefix, as shards are cut by rows, not by nodes.
     """
     rows = _rows(convs, turns, width, shard_rows)
-    shards = rows.select("shard").distinct().count()
-    edges = materialize(rows.groupBy("shard").applyInArrow(lambda table: _edges(table, width), ", ".join(f"{c} bigint" for c in _LONG[:6])), "edges")
+    shards, size = rows.select("shard").distinct().count(), rows.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
+    edges = _store(rows.groupBy("shard").applyInArrow(lambda table: _edges(table, width), ", ".join(f"{c} bigint" for c in _LONG[:6])), "edges", shards * width)
     summed = edges.groupBy("depth", "key").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"), F.min("conv_id").alias("conv_id"), F.min("shard").alias("rep"))
-    known = materialize(edges.select(F.col("shard").cast("int").alias("shard"), "depth", "key").join(summed, ["depth", "key"]).select("shard", "depth", "key", "n", "ends", "conv_id", "rep"), "known")
+    known = _store(edges.select(F.col("shard").cast("int").alias("shard"), "depth", "key").join(summed, ["depth", "key"]).select("shard", "depth", "key", "n", "ends", "conv_id", "rep"), "known", shards * width)
 
     def run(rows: DataFrame, totals: bool) -> DataFrame:
         return rows.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(lambda a, b: _nodes(a, b, width, totals), _OUT)
@@ -274,16 +283,16 @@ def prefix_trie(convs: DataFrame, turns: DataFrame, width: int = WIDTH, shard_ro
         later = run(full, True).select("conv_id", F.col("depth").cast("int").alias("band"), "leaves", "saved")
         upto = Window.partitionBy("conv_id").orderBy(F.col("band").desc())
         later = later.select("conv_id", (F.col("band") - 1).alias("band"), F.sum("leaves").over(upto).alias("_leaves"), F.sum("saved").over(upto).alias("_saved"))
-        full = rows.join(materialize(later, "later"), ["conv_id", "band"], "left").select(
+        full = rows.join(_store(later, "later", size // width), ["conv_id", "band"], "left").select(
             *rows.columns, F.coalesce("_leaves", zero).alias("more_leaves"), F.coalesce("_saved", zero).alias("more_saved"))
-    out = materialize(run(full, False), "nodes")
+    out = _store(run(full, False), "nodes", size)
     listed = out.where(F.col("kind") == ENDS).select("depth", "key", "shard", "ids").repartition("depth", "key").sortWithinPartitions("depth", "key", "shard")
     listed = listed.mapInArrow(_digests, "depth bigint, key bigint, listed string")
     joined = out.where(F.col("kind") == OPEN).groupBy("depth", "key").agg(
         F.min("parent_key").alias("parent_key"), F.min("conv_id").alias("conv_id"), F.min("parent_conv_id").alias("parent_conv_id"), F.max("n").alias("n"),
         *(F.sum(c).alias(c) for c in ("children", "leaves", "saved")), F.max("sha").alias("sha"))
     joined = joined.join(listed, ["depth", "key"], "left").withColumn("sha", F.coalesce("listed", "sha", F.lit(_EMPTY))).drop("listed")
-    joined = materialize(joined, "joined")
+    joined = _store(joined, "joined", shards * width)
     columns = ["depth", "key", "parent_key", "conv_id", "parent_conv_id", "n", "children", "leaves", "saved", "sha"]
     nodes = out.where(F.col("kind") == NODE).select(*columns).unionAll(joined.select(*columns))
     # parents of a band's first turn stand in other shards
