@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newslens.functions import tagging, text
 from newslens.functions.fence import fenced
@@ -59,14 +59,10 @@ def annotate(
     staged = with_tokens(staged, tagger or Tagger(cased=tag_on == "original"))
     tokens, quotes = F.col("_tokens"), F.col("_quotes")
     cased = tag_on == "original"
-    topic = tagging.topic_text(tokens, stops, cased) if purpose != "sentiment" else F.lit("")
-    mood = (
-        tagging.sentiment_text(tokens, stops, keep_words, mode, cased) if purpose != "topic" else F.lit("")
-    )
     return staged.select(
         *[F.col(c) for c in df.columns],
-        topic.alias("processed_text"),
-        mood.alias("sentiment_text"),
+        for_purpose(tagging.topic_text(tokens, stops, cased), "processed_text", purpose),
+        for_purpose(tagging.sentiment_text(tokens, stops, keep_words, mode, cased), "sentiment_text", purpose),
         tagging.pos_counts(tokens, quotes).alias("pos_features"),
         text.complete_patterns({
             "named_entities": tagging.named_entities(tokens),
@@ -77,6 +73,12 @@ def annotate(
     )
 
 
+def for_purpose(text_col: Column, name: str, purpose: str) -> Column:
+    """One of the two texts as a purpose has it: empty, where it is not asked for."""
+    asked = {"processed_text": purpose != "sentiment", "sentiment_text": purpose != "topic"}[name]
+    return (text_col if asked else F.lit("")).alias(name)
+
+
 def flatten_features(annotated: DataFrame) -> DataFrame:
     """Counts as flat columns: six part-of-speech counts and six pattern counts."""
     kept = [c for c in annotated.columns if c not in ("pos_features", "news_patterns")]

@@ -79,7 +79,7 @@ def count_duplicates(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def keep_first(df: DataFrame, content: list[str], id_col: str) -> DataFrame:
-    """One row per distinct content, the one with the smallest id.
+    """One row per distinct content, the one with the smallest id; ids are unique.
 
     The minimum id is combined on the map side, so a text repeated across a
     third of the rows reaches its reducer as one row per task.

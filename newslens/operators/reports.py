@@ -109,6 +109,11 @@ def overview(df: DataFrame, key: str, length: Column, word_count: Column) -> Dat
     )
 
 
+def overview_by_category(df: DataFrame, key: str, length: Column, word_count: Column) -> DataFrame:
+    """(key, n, length, words): what ``overview`` and the largest categories are made of, in one pass."""
+    return df.groupBy(key).agg(n_rows().alias("n"), F.sum(length).alias("length"), F.sum(word_count).alias("words"))
+
+
 def summary(df: DataFrame, value: str) -> DataFrame:
     return df.agg(F.avg(value).alias("mean"), F.min(value).alias("lowest"), F.max(value).alias("highest"))
 

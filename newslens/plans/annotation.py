@@ -177,14 +177,12 @@ FROM (SELECT unnest(['topic', 'sentiment', 'both']) AS purpose, * FROM (
   SELECT f.doc_id, count(word) FILTER ({TOPIC_RULE}) AS t, count(word) FILTER ({BATCH_RULE}) AS s
   FROM full_text f LEFT JOIN ann USING (doc_id) GROUP BY f.doc_id)) GROUP BY purpose""", *ANN_CTES))
 def purposes(spark, folder):
-    result = None
-    for purpose in ops.PURPOSES:
-        rows = annotated(spark, folder, purpose=purpose).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(text.count_words(F.col("processed_text"))).alias("topic_words"),
-            F.sum(text.count_words(F.col("sentiment_text"))).alias("sentiment_words"),
-        ).select(F.lit(purpose).alias("purpose"), "*")
-        result = rows if result is None else result.unionByName(rows)
-    return result
+    """One annotation, and what each purpose keeps of it."""
+    words = lambda name, purpose: F.sum(text.count_words(ops.for_purpose(F.col(name), name, purpose)))
+    sums = annotated(spark, folder).agg(F.array(*(
+        F.struct(F.lit(p).alias("purpose"), F.count(F.lit(1)).alias("n"), words("processed_text", p).alias("topic_words"),
+                 words("sentiment_text", p).alias("sentiment_words")) for p in ops.PURPOSES)).alias("rows"))
+    return sums.select(F.inline("rows"))
 
 
 COUNTS_SQL = """counts AS (SELECT doc_id, count(*) FILTER (starts_with(tag, 'JJ')) AS adj_count,
@@ -280,13 +278,12 @@ SELECT doc_id, coalesce(t, '') = '' AS empty, coalesce(n, 0) AS nouns FROM artic
          count(*) FILTER (starts_with(tag, 'NN')) AS n FROM ann GROUP BY doc_id) USING (doc_id)""",
     LEX_SQL, STOP_SQL,
     f"""full_text AS (SELECT doc_id, CASE WHEN f = '.' THEN '' ELSE f END AS f FROM (SELECT doc_id,
-      {strip_sql("CASE WHEN lang = 'en' THEN headline ELSE '' END || ' . ' || CASE WHEN lang = 'en' THEN short_description ELSE '' END")} AS f FROM articles))""",
+      {strip_sql("CASE WHEN doc_id % 10 <> 3 THEN headline ELSE '' END || ' . ' || CASE WHEN doc_id % 10 <> 3 THEN short_description ELSE '' END")} AS f FROM articles))""",
     *token_ctes("doc_id", "full_text", "f")))
 def empty_articles(spark, folder):
-    """Articles without text stay, with empty texts and zero counts."""
-    english = lambda c: F.when(F.col("lang") == "en", F.col(c)).alias(c)
-    rows = text_articles(spark, folder, "doc_id", "headline", "short_description", "lang").select(
-        "doc_id", english("headline"), english("short_description"))
+    """Articles without text stay, with empty texts and zero counts: one in ten, in every language, has lost its texts."""
+    left = lambda c: F.when(F.col("doc_id") % 10 != 3, F.col(c)).alias(c)
+    rows = text_articles(spark, folder, "doc_id", "headline", "short_description").select("doc_id", left("headline"), left("short_description"))
     done = ops.annotate(rows, tagger=Tagger(LEXICON))
     return done.select("doc_id", (F.col("processed_text") == "").alias("empty"), F.col("pos_features.noun_count").alias("nouns"))
 

@@ -10,11 +10,11 @@ from newslens.operators import annotate as annotate_ops
 from newslens.operators import evaluate, features, models, sampling, topics
 from newslens.operators.category_model import ModelParams, train
 from newslens.operators.features import SvdProjection
-from newslens.operators.models import NativeForest, OneVsRestForest, OneVsRestSvm
+from newslens.operators.models import NativeForest, OneVsRestForest, OneVsRestSvm, SubsampleForest
 from newslens.operators.terms import SUBLINEAR, TUNED, Vocabulary
 from newslens.plans.articles import text_articles
 from newslens.plans.registry import query
-from newslens.plans.terms import term_ctes, texts
+from newslens.plans.terms import term_ctes, texts, weight_ctes
 from newslens.session import materialize
 from newslens.sources.files import read_table
 
@@ -84,17 +84,30 @@ def svd_full_rank(spark, folder):
     return projected.select("vec_id", F.round(F.sqrt(square), 4).alias("length"))
 
 
-@query("m5_svd_of_tfidf", "SELECT CAST(unnest(range(20)) AS INTEGER) AS component, TRUE AS falls, TRUE AS within_norm")
+# The largest singular value by power iteration over the weights.
+POWER_SQL = "WITH RECURSIVE " + ", ".join([*term_ctes(TUNED), *weight_ctes("(1 + ln(c.tf))")]).replace("normed AS (", "normed AS MATERIALIZED (") + """,
+power AS (
+  SELECT 0 AS step, idx, CAST(1 AS DOUBLE) AS x, CAST(0 AS DOUBLE) AS length FROM (SELECT DISTINCT idx FROM normed)
+  UNION ALL
+  SELECT step, idx, x / sqrt(sum(x * x) OVER ()), sqrt(sum(x * x) OVER ()) FROM (
+    SELECT any_value(step) + 1 AS step, n.idx, sum(n.weight * y) AS x FROM normed n JOIN (
+      SELECT m.doc_id, any_value(p.step) AS step, sum(m.weight * p.x) AS y FROM normed m JOIN power p ON p.idx = m.idx GROUP BY m.doc_id) USING (doc_id)
+    GROUP BY n.idx) WHERE step <= 60)
+SELECT CAST(component AS INTEGER) AS component, TRUE AS falls, TRUE AS within_norm,
+  (SELECT round(sqrt(max(length)), 2) FROM power WHERE step = 60) AS largest FROM (SELECT unnest(range(20)) AS component)"""
+
+
+@query("m5_svd_of_tfidf", POWER_SQL)
 def svd_of_tfidf(spark, folder):
-    """The leading singular values of the TF-IDF matrix fall, and their squares stay within its squared norm."""
+    """The largest singular value of the TF-IDF matrix; the leading ones fall, and their squares stay within its squared norm."""
     rows = texts(spark, folder)
     fitted = Vocabulary.fit(rows, "text", TUNED)
     weighted = fitted.tfidf(fitted.count(rows, "text"), "counts", "v", SUBLINEAR)
     values = SvdProjection.fit(weighted, "v", 20).singular_values
     # rows have length 1 or 0, so the squared norm is at most their number
     norm, squares = rows.count(), np.cumsum(np.square(values))
-    facts = [(i, bool(i == 0 or values[i] <= values[i - 1] + 1e-9), bool(0 < squares[i] <= norm + 1e-6)) for i in range(len(values))]
-    return spark.createDataFrame(facts, "component int, falls boolean, within_norm boolean")
+    facts = [(i, bool(i == 0 or values[i] <= values[i - 1] + 1e-9), bool(0 < squares[i] <= norm + 1e-6), round(float(values[0]), 2)) for i in range(len(values))]
+    return spark.createDataFrame(facts, "component int, falls boolean, within_norm boolean, largest double")
 
 
 def _topics(spark, folder):
@@ -181,6 +194,14 @@ def native_forest(spark, folder):
     return _facts(evaluate.classification_report(fitted.transform(test_rows, "features"), y="label"))
 
 
+@query("m18_balanced_subsample", REPORT_SQL)
+def balanced_subsample(spark, folder):
+    """Trees on bootstraps of their own, with class weights taken within each draw."""
+    train_rows, test_rows = _split(spark, folder)
+    fitted = SubsampleForest.fit(train_rows, "features", "label", models.forest(trees=2, max_depth=4), key="vec_id")
+    return _facts(evaluate.classification_report(fitted.transform(test_rows, "features"), y="label"))
+
+
 def _svm(spark, folder, **options):
     train_rows, test_rows = _split(spark, folder)
     return _svm_facts(OneVsRestSvm.fit(train_rows, "features", "label", max_iter=10, **options), test_rows, "features")
@@ -204,11 +225,8 @@ def svm_linear(spark, folder):
 
 @query("m19_svm_poly", SVM_SQL)
 def svm_poly(spark, folder):
-    """The polynomial kernel on the three leading SVD columns."""
-    train_rows, test_rows = _split(spark, folder)
-    projection = SvdProjection.fit(train_rows, "features", 3)
-    train_rows, test_rows = (materialize(projection.transform(r, "features").select("vec_id", "label", "svd"), "svd") for r in (train_rows, test_rows))
-    return _svm_facts(OneVsRestSvm.fit(train_rows, "svd", "label", kernel="poly", cost=10.0, max_iter=10), test_rows, "svd")
+    """The polynomial kernel on all columns."""
+    return _svm(spark, folder, kernel="poly", cost=10.0, coef0=1.0, size=128)
 
 
 @query("m20_predictions", f"""SELECT doc_id, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS y, TRUE AS ok FROM {DOCS_OUT}""")

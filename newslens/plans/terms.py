@@ -69,7 +69,8 @@ def ngrams(spark, folder):
 
 @query("k4_vocabulary_cap", "WITH " + ", ".join(term_ctes(TUNED)) + VOCAB_SQL)
 def vocabulary_cap(spark, folder):
-    return _rounded(ops.vocabulary_table(texts(spark, folder), "text", TUNED))
+    """The most frequent terms, by counting every n-gram."""
+    return _rounded(ops.vocabulary_table(texts(spark, folder), "text", TUNED, prune=False))
 
 
 @query("k4_pruned_vocabulary", "WITH " + ", ".join(term_ctes(TUNED)) + VOCAB_SQL)

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from newslens.operators.category_model import BasicSteps, CategoryModel, FeatureSteps, ModelParams
 from newslens.operators.features import SvdProjection
-from newslens.operators.models import NativeForest, OneVsRestForest, OneVsRestSvm
+from newslens.operators.models import NativeForest, OneVsRestForest, OneVsRestSvm, SubsampleForest
 from newslens.operators.terms import VOCABULARY_SCHEMA, TermSettings, Vocabulary
 
 STAGES = ["settings", "vocabulary", "svd", "topics", "scaler", "classifier", "names"]
@@ -31,7 +31,7 @@ def save_model(model: CategoryModel, path: str) -> None:
     steps, classifier = model.steps, model.classifier
     settings = {
         "params": asdict(model.params), "classes": classifier.classes,
-        "strategy": {NativeForest: "native", OneVsRestSvm: "svm"}.get(type(classifier), "one-vs-rest"),
+        "strategy": {NativeForest: "native", OneVsRestSvm: "svm", SubsampleForest: "subsample"}.get(type(classifier), "one-vs-rest"),
     }
     basic = isinstance(steps, BasicSteps)
     if not basic:
@@ -39,6 +39,8 @@ def save_model(model: CategoryModel, path: str) -> None:
                      "singular_values": [float(s) for s in steps.svd.singular_values]}
     if isinstance(classifier, OneVsRestSvm):
         settings |= {"kernel": classifier.kernel, "sigmoids": classifier.sigmoids}
+    if isinstance(classifier, SubsampleForest):
+        settings |= {"trees": [len(m) for m in classifier.models]}
     spark.createDataFrame([(json.dumps(settings),)], "value string").write.mode("overwrite").text(f"{path}/settings")
     steps.vocabulary.table(spark).write.mode("overwrite").parquet(f"{path}/vocabulary")
     steps.lda.write().overwrite().save(f"{path}/topics")
@@ -52,6 +54,10 @@ def save_model(model: CategoryModel, path: str) -> None:
         steps.scaler.write().overwrite().save(f"{path}/scaler")
     if isinstance(classifier, NativeForest):
         classifier.model.write().overwrite().save(f"{path}/classifier/all")
+    elif isinstance(classifier, SubsampleForest):
+        for label, trees in zip(classifier.classes, classifier.models):
+            for t, one in enumerate(trees):
+                one.write().overwrite().save(f"{path}/classifier/{label}/{t}")
     else:
         fitted = classifier.margins if isinstance(classifier, OneVsRestSvm) else classifier.models
         for label, one in zip(classifier.classes, fitted):
@@ -91,6 +97,9 @@ def load_model(spark: SparkSession, path: str) -> CategoryModel:
     elif settings["strategy"] == "svm":
         margins = [LinearSVCModel.load(f"{path}/classifier/{c}") for c in settings["classes"]]
         classifier = OneVsRestSvm(settings["classes"], settings["kernel"], margins, settings["sigmoids"])
+    elif settings["strategy"] == "subsample":
+        classifier = SubsampleForest(settings["classes"], [
+            [load(f"{path}/classifier/{c}/{t}") for t in range(n)] for c, n in zip(settings["classes"], settings["trees"])])
     else:
         classifier = OneVsRestForest(settings["classes"], [load(f"{path}/classifier/{c}") for c in settings["classes"]])
     return CategoryModel(params, steps, classifier, spark.read.parquet(f"{path}/names"))
