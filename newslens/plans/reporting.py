@@ -6,7 +6,7 @@ from newslens.functions import text
 from newslens.functions.sentiment import SentimentScorer
 from newslens.functions.wordlists import POS_KEYS
 from newslens.operators import annotate as annotate_ops
-from newslens.operators import curate, reports
+from newslens.operators import curate, reports, sketches
 from newslens.plans.annotation import (
     ANN_CTES, COUNTS_SQL, MOOD_SQL, POS_SQL, QUOTES_SQL, annotated, moody, sentiment_ctes,
 )
@@ -177,6 +177,39 @@ def overview(spark, folder):
     return stats.withColumns({c: F.round(c, 6) for c in ("mean_length", "mean_words")})
 
 
+def _sketched(spark, folder):
+    """The stored sketches of all documents, by day and category."""
+    return materialize(sketches.daily_sketches(text_articles(spark, folder, "text", "date", "category")), "sketches")
+
+
+@query("u1_distinct_words_in_range", over_articles(rf"""
+SELECT category, CAST(count(DISTINCT doc_id) AS BIGINT) AS articles, count(term) AS words, round(any_value(mean_length), 6) AS mean_length, TRUE AS within_bound
+FROM (SELECT doc_id, category, avg(length(text)) OVER (PARTITION BY category) AS mean_length, text FROM articles WHERE date BETWEEN DATE '2012-02-01' AND DATE '2013-12-31')
+LEFT JOIN (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{NOT_SPACE_SQL}')) AS term FROM articles) USING (doc_id)
+GROUP BY category"""))
+def distinct_words_in_range(spark, folder):
+    """Twenty-three months united from daily sketches: exact counts, and distinct words within four standard errors of the exact number."""
+    chosen = lambda c: F.col(c).between(F.lit("2012-02-01").cast("date"), F.lit("2013-12-31").cast("date"))
+    found = sketches.distinct_words(sketches.united(_sketched(spark, folder), "category", within=chosen("day"))).drop("frequent")
+    rows = text_articles(spark, folder, "text", "date", "category").where(chosen("date"))
+    exact = rows.select("category", F.explode(text.words(F.lower("text"))).alias("term")).groupBy("category").agg(F.countDistinct("term").alias("exact"))
+    off = F.abs(F.col("distinct_words") - F.col("exact")) <= 4 * 1.04 / 2 ** (sketches.LG_REGISTERS / 2) * F.col("exact") + 1
+    return found.join(exact, "category").select("category", "articles", "words", F.round("mean_length", 6).alias("mean_length"), off.alias("within_bound"))
+
+
+@query("a14_words_from_sketches", rf"""
+SELECT term, count(*) AS n, TRUE AS within_bound FROM (SELECT unnest(regexp_extract_all(lower(text), '{{NOT_SPACE}}')) AS term FROM documents)
+GROUP BY term ORDER BY n DESC, term LIMIT 20""".replace("{NOT_SPACE}", NOT_SPACE_SQL))
+def words_from_sketches(spark, folder):
+    """The twenty most frequent words, exactly, and whether the united daily sketches know each within their bound."""
+    whole = sketches.united(_sketched(spark, folder))
+    bound = whole.select(F.col("words") * 3.5 / sketches.ITEMS).scalar()
+    near = sketches.frequent_words(whole, 200).withColumnRenamed("n", "near")
+    exact = reports.word_frequencies(text_articles(spark, folder, "text"), "text", 20)
+    return exact.join(near, "term", "left").select(
+        "term", "n", (F.abs(F.coalesce("near", F.lit(0)) - F.col("n")) <= bound + 1).alias("within_bound"))
+
+
 @query("m29_category_statistics", over_articles(f"""
 SELECT category, count(*) AS n, count(*) / (SELECT count(*) FROM articles) AS frequency,
        round(avg(length(text)), 6) AS avg_length, """ + ", ".join(

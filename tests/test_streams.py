@@ -1,6 +1,7 @@
 """Streams against their batch forms, restarts included."""
 
 import os
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -37,6 +38,34 @@ def test_events_of_any_age_count_and_batches_can_be_folded(spark, tmp_path):
     assert {(str(r["day"]), r["n"]) for r in jobs.latest_daily_counts(spark, folded).collect()} == want
 
 
+def test_live_timeline_corrects_and_folds_itself_while_it_runs(spark, tmp_path):
+    into, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    days = ["2024-06-01", "2024-06-02", "2024-01-01", "2024-06-01", None, "2024-01-01", "2024-06-02"]
+    rows = [[(f"{d} 10:00:00" if d else None, c) for c in "aab"] for d in days]
+    for part in rows[:5]:
+        spark.createDataFrame(part, "ts string, category string").coalesce(1).write.mode("append").parquet(into)
+
+    def run():
+        stream = spark.readStream.schema("ts string, category string").option("maxFilesPerTrigger", 1).parquet(into)
+        jobs.live_timeline_stream(stream, out, checkpoint, compact_every=2).awaitTermination()
+
+    def wanted(parts):
+        counts = Counter((d[:10], c) for part in parts for d, c in part if d)
+        return {(d, c, n) for (d, c), n in counts.items()}
+
+    seen = lambda: {(str(r["day"]), r["category"], r["n"]) for r in jobs.live_timeline(spark, out).collect()}
+    run()
+    assert seen() == wanted(rows[:5])
+    assert 0 not in jobs._complete(spark, f"{out}/changes") and len(jobs._complete(spark, f"{out}/snapshots")) <= 2
+    for part in rows[5:]:  # the stream stops and goes on from its state
+        spark.createDataFrame(part, "ts string, category string").coalesce(1).write.mode("append").parquet(into)
+    run()
+    assert seen() == wanted(rows)
+    # a snapshot that was not written to its end is passed over
+    os.makedirs(f"{out}/snapshots/batch=99")
+    assert seen() == wanted(rows)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
