@@ -2,7 +2,10 @@
 
 Two lines at edit distance at most t, cut into t + 1 segments, agree in one segment whole. Every
 distinct line is indexed under its segments, and probes, for each length within t of its own,
-the substrings that can meet such a segment. Lines that meet are verified by banded
+the substrings that can meet such a segment. This is done twice: over characters, and over words,
+so that lines that differ in a word meet however many characters it has. A line's probes grow with the cube of the
+threshold (2 for one edit, 22 for three, some 1,400 for fifteen), so the threshold in
+characters grows with the line only where one word is at stake. Lines that meet are verified by banded
 bit-parallel edit distance: bit o of word d says that the first i characters of one line and
 i + o of the other are within d edits. Lines that meet in a crowded segment are compared in
 blocks of bounded size instead of being paired first.
@@ -19,6 +22,8 @@ from newslens.llm.text import buffers, mix
 from newslens.session import materialize
 
 EDITS, LEAST_CHARS = 1, 20
+#: Words in which two lines may differ, and for each edit within those words so many characters of the shorter line; MOST_EDITS at most.
+WORD_EDITS, CHARS_AN_EDIT, MOST_EDITS = 1, 20, 15
 #: Bytes of text handled at once, lines from which a segment is crowded, lines on a side of a block, cells of the padded pairs verified at once.
 PIECE, CROWDED, BLOCK, CELLS = 1 << 19, 64, 256, 1 << 20
 _P = 0x9E3779B97F4A7C15
@@ -113,6 +118,69 @@ def keys(lines: Lines, edits: int) -> tuple[np.ndarray, np.ndarray]:
     return stack(index), stack(probes)
 
 
+def word_keys(lines: Lines, edits: int = WORD_EDITS) -> tuple[np.ndarray, np.ndarray]:
+    """As ``keys``, of words: what stands between single blanks. Lines of too few words get keys of their own."""
+    start, end = lines.start[lines.pick], lines.end[lines.pick]
+    blanks = np.flatnonzero(lines.points == 0x20)
+    first, last = np.searchsorted(blanks, start), np.searchsorted(blanks, end)
+    size = last - first + 1
+    # bounds[first + k] is where word k of a line ends
+    padded = np.append(blanks, 0)
+    whole = lines.hash(start, end)
+
+    def part(word: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Hash of ``count`` words from ``word`` on."""
+        low = np.where(word > 0, padded[np.minimum(first + word - 1, len(blanks))] + 1, start)
+        high = np.where(word + count < size, padded[np.minimum(first + word + count - 1, len(blanks))], end)
+        return lines.hash(low, np.maximum(high, low))
+
+    index, probes = [], []
+    own = lambda salt: mix(whole + np.uint64(salt * _Q % 2**64)).view(np.int64)
+    for i in range(edits + 1):
+        at, length = _segment(size, i, edits)
+        ok = size > edits
+        index.append(np.where(ok, _key(part(at, length) ^ np.uint64(_Q), size, i + 50), own(900 + i)))
+        for shorter in range(edits + 1):
+            other = size - shorter
+            at, length = _segment(other, i, edits)
+            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
+                if shorter == 0 and shift == 0:
+                    continue
+                low = at + shift
+                ok = (low >= 0) & (low + length <= size) & (other > edits)
+                low, length_ = np.where(ok, low, 0), np.where(ok, length, 0)
+                probes.append(np.where(ok, _key(part(low, length_) ^ np.uint64(_Q), other, i + 50), own(1000 + i * 64 + shorter * 8 + shift + edits)))
+    stack = lambda rows: np.stack(rows, axis=1) if rows else np.zeros((len(size), 0), np.int64)
+    return stack(index), stack(probes)
+
+
+def words_apart(one: np.ndarray, two: np.ndarray, most: int = WORD_EDITS) -> bool:
+    """Whether two lines, as code points, differ in at most ``most`` words that follow one another: all but those
+    at their ends agree. For one word this is the edit distance in words."""
+    a, b = (x.tobytes().decode("utf-32-le", "surrogatepass").split(" ") for x in (one, two))
+    if abs(len(a) - len(b)) > most:
+        return False
+    same = min(len(a), len(b))
+    head = next((k for k in range(same) if a[k] != b[k]), same)
+    tail = next((k for k in range(same - head) if a[-1 - k] != b[-1 - k]), same - head)
+    return max(len(a), len(b)) - head - tail <= most
+
+
+def limits(sizes_a: np.ndarray, sizes_b: np.ndarray, edits: int) -> np.ndarray:
+    """Edits that two lines of these sizes may be apart, if within one word."""
+    return np.maximum(edits, np.minimum(MOST_EDITS, np.minimum(sizes_a, sizes_b) // CHARS_AN_EDIT))
+
+
+def alike(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarray:
+    """Which pairs are linked: at an edit distance of at most ``edits``, or of ``limits`` if they differ in one word."""
+    ok = within(one, two, edits)
+    wide = limits(np.array([len(a) for a in one], np.int64), np.array([len(b) for b in two], np.int64), edits)
+    for t in np.unique(wide[~ok & (wide > edits)]).tolist():
+        rows = [k for k in np.flatnonzero(~ok & (wide == t)).tolist() if words_apart(one[k], two[k])]
+        ok[rows] = within([one[k] for k in rows], [two[k] for k in rows], t)
+    return ok
+
+
 def within(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarray:
     """Which pairs of code-point arrays are at edit distance at most ``edits`` (below 16)."""
     n = len(one)
@@ -170,7 +238,7 @@ def _band(one, two, sizes_a, sizes_b, t) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -> DataFrame:
-    """(doc_id, line, n_lines, h1, h2, index, probes): a row per eligible line, and one without line per document."""
+    """(doc_id, line, n_lines, h1, h2, index, probes, chars): a row per line that is not empty, and one without line per document."""
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("_text"))
 
     def lists(values: np.ndarray, extra: int) -> pa.Array:
@@ -184,7 +252,10 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -
             while low < batch.num_rows:
                 high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + PIECE, "right")) - 1)
                 ids, lines = batch.column(0).slice(low, high - low), Lines(batch.column(1).slice(low, high - low), least)
-                index, probes = keys(lines, edits)
+                index, probes = (np.concatenate(x, axis=1) for x in zip(keys(lines, edits), word_keys(lines)))
+                # lines too short to be compared follow with their hashes only
+                short = np.flatnonzero((lines.size > 0) & (lines.size < least))
+                lines.pick = np.concatenate([lines.pick, short])
                 start, end = lines.start[lines.pick], lines.end[lines.pick]
                 extra = high - low
                 none = pa.nulls(extra, pa.int64())
@@ -193,11 +264,11 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -
                     pa.concat_arrays([ids.take(pa.array(lines.text[lines.pick])), ids]), both(lines.number[lines.pick].astype(np.int64), none),
                     pa.concat_arrays([pa.nulls(len(start), pa.int64()), pa.array(lines.count.astype(np.int64))]),
                     both(lines.hash(start, end).view(np.int64), none), both(lines.second(start, end).view(np.int64), none),
-                    lists(index, extra), lists(probes, extra),
-                ], names=["doc_id", "line", "n_lines", "h1", "h2", "index", "probes"])
+                    lists(index, extra + len(short)), lists(probes, extra + len(short)), both(lines.size[lines.pick].astype(np.int64), none),
+                ], names=["doc_id", "line", "n_lines", "h1", "h2", "index", "probes", "chars"])
                 low = high
 
-    return source.mapInArrow(run, "doc_id bigint, line bigint, n_lines bigint, h1 bigint, h2 bigint, index array<bigint>, probes array<bigint>")
+    return source.mapInArrow(run, "doc_id bigint, line bigint, n_lines bigint, h1 bigint, h2 bigint, index array<bigint>, probes array<bigint>, chars bigint")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -237,7 +308,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ok = within(_points_of(b.column(2)), _points_of(b.column(3)), edits) if b.num_rows else np.zeros(0, bool)
+            ok = alike(_points_of(b.column(2)), _points_of(b.column(3)), edits) if b.num_rows else np.zeros(0, bool)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     return pairs.join(one, "a").join(two, "b").select("a", "b", "_a", "_b").mapInArrow(run, f"a {_LINE}, b {_LINE}")
@@ -259,11 +330,11 @@ def _crowded_links(members: DataFrame, texts: DataFrame, edits: int) -> DataFram
         rank[sorted(range(len(places)), key=lambda i: (places[i]["doc_id"], places[i]["line"]))] = np.arange(len(places))
         hits = []
         for i in range(len(points)):
-            near = (np.abs(sizes - sizes[i]) <= edits) & (rank > rank[i]) & (indexed | indexed[i])
+            near = (np.abs(sizes - sizes[i]) <= limits(sizes, sizes[i], edits)) & (rank > rank[i]) & (indexed | indexed[i])
             near &= (cut != cut[i]) if low != high else True
             j = np.flatnonzero(near)
             if len(j):
-                hits += [(i, k) for k in j[within([points[i]] * len(j), [points[k] for k in j], edits)]]
+                hits += [(i, k) for k in j[alike([points[i]] * len(j), [points[k] for k in j], edits)]]
         kind = table.schema.field("first").type
         return pa.table({"a": pa.array([places[i] for i, _ in hits], kind), "b": pa.array([places[k] for _, k in hits], kind)})
 
@@ -273,11 +344,12 @@ def _crowded_links(members: DataFrame, texts: DataFrame, edits: int) -> DataFram
 def line_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents: doc_id, n_lines; lines: doc_id, line, first, n_links, component).
+    """(documents: doc_id, n_lines; lines: doc_id, line, chars, first, n_links, component).
 
-    Lines are what lies between line feeds. ``lines`` has a row for every line of at least
-    ``least_chars`` characters whose text occurs again, or is linked with another text at an edit
-    distance of at most ``edits``. ``first`` is the place (doc_id, line) of the text's first
+    Lines are what lies between line feeds. ``lines`` has a row for every line that is not empty and whose text occurs
+    again, or is linked with another text. Texts of at least ``least_chars`` characters are linked at an edit
+    distance of at most ``edits``, or, if they differ in one word only, of one edit for every ``CHARS_AN_EDIT``
+    characters of the shorter one, up to ``MOST_EDITS``. ``first`` is the place (doc_id, line) of the text's first
     occurrence, ``n_links`` the number of other distinct texts linked, ``component`` the
     first place reachable by links. Null texts have one empty line; null ids take no part.
     """
@@ -286,7 +358,7 @@ def line_classes(
     stored = materialize(_scan(docs, id_col, text_col, edits, least_chars), "lines")
     places = stored.where("line is not null and doc_id is not null")
     texts_of = places.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("chars").alias("chars"),
         F.first("index").alias("index"), F.first("probes").alias("probes"))
     texts_of = materialize(texts_of, "texts")
     index = texts_of.select(F.explode("index").alias("key"), "first", "h1", "h2", F.lit(True).alias("indexed"))
@@ -302,9 +374,9 @@ def line_classes(
     links = store(_verified(pairs, texts, edits).unionByName(_crowded_links(crowd, texts, edits)).distinct(), "line_links")
     degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links")).withColumnRenamed("a", "_a")
     joined = components(links)
-    known = texts_of.select("h1", "h2", "first", "n").join(degree, F.col("first") == F.col("_a"), "left").drop("_a").join(
+    known = texts_of.select("h1", "h2", "first", "n", "chars").join(degree, F.col("first") == F.col("_a"), "left").drop("_a").join(
         joined, F.col("first") == F.col("node"), "left").where("n > 1 or node is not null")
-    known = known.select("h1", "h2", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "first").alias("component"))
+    known = known.select("h1", "h2", "chars", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "first").alias("component"))
     lines = places.select("doc_id", "line", "h1", "h2").join(known, ["h1", "h2"]).drop("h1", "h2")
     return stored.where("line is null").select("doc_id", "n_lines"), materialize(lines, "line_classes")
 
@@ -317,12 +389,13 @@ def repeats(lines: DataFrame) -> Column:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The documents without lines that repeat, or nearly repeat, an earlier one (by id, then line).
 
-    The first line of each class stays. A document that had lines and loses them all is
+    The first line of each class stays, and so do lines of fewer than ``least_chars`` characters. A document that had lines and loses them all is
     dropped; one that had no text stays. Columns and other lines are unchanged. Of rows that
     repeat an id all lose the lines found under that id and number.
     """
     _, lines = line_classes(docs, id_col, text_col, edits, least_chars)
-    lost = lines.where(repeats(lines)).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_lost"))
+    lost = lines.where(repeats(lines) & (F.col("chars") >= least_chars)).groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.collect_set("line").alias("_lost"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     joined = rows.join(lost, F.col("_id") == F.col("_doc"), "left")
     # array positions serve as line numbers

@@ -116,6 +116,54 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def word_distance(a, b):
+    return edit_distance(a.split(" "), b.split(" "))
+
+
+def linked(a, b, edits):
+    most = min(15, min(len(a), len(b)) // 20)
+    if abs(len(a) - len(b)) > max(edits, most):
+        return False
+    near = word_distance(a, b) <= 1
+    return (near or abs(len(a) - len(b)) <= edits) and edit_distance(a, b) <= (max(edits, most) if near else edits)
+
+
+def test_lines_that_differ_in_a_word(spark):
+    """Every length class up to 15 edits: a word changed, put in, or taken out, at any place; and the same edits spread over two words."""
+    rng = random.Random(14)
+    lines = []
+    for size in (18, 24, 45, 70, 110, 160, 230, 330):
+        for _ in range(6):
+            words_ = []
+            while len(" ".join(words_)) < size:
+                words_.append("".join(rng.choices("abcdefgh", k=rng.randint(1, 18))))
+            lines.append(" ".join(words_))
+            for _ in range(4):
+                own, k = list(words_), rng.randrange(len(words_))
+                change = rng.choice(["swap", "in", "out", "two", "gap"])
+                if change == "in":
+                    own.insert(k, "".join(rng.choices("xyz", k=rng.randint(1, 16))))
+                elif change == "out":
+                    own.pop(k)
+                elif change == "gap":
+                    own[k] += " "
+                else:
+                    own[k] = "".join(rng.choices("xyz", k=max(1, len(own[k]) + rng.randint(-2, 2))))
+                    if change == "two":
+                        own[(k + 2) % len(own)] += "q"
+                lines.append(" ".join(own))
+    lines = list(dict.fromkeys(lines))
+    want = {(i, j) for i, a in enumerate(lines) for j, b in enumerate(lines) if i < j and min(len(a), len(b)) >= 20 and linked(a, b, 1)}
+    own, degree = Sets(range(len(lines))), Counter()
+    for a, b in want:
+        own.join(a, b)
+        degree.update([a, b])
+    assert {min(15, min(len(lines[a]), len(lines[b])) // 20) for a, b in want} >= {1, 3, 5, 8, 11, 15}
+    _, found = line_dedup.line_classes(documents(spark, list(enumerate(lines))))
+    got = {r.doc_id: (r.n_links, r.component.doc_id) for r in found.collect()}
+    assert got == {i: (degree[i], own.find(i)) for i in degree}
+
+
 def test_banded_edit_distance():
     rng = random.Random(4)
     pairs = []
@@ -152,11 +200,11 @@ def test_line_classes(spark, edits, crowded, monkeypatch):
     for i, t in texts:
         if i is not None:
             for n, line in enumerate((t or "").split("\n")):
-                if len(line) >= 8:
+                if line:
                     first.setdefault(line, (i, n))
                     places[i, n] = line
-    own, degree, short = Sets(first.values()), Counter(), [x for x in first if len(x) < 1000]
-    pairs = [(a, b) for k, a in enumerate(short) for b in short[:k] if edit_distance(a, b) <= edits]
+    own, degree, short = Sets(first.values()), Counter(), [x for x in first if 8 <= len(x) < 1000]
+    pairs = [(a, b) for k, a in enumerate(short) for b in short[:k] if linked(a, b, edits)]
     pairs += [(a, b) for a in first for b in first if len(a) > len(b) > 1000]
     for a, b in pairs:
         own.join(first[a], first[b])
@@ -172,7 +220,7 @@ def test_line_classes(spark, edits, crowded, monkeypatch):
     left = {}
     for i, t in texts:
         lines_ = (t or "").split("\n")
-        keep = [x for n, x in enumerate(lines_) if i is None or (i, n) not in want or want[i, n][2] == (i, n)]
+        keep = [x for n, x in enumerate(lines_) if i is None or (i, n) not in want or want[i, n][2] == (i, n) or len(x) < 8]
         if len(keep) == len(lines_):
             left[i] = t
         elif "\n".join(keep).strip(" "):
