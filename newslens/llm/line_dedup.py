@@ -166,6 +166,29 @@ def words_apart(one: np.ndarray, two: np.ndarray, most: int = WORD_EDITS) -> boo
     return max(len(a), len(b)) - head - tail <= most
 
 
+class _Words:
+    """The words of some lines, by number, padded from either end."""
+
+    def __init__(self, lines: list[np.ndarray]):
+        split = [x.tobytes().decode("utf-32-le", "surrogatepass").split(" ") for x in lines]
+        number: dict[str, int] = {}
+        self.sizes = np.array([len(w) for w in split])
+        self.head = np.full((len(split), int(self.sizes.max())), -1, np.int32)
+        self.tail = self.head.copy()
+        for i, words in enumerate(split):
+            codes = [number.setdefault(w, len(number)) for w in words]
+            self.head[i, : len(codes)], self.tail[i, : len(codes)] = codes, codes[::-1]
+
+    def apart(self, i: int, j: np.ndarray) -> np.ndarray:
+        """As ``words_apart`` counts: words of the longer line between what agrees at both ends, for line i and lines j."""
+        shorter, longer = np.minimum(self.sizes[i], self.sizes[j]), np.maximum(self.sizes[i], self.sizes[j])
+        agree = 0
+        for side in (self.head, self.tail):
+            differ = side[j] != side[i]
+            agree = agree + np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), side.shape[1]), shorter)
+        return longer - np.minimum(agree, shorter)
+
+
 def limits(sizes_a: np.ndarray, sizes_b: np.ndarray, edits: int) -> np.ndarray:
     """Edits that two lines of these sizes may be apart, if within one word."""
     return np.maximum(edits, np.minimum(MOST_EDITS, np.minimum(sizes_a, sizes_b) // CHARS_AN_EDIT))
@@ -252,7 +275,8 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, edits: int, least: int) -
             while low < batch.num_rows:
                 high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + PIECE, "right")) - 1)
                 ids, lines = batch.column(0).slice(low, high - low), Lines(batch.column(1).slice(low, high - low), least)
-                index, probes = (np.concatenate(x, axis=1) for x in zip(keys(lines, edits), word_keys(lines)))
+                # keys over words are odd, those over characters even
+                index, probes = (np.concatenate([a & ~1, b | 1], axis=1) for a, b in zip(keys(lines, edits), word_keys(lines)))
                 # lines too short to be compared follow with their hashes only
                 short = np.flatnonzero((lines.size > 0) & (lines.size < least))
                 lines.pick = np.concatenate([lines.pick, short])
@@ -328,13 +352,19 @@ def _crowded_links(members: DataFrame, texts: DataFrame, edits: int) -> DataFram
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
         rank = np.empty(len(places), np.int64)
         rank[sorted(range(len(places)), key=lambda i: (places[i]["doc_id"], places[i]["line"]))] = np.arange(len(places))
+        # lines within ``edits`` characters meet over characters too, so each kind of key looks for its own kind of link
+        words = _Words(points) if table["key"][0].as_py() & 1 else None
         hits = []
         for i in range(len(points)):
-            near = (np.abs(sizes - sizes[i]) <= limits(sizes, sizes[i], edits)) & (rank > rank[i]) & (indexed | indexed[i])
+            limit = limits(sizes, sizes[i], edits) if words else np.full(len(sizes), edits)
+            near = (np.abs(sizes - sizes[i]) <= limit) & (rank > rank[i]) & (indexed | indexed[i])
             near &= (cut != cut[i]) if low != high else True
             j = np.flatnonzero(near)
-            if len(j):
-                hits += [(i, k) for k in j[alike([points[i]] * len(j), [points[k] for k in j], edits)]]
+            if words and len(j):
+                j = j[words.apart(i, j) <= WORD_EDITS]
+            for t in np.unique(limit[j]).tolist():
+                some = j[limit[j] == t]
+                hits += [(i, k) for k in some[within([points[i]] * len(some), [points[k] for k in some], t)].tolist()]
         kind = table.schema.field("first").type
         return pa.table({"a": pa.array([places[i] for i, _ in hits], kind), "b": pa.array([places[k] for _, k in hits], kind)})
 
