@@ -9,10 +9,12 @@ from newslens.functions.wordlists import (
     BOOSTER_PHRASES, BOOSTERS, IDIOMS, KEEP_WORDS, NEGATIONS, POS_KEYS, annotator_stop_words, sentiment_lexicon, tag_lexicon,
 )
 from newslens.operators import annotate as ops
+from newslens.operators.tag_model import TagModel, agreement
 from newslens.plans.articles import over_articles, text_articles
 from newslens.plans.noise import CLEANING_NOISE, MOOD_NOISE, noisy, noisy_sql, quote
 from newslens.plans.registry import query
 from newslens.plans.texts import SPACE_SQL, contractions_sql, scrub_sql, strip_sql
+from newslens.session import materialize
 from newslens.sources.files import read_texts
 
 # The starter lexicon plus tags for frequent words of the test documents.
@@ -163,6 +165,22 @@ def sentiment_text_batch(spark, folder):
     return annotated(spark, folder, purpose="sentiment").select("doc_id", F.md5("sentiment_text").alias("sentiment_text"))
 
 
+@query("x2_trained_tagger", over_articles("""
+SELECT count(*) AS tokens, count(DISTINCT doc_id) AS articles, TRUE AS beats_lexicon, TRUE AS above_floor FROM ann WHERE doc_id % 5 = 1""", *ANN_CTES))
+def trained_tagger(spark, folder):
+    """A tag model trained on four fifths of the tagged articles, on the rest: whether it agrees with their tags in more
+    places than the starter lexicon does, and in more than 99 of a hundred."""
+    rows = token_arrays(spark, folder).select(
+        "doc_id", F.transform("_tokens", lambda t: t["word"]).alias("words"), F.transform("_tokens", tagging.tag_of).alias("tags"))
+    rows = materialize(rows, "tagged")
+    model = TagModel.fit(rows.where("doc_id % 5 <> 1"), "words", "tags")
+    held = model.tag(rows.where("doc_id % 5 = 1 AND size(words) > 0"), "words", "found")
+    starter = F.transform(Tagger().annotate(F.col("words")), tagging.tag_of)
+    scored = held.select(F.size("words").alias("n"), agreement(F.col("tags"), F.col("found")).alias("model"), agreement(F.col("tags"), starter).alias("lexicon"))
+    return scored.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("articles"), (F.sum("model") > F.sum("lexicon")).alias("beats_lexicon"),
+                      (F.sum("model") > 0.99 * F.sum("n")).alias("above_floor"))
+
+
 @query("x7_sentiment_text_serving", _joined_sql(SERVING_RULE, "sentiment_text"))
 def sentiment_text_serving(spark, folder):
     rows = token_arrays(spark, folder)
