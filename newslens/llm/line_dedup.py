@@ -198,9 +198,28 @@ def alike(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarra
     """Which pairs are linked: at an edit distance of at most ``edits``, or of ``limits`` if they differ in one word."""
     ok = within(one, two, edits)
     wide = limits(np.array([len(a) for a in one], np.int64), np.array([len(b) for b in two], np.int64), edits)
-    for t in np.unique(wide[~ok & (wide > edits)]).tolist():
-        rows = [k for k in np.flatnonzero(~ok & (wide == t)).tolist() if words_apart(one[k], two[k])]
-        ok[rows] = within([one[k] for k in rows], [two[k] for k in rows], t)
+    rows = np.array([k for k in np.flatnonzero(~ok & (wide > edits)).tolist() if words_apart(one[k], two[k])], np.int64)
+    ok[rows] = _within_limits([one[k] for k in rows], [two[k] for k in rows], wide[rows])
+    return ok
+
+
+def _middles(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two lines without what they begin and end with alike; their distance is the same."""
+    shorter = min(len(a), len(b))
+    differ = np.flatnonzero(a[:shorter] != b[:shorter])
+    head = int(differ[0]) if len(differ) else shorter
+    a, b, shorter = a[head:], b[head:], shorter - head
+    differ = np.flatnonzero(a[len(a) - shorter :][::-1] != b[len(b) - shorter :][::-1])
+    tail = int(differ[0]) if len(differ) else shorter
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
+def _within_limits(one: list[np.ndarray], two: list[np.ndarray], edits: np.ndarray) -> np.ndarray:
+    """As ``within``, with a limit for each pair; for lines that differ in one place."""
+    ok, cut = np.zeros(len(one), bool), [_middles(a, b) for a, b in zip(one, two)]
+    for t in np.unique(edits).tolist():
+        rows = np.flatnonzero(edits == t).tolist()
+        ok[rows] = within([cut[k][0] for k in rows], [cut[k][1] for k in rows], t)
     return ok
 
 
@@ -354,7 +373,7 @@ def _crowded_links(members: DataFrame, texts: DataFrame, edits: int) -> DataFram
         rank[sorted(range(len(places)), key=lambda i: (places[i]["doc_id"], places[i]["line"]))] = np.arange(len(places))
         # lines within ``edits`` characters meet over characters too, so each kind of key looks for its own kind of link
         words = _Words(points) if table["key"][0].as_py() & 1 else None
-        hits = []
+        left, right, most = [], [], []
         for i in range(len(points)):
             limit = limits(sizes, sizes[i], edits) if words else np.full(len(sizes), edits)
             near = (np.abs(sizes - sizes[i]) <= limit) & (rank > rank[i]) & (indexed | indexed[i])
@@ -362,9 +381,12 @@ def _crowded_links(members: DataFrame, texts: DataFrame, edits: int) -> DataFram
             j = np.flatnonzero(near)
             if words and len(j):
                 j = j[words.apart(i, j) <= WORD_EDITS]
-            for t in np.unique(limit[j]).tolist():
-                some = j[limit[j] == t]
-                hits += [(i, k) for k in some[within([points[i]] * len(some), [points[k] for k in some], t)].tolist()]
+            left += [i] * len(j)
+            right += j.tolist()
+            most.append(limit[j])
+        one, two = [points[i] for i in left], [points[k] for k in right]
+        ok = _within_limits(one, two, np.concatenate(most)) if words else within(one, two, edits)
+        hits = [(i, k) for i, k, good in zip(left, right, ok.tolist()) if good]
         kind = table.schema.field("first").type
         return pa.table({"a": pa.array([places[i] for i, _ in hits], kind), "b": pa.array([places[k] for _, k in hits], kind)})
 
