@@ -206,6 +206,22 @@ def feature_stack(spark, folder):
     )
 
 
+@query("m8_model_features", "WITH " + ", ".join([*term_ctes(TUNED), *weight_ctes("(1 + ln(c.tf))")]) + """
+SELECT doc_id, idx, round(weight, 6) AS v FROM normed UNION ALL SELECT doc_id, -1, CAST(1 AS DOUBLE) FROM documents""")
+def model_features(spark, folder):
+    """The parts of a model's features in one vector: SVD columns, topics, TF-IDF. The last are those of the SQL, the topics sum to one."""
+    rows = texts(spark, folder).select("doc_id", "text")
+    fitted = Vocabulary.fit(rows, "text", TUNED)
+    weighted = materialize(fitted.tfidf(fitted.count(rows, "text"), "counts", "tfidf", SUBLINEAR).select("doc_id", "counts", "tfidf"), "weighted")
+    svd = SvdProjection.fit(weighted, "tfidf", 4, iterations=2, stored=True)
+    mixed = topics.topic_mix(topics.fit_topics(weighted, "counts", 3, epochs=1), svd.transform(weighted, "tfidf"), "counts")
+    stacked = features.stack(mixed, {"svd": 4, "topics": 3, "tfidf": len(fitted)})
+    cells = materialize(features.vector_entries(stacked, "features", "doc_id"), "cells")
+    terms = cells.where("idx >= 7 AND tf <> 0").select("doc_id", (F.col("idx") - 7).alias("idx"), F.round("tf", 6).alias("v"))
+    mass = cells.where("idx BETWEEN 4 AND 6").groupBy("doc_id").agg(F.round(F.sum("tf"), 6).alias("v"))
+    return terms.unionByName(mass.withColumn("idx", F.lit(-1)))
+
+
 @query("m18_forest", REPORT_SQL)
 def forest(spark, folder):
     """Balanced one-vs-rest forests on the embeddings, evaluated on the held-out part."""

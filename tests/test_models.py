@@ -190,9 +190,9 @@ PARAMS = ModelParams(
 )
 
 
-@pytest.mark.parametrize("strategy, fit_on", [("one-vs-rest", "train"), ("native", "all")])
-def test_training_scoring_and_persistence(spark, corpus, tmp_path, strategy, fit_on):
-    model, results = train(corpus, ModelParams(**{**PARAMS.__dict__, "strategy": strategy, "fit_on": fit_on}))
+@pytest.mark.parametrize("strategy, fit_on, balanced", [("one-vs-rest", "train", True), ("native", "all", True), ("one-vs-rest", "train", "subsample")])
+def test_training_scoring_and_persistence(spark, corpus, tmp_path, strategy, fit_on, balanced):
+    model, results = train(corpus, ModelParams(**{**PARAMS.__dict__, "strategy": strategy, "fit_on": fit_on, "balanced": balanced}))
     assert results["predictions"].count() == 24
     assert results["metrics"].first()["accuracy"] == 1.0
     assert results["report"].where("row = 'food'").first()["support"] == 8
@@ -268,3 +268,18 @@ def test_variants_train_save_load_and_log(spark, folder, tmp_path, variant, stra
     keys = {r["key"] for r in logged.where("kind = 'metric'").collect()}
     assert {"accuracy", "training_seconds", "confidence_mean", "confidence_lowest", "confidence_highest"} <= keys
     assert float(first_metric(logged, "variants", "training_seconds").first()[0]) > 0
+
+
+def test_runs_share_the_steps_they_have_in_common(spark, corpus, tmp_path):
+    from newslens.operators.category_model import Prefix, sweep
+    from newslens.sources.runs import read_runs
+
+    prefix = Prefix()
+    settings = [{"criterion": "gini"}, {"criterion": "entropy"}, {"n_topics": 2}, {"strategy": "native", "n_topics": 2, "min_samples": 6}, {"svd_size": 3}]
+    rows = sweep(corpus, PARAMS, settings, prefix=prefix, log=(str(tmp_path / "runs"), "sweep")).orderBy("run").collect()
+    assert [r["params"] for r in rows] == [", ".join(f"{k}={v}" for k, v in s.items()) for s in settings]
+    assert all(r["accuracy"] > 0.9 for r in rows)
+    assert prefix.fitted == {"names": 1, "split": 1, "vocabulary": 1, "vectors": 1, "svd": 2, "topics": 2, "steps": 3, "features": 3, "balanced": 4}
+    alone = train(corpus, ModelParams(**{**PARAMS.__dict__, "n_topics": 2}))[1]["metrics"].first()
+    assert alone["accuracy"] == pytest.approx(rows[2]["accuracy"])
+    assert {r["run_id"] for r in read_runs(spark, str(tmp_path / "runs")).collect()} == {f"run-{i}" for i in range(5)}
