@@ -266,10 +266,8 @@ def links(nodes: DataFrame, cosine: float) -> DataFrame:
         a = np.repeat(np.arange(len(ids)), [len(f[0]) for f in found])
         b = np.concatenate([f[0] for f in found]) if found else a
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        raw = _matrix(table["vector"])
-        one, two = raw[pairs[:, 0]], raw[pairs[:, 1]]
-        exact = (one * two).sum(axis=1) / (np.sqrt((one * one).sum(axis=1)) * np.sqrt((two * two).sum(axis=1)))
-        pairs = pairs[exact >= cosine]
+        # on vectors of length 1, as products of very small or large components leave the range
+        pairs = pairs[(x[pairs[:, 0]] * x[pairs[:, 1]]).sum(axis=1) >= cosine]
         return pa.table({"a": pa.array(ids[pairs[:, 0]]), "b": pa.array(ids[pairs[:, 1]])})
 
     found = parts.join(united, "node").groupBy(*keys).applyInArrow(look, f"a {id_type}, b {id_type}")

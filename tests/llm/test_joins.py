@@ -305,6 +305,15 @@ def test_language_model(spark):
     assert lm.score_documents(documents(spark, [])).count() == 0
 
 
+def test_very_small_and_large_components_link(spark):
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(4, 16))
+    near = base + 1e-4 * rng.normal(size=base.shape)
+    rows = [(2 * i + k, (v[i] * scale).tolist()) for i, scale in enumerate((1e-200, 1e200, 1.0, 1e-160)) for k, v in enumerate((base, near))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(embedded(spark, rows)).collect()}
+    assert got == {i: (1, i - i % 2) for i in range(8)}
+
+
 @pytest.mark.parametrize(("groups", "size"), [(10, 60), (3, 300)])
 def test_large_groups_of_near_copies_are_all_searched(groups, size):
     rng = np.random.default_rng(13)

@@ -14,6 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from newslens.llm import bpe, pii, quality, secret_scan, text
+from newslens.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, pii string, secrets int, ids string, tail string, _text string"
 LONG = "word " * 60_000 + "a@b.cc"
@@ -183,6 +184,45 @@ def test_quality_on_held_out_rows(spark, folder):
     assert by[0].mean < by[1].mean < by[2].mean
 
 
+def test_quality_query_by_brute_force(spark, folder):
+    """Every document of the query's table, scored one by one from the fitted weights and thresholds."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    ratings = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade"))
+    model = quality.train(docs, ratings)
+    got = {r.doc_id: r for r in QUERIES["op5_quality"](spark, folder).collect()}
+    assert len(got) == docs.count()
+    for d in docs.collect():
+        number, value, _ = quality.features(pa.array([d.text]))
+        score = sum(model.weights[n] * v for n, v in zip(number.tolist(), value.tolist()))
+        below = [1 / (1 + math.exp(score - t)) for t in model.thresholds]
+        chances = [b - a for a, b in zip([0, *below], [*below, 1])]
+        assert sum(chances) == pytest.approx(1) and min(chances) >= 0
+        r = got[d.doc_id]
+        assert r.expected_grade == pytest.approx(sum(k * c for k, c in enumerate(chances)), abs=1e-9)
+        assert r.tail == pytest.approx(chances[-1], abs=1e-9) and r.selected == (chances[-1] >= quality.SELECT)
+
+
+def test_ordinal_fit_finds_planted_weights():
+    """Grades drawn from known weights and thresholds: the fit is likelier than the shares of the grades, nearly as likely as the truth."""
+    rng = np.random.default_rng(4)
+    true = np.array([-3.0, -1.0, 0.0, 1.0, 3.0])
+    picks = [rng.choice(5, 2, replace=False) for _ in range(4000)]
+    score = np.array([true[p].sum() for p in picks])
+    grades = (score[:, None] + rng.logistic(size=(4000, 1)) > np.array([-1.0, 1.0])).sum(axis=1)
+    model = quality.fit([(p.astype(np.int32), np.ones(2)) for p in picks], grades)
+
+    def likelihood(scores, thresholds):
+        edge = np.concatenate([[-np.inf], thresholds, [np.inf]])
+        cut = lambda t: 1 / (1 + np.exp(-np.clip(t - scores, -60, 60)))
+        return np.log(cut(edge[grades + 1]) - cut(edge[grades])).mean()
+
+    fitted = likelihood(np.array([model.weights[p].sum() for p in picks]), model.thresholds)
+    shares = np.bincount(grades) / len(grades)
+    assert fitted > (shares * np.log(shares)).sum() + 0.2
+    assert fitted > likelihood(score, np.array([-1.0, 1.0])) - 0.02
+    assert (np.diff(model.weights[:5]) > 0).all() and (np.diff(model.thresholds) > 0).all()
+
+
 def test_quality_rows(spark):
     ratings = spark.createDataFrame([(0, 2), (0, 2), (1, None), (None, 1), (2, 0), (3, 1)], "doc_id long, grade int")
     docs = rows(spark, [None, "", "fine words here", LONG, "fine words here"])
