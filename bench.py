@@ -1,5 +1,7 @@
 """Times the headline queries; prints one JSON line.
 
+``m32_scores`` answers with the model that ``m18_training_report`` has trained, so its time is that of scoring alone.
+
 BENCH_SF_DIR names the folder of tables (default /root/testdata/sf0.1),
 BENCH_CPUS the number of local cores (default 8).
 """
