@@ -51,3 +51,21 @@ def test_words_of_a_text_pass_no_interpreted_lambda(spark):
     counted = fitted.tfidf(fitted.count(docs, "text"), "counts", "v")
     for df in (counted, terms.term_statistics(docs, "text", settings)):
         assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_training_run_counts_each_text_once(spark, folder, monkeypatch):
+    from newslens.operators.category_model import Prefix, train
+    from newslens.plans.modelling import SMALL, processed
+    from dataclasses import replace
+    counted = []
+    count = Vocabulary.count
+    monkeypatch.setattr(Vocabulary, "count", lambda self, df, *a: counted.append(df.count()) or count(self, df, *a))
+    rows = processed(spark, folder).limit(150).localCheckpoint()
+    prefix = Prefix()
+    model, results = train(rows, SMALL, prefix=prefix)
+    train(rows, replace(SMALL, n_topics=3), prefix=prefix)
+    assert sum(counted) == 150
+    scored = model.predict(rows, "processed_text").select("doc_id", "pred", "confidence")
+    kept = results["predictions"].select("doc_id", "pred", "confidence").collect()
+    again = {r["doc_id"]: (r["pred"], r["confidence"]) for r in scored.collect()}
+    assert kept and all(again[r["doc_id"]] == (r["pred"], r["confidence"]) for r in kept)
