@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from newslens.session import materialize
+
 #: Document-term cells that a worker holds at once, rounds of inference at most and the mean change that ends them.
 CELLS, ROUNDS, SETTLED = 1 << 21, 100, 1e-3
 TERM_BLOCK = 1024
@@ -52,26 +54,26 @@ def infer(at: np.ndarray, counts: np.ndarray, sizes: np.ndarray, beta: np.ndarra
     ``beta`` has exp E[log p(term | topic)], terms x topics. A document without terms keeps the prior.
     """
     k, n = beta.shape[1], len(sizes)
-    gamma = np.ones((n, k))
-    full = np.flatnonzero(sizes)
-    starts, doc = (np.cumsum(sizes) - sizes)[full], np.repeat(np.arange(n), sizes)
-    own = beta[at]
-    theta = np.exp(_expected_log(gamma))
+    gamma = np.full((n, k), prior)
+    live = np.flatnonzero(sizes)
+    gamma[live] = 1.0
+    left, own, cells, moving = sizes[live], beta[at], counts, np.ones(len(live), bool)
+    # a document stops at its own last change, whatever the others need; cells of those that stopped are let go together
     for _ in range(ROUNDS):
-        if not len(full):
+        if not len(live):
             break
-        share = counts / ((theta[doc] * own).sum(axis=1) + 1e-100)
-        new = np.full((n, k), prior)
-        new[full] += theta[full] * np.add.reduceat(share[:, None] * own, starts)
-        change = np.abs(new - gamma).mean(axis=1).max()
-        gamma, theta = new, np.exp(_expected_log(new))
-        if change < SETTLED:
-            break
-    if not len(full):
-        gamma = np.full((n, k), prior)
-    gamma[sizes == 0] = prior
-    share = counts / ((theta[doc] * own).sum(axis=1) + 1e-100) if len(full) else counts
-    return gamma, theta, share[:, None] * theta[doc] if len(full) else np.zeros((0, k))
+        before = gamma[live]
+        theta = np.exp(_expected_log(before))
+        share = cells / ((np.repeat(theta, left, axis=0) * own).sum(axis=1) + 1e-100)
+        new = prior + theta * np.add.reduceat(share[:, None] * own, np.cumsum(left) - left)
+        gamma[live[moving]] = new[moving]
+        moving &= np.abs(new - before).mean(axis=1) >= SETTLED
+        if moving.sum() < 0.75 * len(live):
+            kept = np.repeat(moving, left)
+            live, left, own, cells, moving = live[moving], left[moving], own[kept], cells[kept], moving[moving]
+    theta = np.exp(_expected_log(gamma))
+    spread = np.repeat(theta, sizes, axis=0)
+    return gamma, theta, (counts / ((spread * beta[at]).sum(axis=1) + 1e-100))[:, None] * spread
 
 
 def _cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -211,6 +213,8 @@ def fit_online(
     held = F.coalesce(F.col(held_out), F.lit(False)) if held_out else F.lit(False)
     rows = df.select(sparse["indices"].alias("indices"), sparse["values"].alias("values"), sparse["size"].alias("size"), held.alias("held"),
                      F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(shares)).cast("int").alias("share"))
+    # a step reads its share only
+    rows = materialize(rows, "shares", by=("held", "share"))
     learning = rows.where(~F.col("held"))
     sizes = {r["share"]: r["n"] for r in learning.groupBy("share").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
