@@ -34,7 +34,7 @@ CHANCE_BITS, LEAST, LEAST_GAPS = 9, 64, 4
 #: Bytes the rolling hash looks back on (a power of two).
 REACH = 32
 #: Bytes of text handled at once, and words whose ids a worker remembers.
-PIECE, REMEMBERED = 1 << 21, 1 << 20
+PIECE, REMEMBERED = 1 << 20, 1 << 20
 #: Bits of the filter of chunks that may repeat; when it fills up, more chunks take the way of those that do.
 FILTER_BITS = 1 << 26
 
@@ -163,8 +163,8 @@ class Words:
         self._forget()
 
     def _forget(self) -> None:
-        #: Numbers of words by hash, and of the pieces they consist of; a line end is a piece without ids.
-        self.known: dict[int, int] = {}
+        #: Sorted hashes of words and their numbers, and the numbers of the pieces they consist of; a line end is a piece without ids.
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.pieces: dict[str, int] = {"\n": 0}
         self.of_words, self.of_pieces = Lists(self.kind), Lists(self.kind)
         self.of_pieces.add(np.zeros(0, self.kind), np.zeros(1, np.int64))
@@ -173,9 +173,10 @@ class Words:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """Remember the ids of new words."""
-        first = len(self.known)
-        self.known.update(zip(hashes.tolist(), range(first, first + len(words))))
+        """Remember the ids of new words, by ascending hash."""
+        first, at = len(self.hashes), np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.numbers = np.insert(self.numbers, at, np.arange(first, first + len(words), dtype=np.int32))
         if self.find and not any(m in b" ".join(words) for m in self.marks):
             self.of_words.add(*self._split_ids(words))
         else:
@@ -224,17 +225,17 @@ class Words:
         place = np.arange(len(text)) - np.repeat(np.append(0, at), np.diff(np.concatenate([[0], at, [len(text)]])))
         place[~inside] = 0
         values = _CODES[text] * _powers_up_to(int(length.max()))[place]
+        del index, inside, first, place
         hashes = mix(np.add.reduceat(values, at) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         distinct, one, word = np.unique(hashes, return_index=True, return_inverse=True)
-        listed = distinct.tolist()
-        new = [i for i, h in enumerate(listed) if h not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
+        new = np.flatnonzero(~np.isin(distinct, self.hashes, assume_unique=True))
+        if len(new):
+            if len(self.hashes) + len(new) > REMEMBERED:
                 self._forget()
-                new = list(range(len(listed)))
+                new = np.arange(len(distinct))
             raw = text.tobytes()
-            self._learn(distinct[new], [raw[at[one[i]] : at[one[i]] + length[one[i]]] for i in new])
-        number = np.array([self.known[h] for h in listed])[word]
+            self._learn(distinct[new], [raw[at[one[i]] : at[one[i]] + length[one[i]]] for i in new.tolist()])
+        number = self.numbers[np.searchsorted(self.hashes, distinct)][word]
         of = np.searchsorted(after, at, "right")
         return self.of_words.take(number), np.bincount(of, self.of_words.sizes[number], len(starts)).astype(np.int64)
 
