@@ -69,3 +69,38 @@ def test_a_training_run_counts_each_text_once(spark, folder, monkeypatch):
     kept = results["predictions"].select("doc_id", "pred", "confidence").collect()
     again = {r["doc_id"]: (r["pred"], r["confidence"]) for r in scored.collect()}
     assert kept and all(again[r["doc_id"]] == (r["pred"], r["confidence"]) for r in kept)
+
+
+def test_texts_count_like_lists(monkeypatch):
+    docs = ["one two  one zz a two", "", None, " two one ", "one"]
+    lists = [[w for w in (d or "").split(" ") if len(w) > 1] for d in docs]
+    for most in (1, 20, 1 << 20):
+        monkeypatch.setattr(grams.text_stretches, "__defaults__", (most,))
+        got = {}
+        for batch in grams.statistics(pa.array(docs), ["zz"], 1, 3):
+            for t, tf, df in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                a, b = got.get(t, (0, 0))
+                got[t] = a + tf, b + df
+        assert got == by_hand(lists, {"zz"}, 1, 3)
+
+
+def test_rare_grams_of_frequent_words_are_not_formed(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 60, 50)) + " new york" for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    settings = TermSettings(max_features=30, min_df=1, max_df=1.0)
+    pruned = terms.pruned_statistics(docs, "text", settings, 80)
+    every = {r["term"]: (r["tf"], r["df"]) for r in terms.term_statistics(docs, "text", settings).collect()}
+    got = {r["term"]: (r["tf"], r["df"]) for r in pruned.collect()}
+    assert got["new york"] == (80, 80) and all(every[t] == n for t, n in got.items())
+    assert sum(" " in t for t in got) < 100 < 5000 < len(every)
+    tables = [sorted(terms.vocabulary_table(docs, "text", settings, p).collect()) for p in (True, False)]
+    assert tables[0] == tables[1]
+
+
+def test_grams_of_words_in_too_many_documents_stay(spark):
+    """Fewer single words than asked for: n-grams rarer than all of them are kept."""
+    docs = spark.createDataFrame([(i, ("xx yy" if i < 3 else "yy xx") + " dd" * 9 * (i < 16)) for i in range(20)], "id int, text string")
+    settings = TermSettings(max_features=50, min_df=2, max_df=0.95)
+    tables = [sorted(terms.vocabulary_table(docs, "text", settings, p).collect()) for p in (True, False)]
+    assert tables[0] == tables[1] and "xx yy" in {r["term"] for r in tables[0]}
