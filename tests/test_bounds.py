@@ -45,3 +45,22 @@ def test_a_step_reads_its_share(counted, monkeypatch):
     monkeypatch.setattr(online, "_statistics", seen)
     online.fit_online(counted, "counts", "id", 3, shares=4, epochs=1)
     assert len(filters) == 4 and all("share" in f for f in filters)
+
+
+def test_the_gram_product_needs_arrays_of_one_number_a_cell(spark):
+    """A piece of CELLS cells is multiplied a column at a time: no array has cells x columns numbers."""
+    import tracemalloc
+    from newslens.operators import features
+    rng = np.random.default_rng(2)
+    sizes = np.tile([0, 400, 1, 99], 400)
+    at = np.concatenate([np.sort(rng.choice(600, n, replace=False)) for n in sizes])
+    values, right = rng.random(len(at)), rng.normal(size=(600, 64))
+    dense = np.zeros((len(sizes), 600))
+    dense[np.repeat(np.arange(len(sizes)), sizes), at] = values
+    tracemalloc.start()
+    got = features._times(at, values, sizes, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, dense @ right) and peak < 10 * 8 * len(at)
+    rows = spark.createDataFrame([(at[e - n:e].tolist(), values[e - n:e].tolist()) for n, e in zip(sizes, np.cumsum(sizes))], "indices array<int>, values array<double>")
+    assert np.allclose(features._gram_product(rows, right), dense.T @ (dense @ right))
