@@ -60,3 +60,24 @@ def test_keys_of_terms_are_those_in_texts():
     found = arrow.distinct_keys(words, ["alpha"], 1, 3)
     keys, possible = arrow.term_keys(pa.array(["beta", "gamma", "beta gamma", "gamma beta", "beta gamma beta", "a b c d"]), 3)
     assert possible.tolist() == [True] * 5 + [False] and set(keys[:5]) == set(found)
+
+
+def test_terms_meet_compressed(texts):
+    """No row per term and task is shuffled, only blocks of terms by segment."""
+    found = ops.term_statistics(texts, "text", SETTINGS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(segment#" in plan and "hashpartitioning(term#" not in plan
+    rows = {r["term"]: (r["tf"], r["df"]) for r in found.collect()}
+    assert len(rows) == found.count() and rows["w1 w2"][0] >= rows["w1 w2"][1] > 0
+
+
+def test_packed_terms_add_up():
+    texts = pa.array(["alpha beta alpha", "beta über beta", "alpha"])
+    whole = {t: (n, d) for b in arrow.statistics(texts, [], 1, 3) for t, n, d in zip(*(c.to_pylist() for c in b.columns))}
+    parts = [arrow.packed_terms(b, 2) for x in (texts[:1], texts[1:]) for b in arrow.statistics(x, [], 1, 3)]
+    table, got = pa.Table.from_batches(parts), {}
+    for s in set(table["segment"].to_pylist()):
+        rows = arrow.summed_terms(table.filter(pa.compute.equal(table["segment"], s))).to_pylist()
+        assert not got.keys() & {r["term"] for r in rows}
+        got |= {r["term"]: (r["tf"], r["df"]) for r in rows}
+    assert got == whole and got["beta über"] == (1, 1) and got["alpha"] == (3, 2)
