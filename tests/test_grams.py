@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from newslens.operators import grams, terms
 from newslens.operators.terms import TermSettings, Vocabulary
@@ -104,3 +105,13 @@ def test_grams_of_words_in_too_many_documents_stay(spark):
     settings = TermSettings(max_features=50, min_df=2, max_df=0.95)
     tables = [sorted(terms.vocabulary_table(docs, "text", settings, p).collect()) for p in (True, False)]
     assert tables[0] == tables[1] and "xx yy" in {r["term"] for r in tables[0]}
+
+
+def test_distinct_numbers_are_sorted_not_hashed(monkeypatch):
+    rng = np.random.default_rng(6)
+    for numbers in (rng.integers(0, 500, 3000), rng.integers(0, 1 << 64, 100, np.uint64, endpoint=False), np.zeros(0, np.int64)):
+        assert (grams.distinct(numbers) == sorted(set(numbers.tolist()))).all()
+    plain = np.unique
+    monkeypatch.setattr(grams.np, "unique", lambda x, **asked: plain(x, **asked) if asked else pytest.fail("hashed"))
+    list(grams.statistics(pa.array(["one two one two", "two"]), [], 1, 3))
+    assert len(grams.distinct_keys(pa.array(["one two one"]), [], 1, 2)) == 4
