@@ -115,3 +115,13 @@ def test_distinct_numbers_are_sorted_not_hashed(monkeypatch):
     monkeypatch.setattr(grams.np, "unique", lambda x, **asked: plain(x, **asked) if asked else pytest.fail("hashed"))
     list(grams.statistics(pa.array(["one two one two", "two"]), [], 1, 3))
     assert len(grams.distinct_keys(pa.array(["one two one"]), [], 1, 2)) == 4
+
+
+def test_both_vectors_come_from_one_worker(spark):
+    from newslens.operators.category_model import _weighted
+    docs = spark.createDataFrame([(1, "one two one two"), (2, "One, two"), (3, None), (4, "two three")], "id int, text string")
+    fitted = Vocabulary.fit(docs, "text", TermSettings(max_features=5, min_df=1, max_df=1.0))
+    got = _weighted(fitted, docs, "text")
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    apart = fitted.tfidf(fitted.count(docs, "text", "_counts"), "_counts", "_tfidf", terms.SUBLINEAR)
+    assert got.columns == apart.columns and sorted(map(str, got.collect())) == sorted(map(str, apart.collect()))

@@ -147,3 +147,19 @@ def test_no_predicate_is_copied_to_the_scan(docs):
     for df in (entries, long):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert not [line for line in plan.splitlines() if "Filter (" in line and "regexp" in line]
+
+
+def test_stored_words_are_cut_once(spark, monkeypatch):
+    """A fit on stored words writes no texts again, and counting them runs no pattern over them."""
+    texts = ["One two, one two!", None, "two three; ÉTÉ été", "", "x one-two three"] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    settings, labels, write = TermSettings(max_features=6, min_df=1, max_df=1.0), [], ops.materialize
+    plain = ops.Vocabulary.fit(docs, "text", settings)
+    expected = plain.count(docs, "text").collect()
+    stored = ops.store_parted(docs, "text")
+    monkeypatch.setattr(ops, "materialize", lambda df, label, *a: labels.append(label) or write(df, label, *a))
+    fitted = ops.Vocabulary.fit(stored, "text", settings, parted=True)
+    counted = fitted.count(stored, "text", parted=True)
+    assert labels and "texts" not in labels and fitted.rows == plain.rows
+    assert "regexp" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert [r["counts"] for r in counted.orderBy("id").collect()] == [r["counts"] for r in sorted(expected)]

@@ -1,5 +1,9 @@
 """Marks of distinct words against the column rules, and the texts kept of plain words against those of annotated ones."""
 
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,3 +42,15 @@ def test_words_pass_no_interpreted_lambda(spark):
     rows = spark.createDataFrame([("Good news", "They ran")], "headline string, short_description string")
     plan = annotate(rows).select("processed_text", "sentiment_text")._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and plan.count("annotated(") == 0
+
+
+def test_lemmas_are_gathered_by_stretches(spark, monkeypatch):
+    lists = [["the", "dogs", "ran"], [], None, ["parties"] * 7, ["a"], ["walked", "cities", "dogs"]]
+    rows = spark.createDataFrame(list(enumerate(lists)), "id int, words array<string>").coalesce(1).orderBy("id")
+    got = [r[0] for r in rows.select(Tagger().topic_text(F.col("words"), [])).collect()]
+    functions = []
+    monkeypatch.setattr(tagging, "TOKENS", 3)
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: functions.append(f) or SimpleNamespace(asNondeterministic=lambda: lambda c: None))
+    Tagger().topic_text(None, [])
+    assert list(tagging._stretches(np.array([0, 3, 3, 3, 10, 11, 14]))) == [(0, 3), (3, 4), (4, 5), (5, 6)]
+    assert functions[0](pa.array(lists)).to_pylist() == got and got[2] is None and got[3] == " ".join(["party"] * 7)
