@@ -163,3 +163,11 @@ def test_stored_words_are_cut_once(spark, monkeypatch):
     assert labels and "texts" not in labels and fitted.rows == plain.rows
     assert "regexp" not in counted._jdf.queryExecution().executedPlan().toString()
     assert [r["counts"] for r in counted.orderBy("id").collect()] == [r["counts"] for r in sorted(expected)]
+
+
+def test_packed_terms_are_dealt_without_strong_hashes(monkeypatch):
+    from newslens.operators import grams
+    import pyarrow as pa
+    monkeypatch.setattr(grams, "blake2b", lambda *a, **k: pytest.fail("hashed"))
+    found = [grams.packed_terms(b, 3) for b in grams.statistics(pa.array(["one two three one"]), [], 1, 3)]
+    assert sum(sum(b.column("terms").to_pylist()) for b in found) == 8
