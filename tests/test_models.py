@@ -5,12 +5,12 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from newslens.operators import evaluate, features, models, sampling, topics
-from newslens.operators.category_model import ModelParams, train
+from newslens.operators import category_model, evaluate, features, models, sampling, topics
+from newslens.operators.category_model import FeatureSteps, ModelParams, train
 from newslens.operators.features import SvdProjection
 from newslens.operators.models import NativeForest, OneVsRestForest, OneVsRestSvm
 from newslens.operators.score import score
-from newslens.operators.terms import TermSettings
+from newslens.operators.terms import TermSettings, Vocabulary
 from newslens.plans.modelling import vectors
 from newslens.sources.model_store import load_model, save_model
 
@@ -283,3 +283,19 @@ def test_runs_share_the_steps_they_have_in_common(spark, corpus, tmp_path):
     alone = train(corpus, ModelParams(**{**PARAMS.__dict__, "n_topics": 2}))[1]["metrics"].first()
     assert alone["accuracy"] == pytest.approx(rows[2]["accuracy"])
     assert {r["run_id"] for r in read_runs(spark, str(tmp_path / "runs")).collect()} == {f"run-{i}" for i in range(5)}
+
+
+def test_scoring_counts_and_projects_in_one_worker(spark):
+    """A task of the scoring stage keeps a Python worker for every node of Python functions."""
+    texts = spark.createDataFrame([(i, f"cat dog bird{i % 3} fish{i % 5}" if i % 7 else "") for i in range(60)], "doc_id int, processed_text string")
+    fitted = Vocabulary.fit(texts, "processed_text", TermSettings(max_features=30, min_df=1))
+    weighted = fitted.count(texts, "processed_text", "_counts", False, ("_tfidf", "sublinear"))
+    svd = SvdProjection.fit(weighted, "_tfidf", 3)
+    apart = svd.transform(weighted, "_tfidf", "_svd").select("doc_id", "_counts", "_svd")
+    once = fitted.count(texts, "processed_text", "_counts", False, ("_svd", "sublinear"), svd.projection(spark)).select("doc_id", "_counts", "_svd")
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, once.collect()))
+    lda = topics.fit_topics(weighted, "_counts", 2, epochs=1)
+    steps = FeatureSteps(fitted, svd, lda, 5, [0, 1, 2], None)
+    steps.scaler = features.fit_scaler(category_model._selected(steps, category_model._non_negative(steps, weighted)), "_stacked", "_features", center=True)
+    plan = steps.transform(texts, "processed_text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -54,3 +54,30 @@ def test_lemmas_are_gathered_by_stretches(spark, monkeypatch):
     Tagger().topic_text(None, [])
     assert list(tagging._stretches(np.array([0, 3, 3, 3, 10, 11, 14]))) == [(0, 3), (3, 4), (4, 5), (5, 6)]
     assert functions[0](pa.array(lists)).to_pylist() == got and got[2] is None and got[3] == " ".join(["party"] * 7)
+
+
+def test_one_worker_annotates(spark):
+    """A node of Python functions for tags and both texts; each task keeps a worker for every node."""
+    from newslens.operators.annotate import annotate
+    rows = spark.createDataFrame([("Good news", "They ran")], "headline string, short_description string")
+    plan = annotate(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "annotated(" not in plan
+
+
+def test_lines_give_what_lists_give(spark, monkeypatch):
+    lists = [["the", "dogs", "ran"], [], None, ["parties"] * 7, ["a"], ["walked", "cities", "."]] * 3
+    rows = spark.createDataFrame(list(enumerate(lists)), "id int, words array<string>").coalesce(1).orderBy("id")
+    functions = []
+    monkeypatch.setattr(tagging, "TOKENS", 3)
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: functions.append(f) or SimpleNamespace(asNondeterministic=lambda: lambda c: None))
+    tagger = Tagger()
+    tagger.tags(None), tagger.topic_text(None, ["a"]), tagger.sentiment_text(None, ["the"], [])
+    lines = pa.array([None, "x y", *(None if w is None else " ".join(w) for w in lists)])[2:]  # a slice, as batches may be
+    monkeypatch.undo()
+    tags, topic, mood = (f(lines).to_pylist() for f in functions)
+    got = rows.select(
+        F.array_join(F.transform(tagger.annotate(F.col("words")), tagging.tag_of), " "), tagger.topic_text(F.col("words"), ["a"]),
+        tagger.sentiment_text(F.col("words"), ["the"], [])).collect()
+    assert [tuple(r) for r in got] == list(zip(tags, topic, mood)) and tags[1] == "" and tags[2] is None
+    with pytest.raises(ValueError):
+        Tagger({"new": ("A B", "new")})
