@@ -81,3 +81,28 @@ def test_packed_terms_add_up():
         assert not got.keys() & {r["term"] for r in rows}
         got |= {r["term"]: (r["tf"], r["df"]) for r in rows}
     assert got == whole and got["beta über"] == (1, 1) and got["alpha"] == (3, 2)
+
+
+def test_a_piece_is_keyed_once_when_weighed(texts, monkeypatch):
+    """The keys asked for and the known terms come from one pass over a piece's n-grams."""
+    called, keyed = [], arrow.keyed_grams
+    monkeypatch.setattr(arrow, "keyed_grams", lambda *a: called.append(1) or keyed(*a))
+    lines = pa.array(["alpha beta alpha", "beta gamma beta", None])
+    grams = list(arrow.keyed_grams(lines, [], 1, 2))
+    keys = arrow.keys_of(grams)
+    terms, term, doc, tf, at = arrow.known_terms(grams, keys, np.arange(len(keys)) >= 0)
+    got = {(d, terms[t].as_py()): n for t, d, n in zip(term.tolist(), doc.tolist(), tf.tolist())}
+    assert len(called) == 1 and got[0, "alpha"] == 2 and got[1, "beta gamma"] == 1 and len(got) == 4 + 4
+
+
+def test_keys_of_terms_are_made_of_words(monkeypatch):
+    """The same term has the same key in every stretch, and no code is made of a whole term."""
+    hashed, codes = [], arrow._word_codes
+    monkeypatch.setattr(arrow, "_word_codes", lambda w: hashed.extend(w.to_pylist()) or codes(w))
+    lines, of = ["one two three one", "zero one two three"], {}
+    for line in lines:
+        for found, keys in arrow.keyed_statistics(pa.array([line]), [], 1, 3):
+            arrow.packed_terms(found, 2, keys)
+            for t, k in zip(found["term"].to_pylist(), keys.tolist()):
+                assert of.setdefault(t, k) == k
+    assert len(set(of.values())) == len(of) == 11 and not any(" " in w for w in hashed)
